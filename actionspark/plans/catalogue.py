@@ -239,14 +239,14 @@ def category_shares(spark, d):
 @query
 def numeric_summary(spark, d):
     stored = materialize(_raw(spark, d), "raw")
-    return rounded(summary.numeric_summary(stored, EXPLORED, exact=True), 4)
+    return rounded(summary.numeric_summary(stored, EXPLORED, exact=True))
 
 
 @query
 def lineitem_summary(spark, d):
     lines = warehouse_table(spark, d, "lineitem")
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return rounded(summary.numeric_summary(lines, columns, exact=True), 4)
+    return rounded(summary.numeric_summary(lines, columns, exact=True))
 
 
 @query
@@ -504,19 +504,19 @@ def mean_drift(spark, d):
 @query
 def profile_daily(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
-    return rounded(profiles.profile(feats, "updated_at", "day", NUMERIC_FEATURES, exact=True), 4)
+    return rounded(profiles.profile(feats, "updated_at", "day", NUMERIC_FEATURES, exact=True))
 
 
 @query
 def profile_weekly(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
-    return rounded(profiles.profile(feats, "updated_at", "week", NUMERIC_FEATURES, exact=True), 4)
+    return rounded(profiles.profile(feats, "updated_at", "week", NUMERIC_FEATURES, exact=True))
 
 
 @query
 def event_profile_weekly(spark, d):
     events = warehouse_table(spark, d, "events")
-    return rounded(profiles.profile(events, "ts", "week", ["value"], ["event_type"], exact=True), 4)
+    return rounded(profiles.profile(events, "ts", "week", ["value"], ["event_type"], exact=True))
 
 
 @query
@@ -527,7 +527,7 @@ def event_profile_refreshed(spark, d):
         profiles.profile(before, "ts", "week", ["value"], ["event_type"], exact=True), "profile"
     )
     return rounded(
-        profiles.refresh_profile(stored, events, "ts", "week", ["value"], ["event_type"], exact=True), 4
+        profiles.refresh_profile(stored, events, "ts", "week", ["value"], ["event_type"], exact=True)
     )
 
 
@@ -542,8 +542,7 @@ def inference_profile_numeric(spark, d):
     return rounded(
         profiles.profile(
             log, "inference_timestamp", "day", NUMERIC_FEATURES, ["model_version"], exact=True
-        ),
-        4,
+        )
     )
 
 
@@ -573,7 +572,7 @@ def drift_ks_exact(spark, d):
 def drift_consecutive(spark, d):
     events = warehouse_table(spark, d, "events")
     weekly = profiles.profile(events, "ts", "week", ["value"], ["event_type"])
-    return rounded(profiles.drift_consecutive(weekly), 4)
+    return rounded(profiles.drift_consecutive(weekly))
 
 
 @query

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actionspark.functions.numeric import as_column, money_sum
+from actionspark.functions.numeric import as_column, cents_sum
 from actionspark.functions.rules import best_action
 from actionspark.sources.schemas import RAW_CUSTOMERS, WAREHOUSE
 from actionspark.sources.tables import warehouse_table
@@ -26,8 +26,8 @@ def _days(n: int) -> Column:
     return F.make_dt_interval(F.lit(n))
 
 
-def _snapshots_of(ts: Column, end: Column, window: int, step: int, snapshots: int) -> Column:
-    """Array of the snapshot numbers k whose window (end - k*step - window, end - k*step] holds ts.
+def _snapshots_of(age: Column, window: int, step: int, snapshots: int) -> Column:
+    """Array of the snapshot numbers k with k*step <= age < k*step + window (age in days as an interval).
 
     The windows reach at least to the next one (window >= step), so the numbers are a range: as many
     as have already opened minus those that have already closed.
@@ -36,15 +36,34 @@ def _snapshots_of(ts: Column, end: Column, window: int, step: int, snapshots: in
         return F.array(F.lit(0))
 
     def how_many(offset: int, first: int) -> Column:
-        passed = [(ts <= end - _days(k * step + offset)).cast("int") for k in range(first, snapshots)]
+        passed = [(age >= _days(k * step + offset)).cast("int") for k in range(first, snapshots)]
         return sum(passed[1:], passed[0])
 
     return F.sequence(how_many(window, 0), how_many(0, 1))
 
 
-def _since(newest: DataFrame | None, end: Column, days: int) -> Column:
-    """Start of the widest window; a scalar subquery of its own, as only a bare one reaches the scan."""
-    return end - _days(days) if newest is None else newest.select(F.col("end") - _days(days)).scalar()
+def _windowed(
+    facts: DataFrame, ts: str, as_of: Column | str | None, window: int, step: int, snapshots: int
+) -> tuple[DataFrame, Column]:
+    """Facts inside any snapshot window, with ``in_snapshots``, and the end of the newest window.
+
+    Without ``as_of`` the windows end at the newest fact. Their common start is then a scalar subquery and
+    the end is derived from it: a bare subquery is pushed down to the Parquet scan, an expression is not.
+    """
+    span = _days(window + step * (snapshots - 1))
+    when = F.col(ts)
+    if as_of is None:
+        start = facts.agg(F.max(ts) - span).scalar()
+        end = start + span
+        kept = facts.filter(when > start)
+    else:
+        end = as_column(as_of)
+        kept = facts.filter((when > end - span) & (when <= end))
+    aged = kept.withColumn("_age", end - when)
+    # never empty, so explode_outer gives the same rows; a plain explode would add a filter that
+    # computes the array a second time
+    numbers = _snapshots_of(F.col("_age"), window, step, snapshots)
+    return aged.withColumn("in_snapshots", numbers), end
 
 
 def customer_snapshots(
@@ -61,59 +80,41 @@ def customer_snapshots(
     (customer, snapshot), so each fact table is shuffled once and a hot customer arrives as a few
     partial sums per task instead of as its rows.
     """
-    orders, events = tables["orders"], tables["events"]
-    last_order = None if as_of is not None else orders.agg(F.max("o_orderdate").alias("end"))
-    last_event = None if browse_as_of is not None else events.agg(F.max("ts").alias("end"))
-    end = as_column(as_of) if last_order is None else last_order.scalar()
-    browse_end = as_column(browse_as_of) if last_event is None else last_event.scalar()
-
-    first_order = _since(last_order, end, ORDER_WINDOW_DAYS + ORDER_STEP_DAYS * (snapshots - 1))
-    windowed_orders = orders.filter(
-        (F.col("o_orderdate") <= end) & (F.col("o_orderdate") > first_order)
-    ).select(
-        "o_orderkey",
-        "o_totalprice",
-        F.col("o_custkey").alias("customer_id"),
-        _snapshots_of(
-            F.col("o_orderdate"), end, ORDER_WINDOW_DAYS, ORDER_STEP_DAYS, snapshots
-        ).alias("in_snapshots"),
+    orders, end = _windowed(
+        tables["orders"], "o_orderdate", as_of, ORDER_WINDOW_DAYS, ORDER_STEP_DAYS, snapshots
     )
+    events, _ = _windowed(
+        tables["events"], "ts", browse_as_of, BROWSE_WINDOW_DAYS, BROWSE_STEP_DAYS, snapshots
+    )
+    orders = orders.withColumnRenamed("o_custkey", "customer_id")
 
     purchases = (
-        windowed_orders.select("customer_id", "o_totalprice", F.explode("in_snapshots").alias("snapshot"))
+        orders.select("customer_id", "o_totalprice", F.explode_outer("in_snapshots").alias("snapshot"))
         .groupBy("customer_id", "snapshot")
-        .agg(F.count("*").alias("n_orders"), money_sum("o_totalprice").alias("spend"))
+        .agg(F.count("*").alias("n_orders"), cents_sum("o_totalprice").alias("spend_cents"))
     )
 
     category_spend = (
         tables["lineitem"]
         .select("l_orderkey", "l_partkey", "l_extendedprice")
-        .join(windowed_orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(
+            orders.select("o_orderkey", "customer_id", "in_snapshots"),
+            F.col("l_orderkey") == F.col("o_orderkey"),
+        )
         .join(tables["part"].select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .select("customer_id", "p_type", "l_extendedprice", F.explode("in_snapshots").alias("snapshot"))
+        .select("customer_id", "p_type", "l_extendedprice", F.explode_outer("in_snapshots").alias("snapshot"))
         .groupBy("customer_id", "snapshot", "p_type")
-        .agg(money_sum("l_extendedprice").alias("spend"))
+        .agg(cents_sum("l_extendedprice").alias("spend_cents"))
     )
     top_category = category_spend.groupBy("customer_id", "snapshot").agg(
-        F.min(F.struct((-F.col("spend")).alias("neg_spend"), F.col("p_type"))).alias("top")
+        F.min(F.struct((-F.col("spend_cents")).alias("neg_spend"), F.col("p_type"))).alias("top")
     )
 
-    first_event = _since(last_event, browse_end, BROWSE_WINDOW_DAYS + BROWSE_STEP_DAYS * (snapshots - 1))
     browsing = (
-        events.filter(
-            F.col("event_type").isin("view", "click")
-            & (F.col("ts") <= browse_end)
-            & (F.col("ts") > first_event)
-        )
-        .select(
-            F.col("user_id").alias("customer_id"),
-            "value",
-            F.explode(
-                _snapshots_of(F.col("ts"), browse_end, BROWSE_WINDOW_DAYS, BROWSE_STEP_DAYS, snapshots)
-            ).alias("snapshot"),
-        )
+        events.filter(F.col("event_type").isin("view", "click"))
+        .select(F.col("user_id").alias("customer_id"), "value", F.explode_outer("in_snapshots").alias("snapshot"))
         .groupBy("customer_id", "snapshot")
-        .agg(money_sum("value").alias("minutes"))
+        .agg(cents_sum("value").alias("minute_cents"))
     )
 
     geography = tables["nation"].join(
@@ -137,8 +138,8 @@ def customer_snapshots(
     )
 
     def scaled(total: str, divisor: int) -> Column:
-        """floor to cents of total / divisor, 0 without facts."""
-        per_unit = F.coalesce(F.col(total).cast("double"), F.lit(0.0)) / divisor
+        """floor to cents of a total (in cents) / divisor, 0 without facts."""
+        per_unit = F.coalesce(F.col(total).cast("double") / 100, F.lit(0.0)) / divisor
         return F.floor(per_unit * 100).cast("double") / 100
 
     key = F.col("customer_id")
@@ -151,8 +152,8 @@ def customer_snapshots(
         F.col("r_name").alias("region"),
         (20000 + (F.col("c_acctbal") + 1000) * 10).alias("income"),
         F.coalesce("n_orders", F.lit(0).cast("long")).alias("num_purchases_last_month"),
-        scaled("spend", 1800).alias("purchase_amount_last_month"),
-        scaled("minutes", 5).alias("browsing_minutes_last_week"),
+        scaled("spend_cents", 1800).alias("purchase_amount_last_month"),
+        scaled("minute_cents", 5).alias("browsing_minutes_last_week"),
         F.coalesce("top.p_type", F.lit("NONE")).alias("top_category"),
     )
     return raw.select(

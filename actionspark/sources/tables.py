@@ -20,18 +20,27 @@ def warehouse_table(spark: SparkSession, directory: str, name: str) -> DataFrame
     return spark.read.schema(WAREHOUSE[name]).parquet(f"{directory}/{name}.parquet")
 
 
-def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, merge_schema: bool = False
-) -> DataFrame:
-    """Scan a stored table; with ``schema`` the stored columns and types are checked against it."""
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def _is_path(table: str) -> bool:
+    return "/" in table
+
+
+def _scan(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(table) if _is_path(table) else spark.table(table)
+
+
+def read_table(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """Scan a stored table, given as a path or as a catalog name; with ``schema`` the stored columns and
+    types are checked against it."""
+    df = _scan(spark, table)
     return df if schema is None else conform(df, schema)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """A directory that holds a readable Parquet table."""
+def table_exists(spark: SparkSession, table: str) -> bool:
+    """Whether a catalog table, or a directory that holds a readable Parquet table, is there."""
+    if not _is_path(table):
+        return spark.catalog.tableExists(table)
     try:
-        spark.read.parquet(path).schema
+        spark.read.parquet(table).schema
     except Exception as e:  # the class differs between classic and Connect sessions
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return False
@@ -39,13 +48,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Iterable[str] = ()) -> None:
-    """Replace rows and schema. The input must not be read from ``path``."""
+def overwrite_table(df: DataFrame, table: str, partition_by: Iterable[str] = ()) -> None:
+    """Replace rows and schema of a path or a catalog table. The input must not be read from it."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     partition_by = list(partition_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    if _is_path(table):
+        writer.parquet(table)
+    else:
+        writer.format("parquet").saveAsTable(table)
 
 
 def append_log(df: DataFrame, path: str, partition_by: Iterable[str] = LOG_PARTITIONS) -> None:
@@ -67,11 +79,15 @@ def append_log(df: DataFrame, path: str, partition_by: Iterable[str] = LOG_PARTI
     )
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The log with all columns any append brought; older rows hold NULL in newer columns.
 
-    Partition values are read as stored: the version is text even if it looks like a number.
+    Without ``schema`` the columns are merged from the footers of all files; a reader that knows what it
+    needs passes it and opens none. Partition values are read as stored: the version is text even if it
+    looks like a number.
     """
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
     merged = spark.read.option("mergeSchema", "true").parquet(path)
     wanted = {"log_date": T.DateType(), "model_version": T.StringType()}
     fields = [
@@ -80,10 +96,10 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def baseline_full(df: DataFrame, path: str) -> DataFrame:
+def baseline_full(df: DataFrame, table: str) -> DataFrame:
     """Store all rows as the baseline of later drift checks."""
-    overwrite_table(df, path)
-    return df.sparkSession.read.parquet(path)
+    overwrite_table(df, table)
+    return _scan(df.sparkSession, table)
 
 
 def baseline_sample(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:

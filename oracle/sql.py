@@ -234,10 +234,10 @@ add(
 
 
 def summary_body(source: str) -> str:
-    return f"""SELECT feature, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS stddev,
-       round(min(value), 4) AS min, round(quantile_cont(value, 0.25), 4) AS q25,
-       round(quantile_cont(value, 0.5), 4) AS q50, round(quantile_cont(value, 0.75), 4) AS q75,
-       round(max(value), 4) AS max FROM ({source}) GROUP BY feature"""
+    return f"""SELECT feature, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev,
+       round(min(value), 6) AS min, round(quantile_cont(value, 0.25), 6) AS q25,
+       round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75,
+       round(max(value), 6) AS max FROM ({source}) GROUP BY feature"""
 
 
 add("numeric_summary", snaps(1), summary_body(long_rows("snaps", EXPLORED)))
@@ -487,9 +487,9 @@ def profile_body(source: str, ts: str, granularity: str, columns: list[str], sli
         + (f", CAST({slice_col} AS VARCHAR) AS s" if slice_col else ""),
     )
     shape = """count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null, count(DISTINCT value) AS n_distinct,
-  round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS stddev, round(min(value), 4) AS min,
-  round(quantile_cont(value, 0.25), 4) AS q25, round(quantile_cont(value, 0.5), 4) AS q50,
-  round(quantile_cont(value, 0.75), 4) AS q75, round(max(value), 4) AS max"""
+  round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev, round(min(value), 6) AS min,
+  round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+  round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max"""
     out = f"""SELECT '{granularity}' AS granularity, window_start, 'all' AS slice_key, 'all' AS slice_value,
   feature AS column_name, {shape} FROM ({per}) GROUP BY window_start, feature"""
     if slice_col:
@@ -605,9 +605,9 @@ add(
   FROM events, (VALUES ('all'), ('event_type')) t(sk) GROUP BY ALL)""",
     """SELECT 'week' AS granularity, window_start, slice_key, slice_value, 'value' AS column_name,
   lag(window_start) OVER w AS previous_window, n - lag(n) OVER w AS delta_rows,
-  round(m - lag(m) OVER w, 4) AS delta_mean, round(sd - lag(sd) OVER w, 4) AS delta_stddev,
-  round(np - lag(np) OVER w, 4) AS delta_null_pct,
-  round((m - lag(m) OVER w) / nullif(lag(sd) OVER w, 0), 4) AS shift_in_stddev
+  round(m - lag(m) OVER w, 6) AS delta_mean, round(sd - lag(sd) OVER w, 6) AS delta_stddev,
+  round(np - lag(np) OVER w, 6) AS delta_null_pct,
+  round((m - lag(m) OVER w) / nullif(lag(sd) OVER w, 0), 6) AS shift_in_stddev
 FROM pf WINDOW w AS (PARTITION BY slice_key, slice_value ORDER BY window_start)
 QUALIFY lag(window_start) OVER w IS NOT NULL""",
 )
