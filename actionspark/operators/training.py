@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from actionspark.functions.numeric import hash_u32
 
 PREFIX_BITS = 16
+MAX_CLASSES = 10_000
 
 
 def training_set(
@@ -34,9 +35,15 @@ def hash_split(df: DataFrame, key: str, test: float = 0.25, seed: int = 42) -> D
 
 def test_quotas(df: DataFrame, label: str, test: float = 0.25) -> DataFrame:
     """(label, n, test_quota): ceil(test * rows) test rows in all, the train rows shared out among the
-    classes in proportion, the remainder going to the largest fractions (ties to the lower label)."""
-    classes = df.groupBy(label).agg(F.count("*").alias("n"))  # one row per class from here on
+    classes in proportion, the remainder going to the largest fractions (ties to the lower label).
+
+    One row per class; a column with more than MAX_CLASSES values is no class label and fails the job."""
     everything = Window.partitionBy(F.lit(1))
+    counted = df.groupBy(label).agg(F.count("*").alias("n"))
+    too_many = F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes")).cast("long")
+    classes = counted.withColumn(
+        "n", F.when(F.count("*").over(everything) <= MAX_CLASSES, F.col("n")).otherwise(too_many)
+    )
     n_all = F.sum("n").over(everything)
     n_train = n_all - F.ceil(n_all * F.lit(test))
     share = classes.withColumn("n_train", n_train).withColumn(

@@ -49,9 +49,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(f: Query) -> Query:
-    QUERIES[f.__name__] = f
-    return f
+def query(name: str) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[name] = f
+        return f
+
+    return register
 
 
 # ---- shared inputs ------------------------------------------------------------------------------
@@ -121,52 +124,52 @@ def _two_sides(spark, d):
 # ---- sources, features, labels ------------------------------------------------------------------
 
 
-@query
+@query("customer360")
 def customer360(spark, d):
     return _raw(spark, d)
 
 
-@query
+@query("customer360_snapshots")
 def customer360_snapshots(spark, d):
     return customer_snapshots(load_warehouse(spark, d), SNAPSHOTS)
 
 
-@query
-def feature_table(spark, d):
+@query("features")
+def newest_features(spark, d):
     return _features(spark, d)
 
 
-@query
-def label_table(spark, d):
+@query("labels")
+def newest_labels(spark, d):
     return labels(_raw(spark, d))
 
 
-@query
+@query("label_encoding")
 def label_encoding(spark, d):
     coded = labels(_raw(spark, d))
     return coded.select("customer_id", "action_label", action_name("action_label").alias("decoded"))
 
 
-@query
+@query("stamped_features")
 def stamped_features(spark, d):
     return stamp(_features(spark, d), F.col("updated_at"), F.col("updated_at"), "v1")
 
 
-@query
+@query("trailing_orders")
 def trailing_orders(spark, d):
     orders = warehouse_table(spark, d, "orders")
     newest = orders.agg(F.max("o_orderdate")).scalar()
     return trailing(orders, "o_orderdate", newest).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
-@query
+@query("log_on_latest_date")
 def log_on_latest_date(spark, d):
     log = _log(spark, d)
     latest = log.agg(F.max("log_date")).scalar()
     return on_date(log, "log_date", latest).select("customer_id", "recommended_action", "log_date")
 
 
-@query
+@query("log_rows_with_features")
 def log_rows_with_features(spark, d):
     return present(_log(spark, d), "income").select("customer_id", "log_date", "income", "region")
 
@@ -174,12 +177,12 @@ def log_rows_with_features(spark, d):
 # ---- keys and quality ---------------------------------------------------------------------------
 
 
-@query
+@query("duplicate_keys")
 def duplicate_keys(spark, d):
     return keys.duplicate_keys(warehouse_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query
+@query("key_check")
 def key_check(spark, d):
     lines = keys.key_check(warehouse_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
     feats = keys.key_check(_features(spark, d), ["customer_id"])
@@ -187,28 +190,28 @@ def key_check(spark, d):
     return named[0].unionByName(named[1])
 
 
-@query
+@query("dedupe_latest")
 def dedupe_latest(spark, d):
     return keys.dedupe_latest(warehouse_table(spark, d, "events"), ["user_id"], ["ts"])
 
 
-@query
+@query("dedupe_features")
 def dedupe_features(spark, d):
     feats = _snapshot_features(spark, d).drop("best_action")
     return keys.dedupe_latest(feats, ["customer_id"], ["updated_at"])
 
 
-@query
+@query("null_rates")
 def null_rates(spark, d):
     return rounded(keys.null_rates(_log(spark, d), NUMERIC_FEATURES))
 
 
-@query
+@query("duplicate_rate")
 def duplicate_rate(spark, d):
     return rounded(keys.duplicate_rate(warehouse_table(spark, d, "orders"), "o_custkey"))
 
 
-@query
+@query("readiness")
 def table_readiness(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
     log = log_ops.inference_log(
@@ -221,57 +224,57 @@ def table_readiness(spark, d):
 # ---- exploration --------------------------------------------------------------------------------
 
 
-@query
+@query("class_balance")
 def class_balance(spark, d):
     return counts.class_balance(_raw(spark, d))
 
 
-@query
+@query("category_counts")
 def category_counts(spark, d):
     return counts.category_counts(_features(spark, d), CATEGORICAL_FEATURES)
 
 
-@query
+@query("category_shares")
 def category_shares(spark, d):
     return rounded(counts.shares(counts.category_counts(_features(spark, d), CATEGORICAL_FEATURES)))
 
 
-@query
+@query("numeric_summary")
 def numeric_summary(spark, d):
     stored = materialize(_raw(spark, d), "raw")
     return rounded(summary.numeric_summary(stored, EXPLORED, exact=True))
 
 
-@query
+@query("lineitem_summary")
 def lineitem_summary(spark, d):
     lines = warehouse_table(spark, d, "lineitem")
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     return rounded(summary.numeric_summary(lines, columns, exact=True))
 
 
-@query
+@query("label_correlation")
 def label_correlation(spark, d):
     coded = _raw(spark, d).select(*EXPLORED, action_label().alias("action_label"))
     return rounded(summary.label_correlation(coded, EXPLORED, "action_label"))
 
 
-@query
-def age_histogram(spark, d):
+@query("histogram")
+def histogram(spark, d):
     return rounded(summary.histogram(materialize(_raw(spark, d).select("age"), "raw"), "age"))
 
 
-@query
+@query("order_value_histogram")
 def order_value_histogram(spark, d):
     return rounded(summary.histogram(warehouse_table(spark, d, "orders"), "o_totalprice"))
 
 
-@query
-def browsing_boxplot(spark, d):
+@query("boxplot_stats")
+def boxplot_stats(spark, d):
     stored = materialize(_raw(spark, d).select("best_action", "browsing_minutes_last_week"), "raw")
     return rounded(summary.boxplot_stats(stored, "browsing_minutes_last_week", "best_action", exact=True))
 
 
-@query
+@query("event_value_boxplot")
 def event_value_boxplot(spark, d):
     events = warehouse_table(spark, d, "events")
     return rounded(summary.boxplot_stats(events, "value", "event_type", exact=True))
@@ -280,12 +283,12 @@ def event_value_boxplot(spark, d):
 # ---- encoding, training set, split --------------------------------------------------------------
 
 
-@query
+@query("vocabulary")
 def vocabulary(spark, d):
     return encoding.fit_vocabulary(_features(spark, d), CATEGORICAL_FEATURES)
 
 
-@query
+@query("one_hot")
 def one_hot(spark, d):
     feats = materialize(_features(spark, d), "features")
     encoded = encoding.load_vocabulary(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES))
@@ -297,35 +300,35 @@ def _labels_and_active_features(spark, d):
     return labels(stored), features(stored, F.col("as_of")).filter(_active())
 
 
-@query
+@query("training_set_inner")
 def training_set_inner(spark, d):
     coded, feats = _labels_and_active_features(spark, d)
     return training.training_set(coded, feats, FEATURE_COLUMNS, "inner")
 
 
-@query
+@query("training_set_lookup")
 def training_set_lookup(spark, d):
     coded, feats = _labels_and_active_features(spark, d)
     return training.training_set(coded, feats, FEATURE_COLUMNS, "left")
 
 
-@query
+@query("hash_split")
 def hash_split(spark, d):
     return training.hash_split(labels(_raw(spark, d)), "customer_id")
 
 
-@query
+@query("split_quotas")
 def split_quotas(spark, d):
     return training.test_quotas(labels(_raw(spark, d)), "action_label")
 
 
-@query
+@query("exact_split")
 def exact_split(spark, d):
     stored = materialize(labels(_raw(spark, d)), "labels")
     return training.exact_split(stored, "customer_id", "action_label")
 
 
-@query
+@query("order_exact_split")
 def order_exact_split(spark, d):
     orders = warehouse_table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     return training.exact_split(orders, "o_orderkey", "o_orderpriority")
@@ -334,12 +337,12 @@ def order_exact_split(spark, d):
 # ---- scoring and evaluation ---------------------------------------------------------------------
 
 
-@query
+@query("rule_scores")
 def rule_scores(spark, d):
     return log_ops.rule_scores(_features(spark, d), F.col("updated_at"))
 
 
-@query
+@query("request_scores")
 def request_scores(spark, d):
     """Requests are the customers that raised an error event; they are scored from their feature rows."""
     errors = warehouse_table(spark, d, "events").filter(F.col("event_type") == "error")
@@ -348,27 +351,27 @@ def request_scores(spark, d):
     return log_ops.rule_scores(asked, F.col("updated_at"))
 
 
-@query
+@query("accuracy")
 def accuracy(spark, d):
     return rounded(evaluation.accuracy(_rule_evaluated(spark, d)))
 
 
-@query
+@query("accuracy_by_snapshot")
 def accuracy_by_snapshot(spark, d):
     return rounded(evaluation.accuracy(_rule_evaluated(spark, d), ["snapshot"]))
 
 
-@query
+@query("classification_report")
 def classification_report(spark, d):
     return rounded(evaluation.classification_report(_rule_evaluated(spark, d)))
 
 
-@query
+@query("confusion_matrix")
 def confusion_matrix(spark, d):
     return evaluation.confusion_matrix(_rule_evaluated(spark, d))
 
 
-@query
+@query("confusion_pivot")
 def confusion_pivot(spark, d):
     return evaluation.confusion_pivot(_rule_evaluated(spark, d))
 
@@ -393,17 +396,17 @@ def _monthly_versions(spark, d):
     )
 
 
-@query
+@query("promotion_replay")
 def promotion_replay(spark, d):
     return rounded(evaluation.promotion_replay(_monthly_versions(spark, d)))
 
 
-@query
+@query("promotion_aliases")
 def promotion_aliases(spark, d):
     return evaluation.promotion_aliases(_monthly_versions(spark, d))
 
 
-@query
+@query("region_model_aliases")
 def region_model_aliases(spark, d):
     return evaluation.promotion_aliases(_region_versions(spark, d))
 
@@ -425,8 +428,8 @@ def _forest_scores(model, rows, encoded):
     )
 
 
-@query
-def forest_recommendations(spark, d):
+@query("rf_scores")
+def rf_scores(spark, d):
     model, feats, encoded = _forest(spark, d)
     return _forest_scores(model, feats, encoded)
 
@@ -438,15 +441,15 @@ def _streamed(spark, feats, scorer):
     return spark.read.parquet(sink)
 
 
-@query
+@query("stream_rule_scores")
 def stream_rule_scores(spark, d):
     return _streamed(
         spark, _features(spark, d), lambda feats: log_ops.rule_scores(feats, F.col("updated_at"))
     )
 
 
-@query
-def stream_forest_scores(spark, d):
+@query("stream_scores")
+def stream_scores(spark, d):
     model, feats, encoded = _forest(spark, d)
     return _streamed(spark, feats, lambda rows: _forest_scores(model, rows, encoded))
 
@@ -454,12 +457,12 @@ def stream_forest_scores(spark, d):
 # ---- log, profiles, drift, reports --------------------------------------------------------------
 
 
-@query
+@query("inference_log")
 def inference_log(spark, d):
     return _log(spark, d)
 
 
-@query
+@query("appended_log")
 def appended_log(spark, d):
     """The log written one snapshot at a time, the last one twice and with one more column."""
     feats = _snapshot_features(spark, d, stored=True)
@@ -476,50 +479,50 @@ def appended_log(spark, d):
     )
 
 
-@query
+@query("baseline_snapshot")
 def baseline_snapshot(spark, d):
     return baseline_full(_features(spark, d), scratch_path(spark, "baseline"))
 
 
-@query
-def baseline_rows(spark, d):
+@query("baseline_sample")
+def feature_sample(spark, d):
     return baseline_sample(_features(spark, d), "customer_id", 1000)
 
 
-@query
+@query("action_distribution")
 def action_distribution(spark, d):
     return counts.action_distribution(_log(spark, d))
 
 
-@query
+@query("log_extent")
 def log_extent(spark, d):
     return counts.extent(_log(spark, d), "customer_id", "log_date")
 
 
-@query
+@query("mean_drift")
 def mean_drift(spark, d):
     return rounded(log_ops.mean_drift(_log(spark, d), NUMERIC_FEATURES))
 
 
-@query
+@query("profile_daily")
 def profile_daily(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
     return rounded(profiles.profile(feats, "updated_at", "day", NUMERIC_FEATURES, exact=True))
 
 
-@query
+@query("profile_weekly")
 def profile_weekly(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
     return rounded(profiles.profile(feats, "updated_at", "week", NUMERIC_FEATURES, exact=True))
 
 
-@query
+@query("event_profile_weekly")
 def event_profile_weekly(spark, d):
     events = warehouse_table(spark, d, "events")
     return rounded(profiles.profile(events, "ts", "week", ["value"], ["event_type"], exact=True))
 
 
-@query
+@query("event_profile_refreshed")
 def event_profile_refreshed(spark, d):
     events = warehouse_table(spark, d, "events")
     before = events.filter(F.col("ts") < F.lit("2024-01-17").cast("timestamp_ntz"))
@@ -531,12 +534,12 @@ def event_profile_refreshed(spark, d):
     )
 
 
-@query
+@query("inference_profile")
 def inference_profile(spark, d):
     return rounded(profiles.prediction_profile(_log(spark, d)))
 
 
-@query
+@query("inference_profile_numeric")
 def inference_profile_numeric(spark, d):
     log = _log(spark, d)
     return rounded(
@@ -546,48 +549,48 @@ def inference_profile_numeric(spark, d):
     )
 
 
-@query
+@query("drift_categorical")
 def drift_categorical(spark, d):
     return rounded(drift.categorical_drift(*_two_sides(spark, d), CATEGORICAL_FEATURES))
 
 
-@query
+@query("drift_prediction")
 def drift_prediction(spark, d):
     current, baseline = _two_sides(spark, d)
     predicted = [_recs(side) for side in (current, baseline)]
     return rounded(drift.categorical_drift(*predicted, ["recommended_action"]))
 
 
-@query
+@query("drift_numeric")
 def drift_numeric(spark, d):
     return rounded(drift.numeric_drift(*_two_sides(spark, d), NUMERIC_FEATURES))
 
 
-@query
+@query("drift_ks_exact")
 def drift_ks_exact(spark, d):
     return rounded(drift.ks_exact(*_two_sides(spark, d), NUMERIC_FEATURES))
 
 
-@query
+@query("drift_consecutive")
 def drift_consecutive(spark, d):
     events = warehouse_table(spark, d, "events")
     weekly = profiles.profile(events, "ts", "week", ["value"], ["event_type"])
     return rounded(profiles.drift_consecutive(weekly))
 
 
-@query
+@query("performance_report")
 def performance_report(spark, d):
     log = _log(spark, d)
     return log_ops.performance_report(log, log.agg(F.max("log_date")).scalar())
 
 
-@query
+@query("health_summary")
 def health_summary(spark, d):
     log = _log(spark, d)
     return rounded(log_ops.health_summary(log, log.agg(F.max("log_date")).scalar()))
 
 
-@query
+@query("monitor_status")
 def monitor_status(spark, d):
     log = _log(spark, d)
     feats = _features(spark, d)
@@ -601,7 +604,7 @@ def monitor_status(spark, d):
 # ---- generator ----------------------------------------------------------------------------------
 
 
-@query
+@query("synthetic_customers")
 def synthetic_customers(spark, d):
     """One synthetic customer for every customer key of the warehouse."""
     known = warehouse_table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))

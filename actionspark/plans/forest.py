@@ -25,6 +25,7 @@ def fit_forest(
     depth: int = 30,
     seed: int = 42,
     partitions: int = 8,
+    memory_mb: int = 1024,
     key: str = "customer_id",
     label: str = "action_label",
 ) -> PipelineModel:
@@ -34,7 +35,8 @@ def fit_forest(
     The matrix is stored first, as the fit passes over it many times. Bootstrap weights depend on how rows
     lie in partitions, so it is laid out by a hash of the key and sorted: the same rows then give the same
     forest however they arrived. ``partitions`` sets the parallelism of the fit and belongs to the seed:
-    raise it with the data.
+    raise it with the data. ``memory_mb`` is the space for the split statistics of one pass; more of it
+    means fewer passes.
     """
     matrix = materialize(one_hot(train, encoded, numerics, keep=[key, label]), "matrix")
     laid_out = matrix.repartition(partitions, key).sortWithinPartitions(key)
@@ -48,6 +50,9 @@ def fit_forest(
         maxDepth=depth,
         featureSubsetStrategy="sqrt",
         seed=seed,
+        cacheNodeIds=True,  # rows remember their node, so deep trees are not shipped at every level
+        checkpointInterval=10,
+        maxMemoryInMB=memory_mb,
     )
     fitted = forest.fit(rows.select(VECTOR, F.col(label).cast("double").alias(label)))
     # a scoring row with a missing number must still be scored: NaN takes the right branch of a split

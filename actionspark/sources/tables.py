@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,10 +103,22 @@ def baseline_full(df: DataFrame, table: str) -> DataFrame:
 
 
 def baseline_sample(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:
-    """At most ``rows`` rows in the order of md5(key): a sample that does not change between runs."""
-    order = [F.md5(F.col(key).cast("string")).asc_nulls_last(), F.col(key).asc_nulls_last()]
+    """At most ``rows`` rows in the order of md5(key): a sample that does not change between runs.
+
+    Counts per 16-bit hash prefix first show up to which prefix the sample can reach, so a task hands on
+    only rows below it, not ``rows`` candidates each. A NULL key comes last.
+    """
+    digest = F.md5(F.col(key).cast("string"))
+    prefix = F.coalesce(F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"), F.lit(1 << 16))
+    counts = df.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("prefix"))  # at most 65,537 rows
+    reach = counts.withColumn("upto", upto).filter(F.col("upto") >= rows).agg(F.min("prefix")).scalar()
     rest = [F.col(c).asc_nulls_last() for c in df.columns if c != key]
-    return df.orderBy(*order, *rest).limit(rows)
+    return (
+        df.filter(prefix <= F.coalesce(reach, F.lit(1 << 16)))
+        .orderBy(digest.asc_nulls_last(), F.col(key).asc_nulls_last(), *rest)
+        .limit(rows)
+    )
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -128,8 +128,8 @@ def long_rows(source: str, columns: list[str], extra: str = "", kind: str = "DOU
 
 add("customer360", snaps(1), f"SELECT {RAW_LIST} FROM snaps")
 add("customer360_snapshots", snaps(4), f"SELECT snapshot, as_of, {RAW_LIST} FROM snaps")
-add("feature_table", snaps(1), f"SELECT {FEATURE_LIST}, updated_at FROM feats")
-add("label_table", snaps(1), "SELECT customer_id, action_label, best_action FROM feats")
+add("features", snaps(1), f"SELECT {FEATURE_LIST}, updated_at FROM feats")
+add("labels", snaps(1), "SELECT customer_id, action_label, best_action FROM feats")
 add("label_encoding", snaps(1), "SELECT customer_id, action_label, best_action AS decoded FROM feats")
 add(
     "stamped_features",
@@ -208,7 +208,7 @@ FROM (SELECT count(*) AS n_rows,
              (SELECT count(*) FROM (SELECT DISTINCT o_custkey FROM orders)) AS n_distinct FROM orders)""",
 )
 add(
-    "table_readiness",
+    "readiness",
     LOG,
     """SELECT 'features' AS table_name, true AS table_exists, 'updated_at' AS missing_columns, count(*) AS n_rows,
        count(*) > 0 AS non_empty, false AS ready,
@@ -264,7 +264,7 @@ FROM (SELECT CAST(b AS INTEGER) AS bin FROM range(0, 25) t(b)),
      (SELECT min({column})::DOUBLE AS lo, (max({column})::DOUBLE - min({column})::DOUBLE) / 25 AS w FROM {source})"""
 
 
-add("age_histogram", snaps(1), histogram_sql("snaps", "age"))
+add("histogram", snaps(1), histogram_sql("snaps", "age"))
 add("order_value_histogram", "", histogram_sql("orders", "o_totalprice"))
 
 
@@ -280,7 +280,7 @@ JOIN (SELECT {by}, quantile_cont({column}::DOUBLE, 0.25) AS q25, quantile_cont({
 GROUP BY b.{by}"""
 
 
-add("browsing_boxplot", snaps(1), boxplot_sql("snaps", "browsing_minutes_last_week", "best_action"))
+add("boxplot_stats", snaps(1), boxplot_sql("snaps", "browsing_minutes_last_week", "best_action"))
 add("event_value_boxplot", "", boxplot_sql("events", "value", "event_type"))
 
 # ---- encoding, training set, split
@@ -454,7 +454,7 @@ add(
 )
 add("baseline_snapshot", snaps(1), f"SELECT {FEATURE_LIST}, updated_at FROM feats")
 add(
-    "baseline_rows",
+    "baseline_sample",
     snaps(1),
     f"SELECT {FEATURE_LIST}, updated_at FROM feats ORDER BY md5(CAST(customer_id AS VARCHAR)), customer_id LIMIT 1000",
 )

@@ -10,7 +10,7 @@ from helpers import plan
 from __spark_entry__ import entry, oracle_sql, queries
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-SLOW = {"forest_recommendations", "stream_forest_scores"}
+SLOW = {"rf_scores", "stream_scores"}
 
 
 @pytest.fixture(scope="module")
