@@ -23,16 +23,14 @@ def category_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return counts.orderBy("feature", F.desc("n_rows"), "category")
 
 
-def shares(counts: DataFrame, by: Sequence[str] = ("feature",), count: str = "n_rows") -> DataFrame:
-    """Adds share_pct of the total per ``by``; 0 for an empty total.
+def shares(counts: DataFrame) -> DataFrame:
+    """Adds share_pct, the percentage of the feature's total, to category counts; 0 for an empty total.
 
-    ``counts`` is an aggregate already, and its groups ``by`` are columns of a table or report
-    sections, so the totals are a handful of rows and may be broadcast.
+    The totals have one row per counted column and may be broadcast however many categories there are.
     """
-    by = list(by)
-    totals = counts.groupBy(*by).agg(F.sum(count).alias("_total"))
-    joined = counts.join(F.broadcast(totals), by)
-    return joined.withColumn("share_pct", percent(F.col(count), F.col("_total"))).drop("_total")
+    totals = counts.groupBy("feature").agg(F.sum("n_rows").alias("_total"))
+    joined = counts.join(F.broadcast(totals), "feature")
+    return joined.withColumn("share_pct", percent(F.col("n_rows"), F.col("_total"))).drop("_total")
 
 
 def action_distribution(log: DataFrame) -> DataFrame:

@@ -55,6 +55,7 @@ WAREHOUSE = {
     "events": _struct(event_id=LONG, ts=TIME, user_id=LONG, event_type=TEXT, value=DOUBLE, props=TEXT),
 }
 
+# Columns of the raw customer table and of the feature table, in their order.
 RAW_CUSTOMERS = _struct(
     customer_id=LONG,
     age=LONG,
@@ -84,7 +85,7 @@ FEATURES = _struct(
     updated_at=TIME,
 )
 
-# What the monitors need to find in each monitored table.
+# What the monitors need to find in each monitored table.
 MONITOR_REQUIRED = {
     "features": ("updated_at",),
     "inference_log": ("inference_timestamp", "model_version", "recommended_action"),

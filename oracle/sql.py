@@ -8,6 +8,7 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+# The feature lists.
 NUMERIC = [
     "age",
     "gender_ix",

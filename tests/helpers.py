@@ -43,3 +43,25 @@ def plan(df: DataFrame) -> str:
 
 def optimized(df: DataFrame) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def partitions_read(df: DataFrame) -> list[int]:
+    """Partitions each file scan of the main plan has read, after running the query."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        metrics = node.metrics()
+        if "Scan" in node.nodeName() and metrics.contains("numPartitions"):
+            found.append(metrics.apply("numPartitions").value())
+        for inner in ("executedPlan", "plan"):
+            if hasattr(node, inner):
+                try:
+                    walk(getattr(node, inner)())
+                except Exception:  # py4j offers every name; only the adaptive nodes answer
+                    pass
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
