@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from actionspark.functions.numeric import percent, safe_ratio, to_long
 from actionspark.functions.ranks import cumulative_counts, quantile_columns, value_counts
-from actionspark.operators.summary import QUARTILES, approx_quantile_columns
+from actionspark.operators.summary import QUARTILES, moments
 
 GRANULARITIES = ("day", "week")
 SLICE = ("slice_key", "slice_value")
@@ -55,30 +55,24 @@ def profile(
         F.inline(_slices(slices)),
         *[F.col(c).cast("double").alias(c) for c in cols],
     )
-    rows = to_long(cut, ["window_start", *SLICE], cols, "column_name", "value", "double")
-    keys = ["window_start", *SLICE, "column_name"]
-    moments = [
-        F.count("*").alias("n_rows"),
-        F.count_if(F.col("value").isNull()).alias("n_null"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    shape = ["n_rows", "n_null", "n_distinct", "mean", "stddev", "min", *QUARTILES, "max"]
-    if not exact:
-        sketches = [F.approx_count_distinct("value").alias("n_distinct")]
-        sketches += approx_quantile_columns("value", QUARTILES)
-        out = rows.groupBy(*keys).agg(*moments, *sketches)
-    else:
+    window = ["window_start", *SLICE]
+    keys = [*window, "column_name"]
+    wide = cut.groupBy(*window).agg(
+        F.count("*").alias("n_rows"), *[moments(c, sketched=not exact) for c in cols]
+    )
+    out = wide.unpivot([*window, "n_rows"], list(cols), "column_name", "m").select(
+        *keys, "n_rows", (F.col("n_rows") - F.col("m.n")).alias("n_null"), "m.*"
+    )
+    if exact:
+        rows = to_long(cut, window, cols, "column_name", "value", "double")
         ranked = cumulative_counts(value_counts(rows, keys, "value"), keys, "value")
         ranks = ranked.groupBy(*keys).agg(
             F.count("*").alias("n_distinct"), *quantile_columns(ranked, "value", QUARTILES)
         )
         renamed = ranks.select(*[F.col(k).alias(f"r_{k}") for k in keys], "n_distinct", *QUARTILES)
         same = [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys]
-        out = rows.groupBy(*keys).agg(*moments).join(renamed, same, "left")
-        out = out.withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+        out = out.join(renamed, same, "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
+    shape = ["n_rows", "n_null", "n_distinct", "mean", "stddev", "min", *QUARTILES, "max"]
     return out.select(F.lit(granularity).alias("granularity"), *keys, *shape)
 
 

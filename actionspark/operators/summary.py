@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actionspark.functions.numeric import to_long
@@ -19,9 +19,25 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 APPROX_ACCURACY = 10_000
 
 
-def approx_quantile_columns(value: str, probs: dict[str, float]) -> list:
-    """Sketch-backed quantiles; one fixed-size buffer per group whatever the data."""
-    return [F.percentile_approx(value, p, APPROX_ACCURACY).alias(name) for name, p in probs.items()]
+def approx_quantiles(column: str) -> list[Column]:
+    """Sketched quartiles, all from one fixed-size buffer per group."""
+    sketch = F.percentile_approx(column, list(QUARTILES.values()), APPROX_ACCURACY)
+    return [sketch[i].alias(name) for i, name in enumerate(QUARTILES)]
+
+
+def moments(column: str, sketched: bool) -> Column:
+    """The figures of one DOUBLE column as a struct: aggregated side by side, turned into rows afterwards,
+    so the rows themselves are not multiplied by the number of columns."""
+    figures = [
+        F.count(column).alias("n"),
+        F.avg(column).alias("mean"),
+        F.stddev_samp(column).alias("stddev"),
+        F.min(column).alias("min"),
+        F.max(column).alias("max"),
+    ]
+    if sketched:
+        figures += [*approx_quantiles(column), F.approx_count_distinct(column).alias("n_distinct")]
+    return F.struct(*figures).alias(column)
 
 
 def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False) -> DataFrame:
@@ -30,17 +46,11 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], exact: bool = False) ->
     ``exact`` replaces the sketched quartiles by interpolated ones, which takes a shuffle of the
     distinct values.
     """
-    rows = to_long(df, [], cols, "feature", "value", "double")
-    moments = [
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    ]
-    quantiles = [] if exact else approx_quantile_columns("value", QUARTILES)
-    out = rows.groupBy("feature").agg(*moments, *quantiles)
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    one_row = typed.agg(*[moments(c, sketched=not exact) for c in cols])
+    out = one_row.unpivot([], list(cols), "feature", "m").select("feature", "m.*")
     if exact:
+        rows = to_long(typed, [], cols, "feature", "value", "double")
         # one row per summarised column: the size is known from the argument
         out = out.join(F.broadcast(exact_quantiles(rows, ["feature"], "value", QUARTILES)), "feature", "left")
     return out.select("feature", "n", "mean", "stddev", "min", *QUARTILES, "max")
@@ -111,7 +121,7 @@ def boxplot_stats(df: DataFrame, col: str, by: str, exact: bool = False) -> Data
         ranked = cumulative_counts(counted, [by], "value")
         boxes = ranked.groupBy(by).agg(*quantile_columns(ranked, "value", QUARTILES))
     else:
-        boxes = values.groupBy(by).agg(*approx_quantile_columns("value", QUARTILES))
+        boxes = values.groupBy(by).agg(*approx_quantiles("value"))
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     group = boxes.withColumnRenamed(by, "_group")
