@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from actionspark.config import EngineConfig
 from actionspark.functions.numeric import as_column
@@ -29,6 +30,7 @@ from actionspark.sources.tables import (
     read_table,
     table_exists,
 )
+from actionspark.streaming.scoring import score_stream
 
 RAW, FEATURE_TABLE, VOCABULARY, VERSIONS = "customers_raw", "features", "vocabulary", "model_versions"
 RECS, LOG = "recommendations", "inference_log"
@@ -142,6 +144,23 @@ def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date) -> int
     return version
 
 
+def score_arrivals(
+    spark: SparkSession, cfg: EngineConfig, source: str, sink: str, checkpoint: str, once: bool = True
+) -> StreamingQuery:
+    """Score feature files as they land in ``source`` with the champion of the moment the query starts."""
+    version = model_aliases(spark, cfg).get("champion")
+    if version is None:
+        raise LookupError(f"no champion for {cfg.model_name}: train a model first")
+    model, encoded = load_model(cfg, version)
+
+    def score(rows: DataFrame) -> DataFrame:
+        return forest_scores(
+            model, rows, encoded, cfg.numeric_features, str(version), F.col("updated_at"), ["updated_at"]
+        )
+
+    return score_stream(spark, source, sink, checkpoint, score, once=once)
+
+
 def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -> list[str]:
     """Snapshot the monitored tables, whole or as a fixed-size sample; absent or empty ones are skipped."""
     made = []

@@ -48,12 +48,25 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return True
 
 
-def overwrite_table(df: DataFrame, table: str, partition_by: Iterable[str] = ()) -> None:
-    """Replace rows and schema of a path or a catalog table. The input must not be read from it."""
+def overwrite_table(
+    df: DataFrame, table: str, partition_by: Iterable[str] = (), bucket_by: tuple[int, str] | None = None
+) -> None:
+    """Replace rows and schema of a path or a catalog table. The input must not be read from it.
+
+    ``bucket_by`` (number, key) stores a catalog table hashed and sorted by its key; tables bucketed
+    alike are then joined on it without a shuffle, such as recommendations with features every day.
+    """
+    if bucket_by and _is_path(table):
+        raise ValueError("buckets are recorded in the catalog: give a table name, not a path")
+    if bucket_by:
+        df = df.repartition(*bucket_by)  # a task per bucket, or every task writes a file for each of them
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     partition_by = list(partition_by)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        buckets, key = bucket_by
+        writer = writer.bucketBy(buckets, key).sortBy(key)
     if _is_path(table):
         writer.parquet(table)
     else:

@@ -37,6 +37,21 @@ def test_catalog_tables(spark):
     assert tables.baseline_full(spark.range(7), "catalogued_baseline").count() == 7
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    feats = spark.range(200).select(F.col("id").alias("customer_id"), (F.col("id") * 2).alias("x"))
+    recs = spark.range(300).select(F.col("id").alias("customer_id"), F.lit("SMS").alias("action"))
+    tables.overwrite_table(feats, "feats_bucketed", bucket_by=(4, "customer_id"))
+    tables.overwrite_table(recs, "recs_bucketed", bucket_by=(4, "customer_id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("recs_bucketed").join(spark.table("feats_bucketed"), "customer_id", "left")
+        assert "Exchange" not in plan(joined) and joined.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.raises(ValueError):
+        tables.overwrite_table(feats, str(tmp_path / "t"), bucket_by=(4, "customer_id"))
+
+
 def log_rows(spark, day, version, n):
     return spark.range(n).select(
         F.col("id").alias("customer_id"),
