@@ -6,12 +6,14 @@ argument; a rerun with the same clock leaves the same tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from actionspark.config import EngineConfig
 from actionspark.functions.numeric import as_column
@@ -20,7 +22,13 @@ from actionspark.operators.features import features, labels
 from actionspark.operators.logs import health_summary, inference_log, mean_drift, performance_report
 from actionspark.operators.readiness import monitor_status, readiness
 from actionspark.plans.forest import fit_forest, forest_scores, predict
-from actionspark.sources.schemas import FEATURES, RAW_CUSTOMERS, conform
+from actionspark.sources.schemas import (
+    FEATURES,
+    INFERENCE_LOG,
+    RAW_CUSTOMERS,
+    RECOMMENDATIONS,
+    conform,
+)
 from actionspark.sources.tables import (
     append_log,
     baseline_full,
@@ -138,7 +146,7 @@ def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date) -> int
     feats = read_table(spark, cfg.path(FEATURE_TABLE), FEATURES)
     scored = forest_scores(model, feats, encoded, cfg.numeric_features, str(version), as_column(run_ts))
     overwrite_table(scored, cfg.path(RECS))
-    recs = read_table(spark, cfg.path(RECS))
+    recs = read_table(spark, cfg.path(RECS), RECOMMENDATIONS)
     log = inference_log(recs, feats, log_date, run_ts, columns=cfg.features)
     append_log(log, cfg.path(LOG))
     return version
@@ -176,23 +184,37 @@ def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -
     return made
 
 
-def monitor(spark: SparkSession, cfg: EngineConfig, as_of) -> dict[str, DataFrame]:
-    """Profiles, drift, quality and activity reports; profiles are stored, the rest is returned lazily."""
+def _update_profile(
+    df: DataFrame, path: str, ts: str, granularity: str, cols: Sequence[str], slices: Sequence[str] = ()
+) -> None:
+    """Profile the windows from the newest stored one on and replace just those, so history stays and only
+    new rows are read."""
+    spark = df.sparkSession
+    if table_exists(spark, path):
+        stored = read_table(spark, path).filter(F.col("granularity") == granularity)
+        since = stored.agg(F.max("window_start")).first()[0]
+        if since is not None:
+            df = df.filter(F.col(ts).isNull() | (F.col(ts) >= as_column(str(since))))
+    fresh = profiles.profile(df, ts, granularity, cols, slices)
+    append_log(fresh, path, partition_by=["granularity", "window_start"])
+
+
+def monitor(
+    spark: SparkSession, cfg: EngineConfig, as_of, log_schema: StructType | None = INFERENCE_LOG
+) -> dict[str, DataFrame]:
+    """Bring the stored profiles up to date and return the reports, lazily.
+
+    ``log_schema`` None merges the columns of all log files instead, which opens every one of them.
+    """
     feats = read_table(spark, cfg.path(FEATURE_TABLE), FEATURES)
-    log = read_log(spark, cfg.path(LOG))
-    profiled = {
-        "features": profiles.profile(feats, "updated_at", "day", cfg.numeric_features).unionByName(
-            profiles.profile(feats, "updated_at", "week", cfg.numeric_features)
-        ),
-        "inference_log": profiles.profile(
-            log, "inference_timestamp", "day", cfg.numeric_features, ["model_version"]
-        ),
-    }
-    stored = {}
-    for name, df in profiled.items():
-        path = cfg.path(f"{name}_profile")
-        overwrite_table(df, path)
-        stored[name] = read_table(spark, path)
+    log = read_log(spark, cfg.path(LOG), log_schema)
+    paths = {name: cfg.path(f"{name}_profile") for name in (FEATURE_TABLE, LOG)}
+    for granularity in profiles.GRANULARITIES:
+        _update_profile(feats, paths[FEATURE_TABLE], "updated_at", granularity, cfg.numeric_features)
+    _update_profile(
+        log, paths[LOG], "inference_timestamp", "day", cfg.numeric_features, ["model_version"]
+    )
+    stored = {name: read_table(spark, path) for name, path in paths.items()}
 
     out = {
         "readiness": readiness(spark, {"features": feats, "inference_log": log}),
@@ -203,7 +225,7 @@ def monitor(spark: SparkSession, cfg: EngineConfig, as_of) -> dict[str, DataFram
         "health_summary": health_summary(log, as_of),
         "mean_drift": mean_drift(log, cfg.numeric_features),
         "prediction_profile": profiles.prediction_profile(log),
-        "consecutive_drift": profiles.drift_consecutive(stored["inference_log"]),
+        "consecutive_drift": profiles.drift_consecutive(stored[LOG]),
     }
     baseline_path = cfg.path(f"{FEATURE_TABLE}_baseline")
     if table_exists(spark, baseline_path):

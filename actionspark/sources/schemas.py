@@ -85,6 +85,17 @@ FEATURES = _struct(
     updated_at=TIME,
 )
 
+RECOMMENDATIONS = _struct(
+    customer_id=LONG, recommended_action=TEXT, scored_at_ts=TIME, model_version=TEXT
+)
+
+_LOGGED_FEATURES = [f for f in FEATURES.fields if f.name not in ("customer_id", "updated_at")]
+INFERENCE_LOG = T.StructType(
+    _struct(customer_id=LONG, recommended_action=TEXT, scored_at_ts=TIME).fields
+    + _LOGGED_FEATURES
+    + _struct(inference_timestamp=TIME, log_date=T.DateType(), model_version=TEXT).fields
+)
+
 # What the monitors need to find in each monitored table.
 MONITOR_REQUIRED = {
     "features": ("updated_at",),

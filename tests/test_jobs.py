@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from actionspark.config import EngineConfig
 from actionspark.operators.readiness import monitor_status, readiness
 from actionspark.plans import jobs
+from actionspark.sources.schemas import INFERENCE_LOG
 from actionspark.sources.synthetic import generate_customers
 from actionspark.sources.tables import read_log, read_table
 
@@ -52,7 +53,15 @@ def test_whole_run(spark, cfg):
     assert read_table(spark, cfg.path("features_baseline")).count() == 100
     assert jobs.build_baselines(spark, cfg) == ["features", "inference_log"]
 
-    out = jobs.monitor(spark, cfg, "2024-01-03")
+    jobs.monitor(spark, cfg, "2024-01-03")
+    shown = ["window_start", "slice_value", "column_name", "n_rows"]
+    profiled = rows(read_table(spark, cfg.path("inference_log_profile")).select(*shown))
+    out = jobs.monitor(spark, cfg, "2024-01-03")  # a rerun replaces the newest window by itself
+    again = read_table(spark, cfg.path("inference_log_profile"))
+    assert rows(again.select(*shown)) == profiled
+    assert len(profiled) == 2 * 2 * 8
+    declared = read_log(spark, cfg.path("inference_log"), INFERENCE_LOG)
+    assert declared.exceptAll(log.select(*INFERENCE_LOG.fieldNames())).count() == 0
     assert {r["table_name"]: (r["ready"], r["non_empty"]) for r in out["readiness"].collect()} == {
         "features": (True, True), "inference_log": (True, True),
     }
