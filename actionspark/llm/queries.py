@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mixing", "quality", "line_dedup", "sharding")
+MODULES = ("mixing", "quality", "line_dedup", "sharding", "tokens", "decontaminate", "chat", "lm")
 _parts = [import_module(f"actionspark.llm.{m}") for m in MODULES]
 QUERIES = {name: f for part in _parts for name, f in part.QUERIES.items()}
 SQL = {name: text for part in _parts for name, text in part.SQL.items()}
