@@ -19,7 +19,7 @@ VERIFY_COST = 20.0
 SKETCH_BITS = 18
 CHUNK = 1 << 14
 BROADCAST_KEYS = 1_000_000
-OUTPUTS = ("n_shingles", "component_id")
+OUTPUTS = ("n_shingles", "component_id", "component")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
 
@@ -269,7 +269,8 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, sketch_bits: int = SKETCH_BITS
 ) -> DataFrame:
-    """``docs`` with n_shingles and component_id: the smallest key reachable over links of Jaccard ``percent`` or more.
+    """``docs`` with n_shingles, component_id (the smallest key reachable over links of Jaccard ``percent`` or more) and
+    component (a number of the component itself, whatever the keys).
 
     Documents with equal shingle sets are one node. Each node's prefix, the rarest shingles first by a sketch of
     fixed size over all documents, is as long as is estimated to cost least, and a longer prefix asks for more
@@ -278,7 +279,7 @@ def near_duplicates(
     verified. Pairs within a component need no test, so a group of copies costs its size, not its square, and no link
     between components is lost.
 
-    Edge cases: a NULL or empty text has no shingles and is linked with nothing, its component_id is its own key; a
+    Edge cases: a NULL or empty text has no shingles and is linked with nothing, its component_id is its own key, component is NULL; a
     text of fewer words than a shingle is one shingle; repeated rows are copies; a NULL key is never the
     smallest, a component of NULL keys has NULL; an empty table gives an empty one. Input columns named like an
     output are replaced. Sets are told apart by 64 bits.
@@ -303,12 +304,28 @@ def near_duplicates(
     least = ids.groupBy("node").agg(F.min("_key").alias("least")).join(labels, "node", "left")
     least = least.withColumn("label", F.coalesce("label", "node"))
     group = least.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = least.select("node", "label").join(group, "label").select("node", "component_id")
+    found = least.select("node", "label").join(group, "label").select("node", "component_id", F.col("label").alias("component"))
     sizes = nodes.select("row", "node", F.col("n").alias("n_shingles")).distinct().join(found, "node", "left").drop("node")
     out = rows.join(sizes, F.col("_row") == F.col("row")).drop("_row", "row")
     return out.withColumn("component_id", F.when(F.col("n_shingles") == 0, F.col(key)).otherwise(F.col("component_id")))
 
 
+def one_of_each(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of ``near_duplicates`` that stay: of each component the one with its smallest key, and all empty ones.
+
+    A plain filter, but for keys that several rows have, and components without any: those few rows are dealt by
+    component, and one of equals stays.
+    """
+    stays = found.filter((F.col("n_shingles") == 0) | F.col(key).eqNullSafe(F.col("component_id")))
+    linked = stays.filter("n_shingles > 0")
+    unclear = linked.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("_times"))
+    unclear = if_small(stored(unclear.filter("_times > 1 OR _again IS NULL").select("_again"), "unclear"))
+    again = F.col(key).eqNullSafe(F.col("_again")) & (F.col("n_shingles") > 0)
+    return stays.join(unclear, again, "left_anti").unionByName(
+        stays.join(unclear, again, "left_semi").dropDuplicates(["component"])
+    )
+
+
 def _texts_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """One text for each node in a pair. Only the rows' numbers are sent to the scan, if they are few; else joined."""
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
@@ -320,7 +337,7 @@ def _texts_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_duplicates(docs).select("doc_id", *OUTPUTS)
+    return near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES = {"op7_near_duplicates": op7_near_duplicates}
