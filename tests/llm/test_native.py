@@ -1,0 +1,165 @@
+"""Mixing, quality rules, boilerplate lines, shards."""
+
+import duckdb
+import pytest
+from brute import quality_base, quality_kept, words
+from fixtures import documents, edge_documents
+from pyspark.sql import functions as F
+
+from actionspark.llm import line_dedup, lines, mixing, quality, sharding
+
+
+def no_python(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return not any(x in text for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def same_as_sql(spark, module, name, df, tables):
+    con = duckdb.connect()
+    for table, rows in tables.items():
+        columns = ", ".join(f"{f.name} {'BIGINT' if f.dataType.simpleString() == 'bigint' else 'VARCHAR'}" for f in rows.schema)
+        con.execute(f"CREATE TABLE {table} ({columns})")
+        for r in rows.collect():
+            con.execute(f"INSERT INTO {table} VALUES ({', '.join('?' * len(r))})", list(r))
+    want = con.sql(module.SQL[name])
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(key, df.select(*want.columns).collect())) == sorted(map(key, want.fetchall()))
+
+
+def test_mix_equals_sql_on_edge_rows(spark):
+    docs = documents(spark)
+    out = mixing.mix(docs)
+    assert no_python(out)
+    same_as_sql(spark, mixing, "op1_mix_sources", out, {"documents": docs})
+
+
+def test_mix_meets_each_budget_exactly_and_again(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)  # many ranges within a source
+    docs = documents(spark)
+    first = sorted(map(repr, mixing.mix(docs).collect()))
+    assert first == sorted(map(repr, mixing.mix(docs.repartition(5)).collect()))
+    rows = mixing.mix(docs).collect()
+    targets = {r.source: (r.target, r.source_size) for r in rows}
+    assert sum(t for t, _ in targets.values()) == pytest.approx(sum(r["size"] for r in rows))
+    for source, (target, size) in targets.items():
+        assert target <= 3 * size
+        assert sum(r.taken for r in rows if r.source == source) == int(target)
+    assert all(r.taken <= 3 * r["size"] for r in rows)
+
+
+def test_mixed_rows_hold_the_words_taken(spark):
+    docs = documents(spark).withColumn("size", F.lit("clash")).withColumn("_more", F.lit(1))
+    mixed = mixing.mix(docs)
+    out = mixing.repeated(mixed.drop("_x")).collect()
+    assert sum(len(words(r.text)) for r in out) == mixed.agg(F.sum("taken")).first()[0]
+    assert all(r.text for r in out)
+
+
+def test_mix_shares_by_weight_and_caps(spark):
+    sizes = spark.createDataFrame([("a", 10, 1), ("b", 1000, 1), ("c", 1000, 1), (None, 0, 1)], "source string, source_size long, n_rows long")
+    got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
+    # 2010 words by 5, 2, 1, 5: a stops at 30, NULL at 0, the other 1980 go 2 to 1
+    assert got["a"] == 30 and got[None] == 0
+    assert got["b"] == pytest.approx(1320) and got["c"] == pytest.approx(660)
+
+
+def test_quality_equals_brute_force_on_edge_rows(spark):
+    rows = edge_documents()
+    docs = documents(spark).withColumn("kept", F.lit("clash")).withColumn("n_words", F.lit(-1))
+    out = quality.quality(docs)
+    assert no_python(out)
+    got = [tuple(r) for r in out.select("doc_id", "text", *quality.BASE, "kept").collect()]
+    verdicts = quality_kept([(r[3], r[1]) for r in rows])
+    want = [(r[0], r[1], *quality_base(r[1]).values(), k) for r, k in zip(rows, verdicts, strict=True)]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    same_as_sql(spark, quality, "op2_quality_rules", quality.quality(documents(spark)), {"documents": documents(spark)})
+
+
+def boilerplate(spark):
+    body = "own words here number {0} a{0} b{0} c{0} d{0} e{0} f{0} g{0}"
+    rows = [(i, f"Cookie  notice: accept\n{body.format(i)}", "en", "h", 1) for i in range(20)]
+    rows += [(100 + i, f"cookie notice: ACCEPT\nshort text {i}", "en", "h", 1) for i in range(3)]
+    rows += [(200 + i, "this exact copy is often there and has more than ten words", "en", "h", 1) for i in range(50)]
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
+
+
+@pytest.mark.parametrize("broadcast", [lines.BROADCAST_LINES, 0])
+def test_quality_rejects_depleted_documents_only(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(lines, "BROADCAST_LINES", broadcast)  # 0: the salted join
+    got = {r.doc_id: r for r in quality.quality(boilerplate(spark)).collect()}
+    assert len(got) == 73
+    assert all(got[i].kept and got[i].n_frequent_lines == 1 and "ookie" not in got[i].clean_text for i in range(20))
+    assert not any(got[100 + i].kept for i in range(3))
+    assert all(got[200 + i].kept for i in range(50))  # copies count once
+
+
+def test_filter_on_the_verdict_is_not_pushed_into_the_scan(spark):
+    kept = quality.quality(documents(spark)).filter("kept").select("doc_id", "text")
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+    assert kept.count() == sum(quality_kept([(r[3], r[1]) for r in edge_documents()]))
+
+
+PAGES = "page_id BIGINT, url STRING, html STRING"
+
+
+def edge_pages(spark):
+    rows = [(i, f"https://A.example.com/{i}?x#y", f"<nav>Menu</nav><p>Page {i} text &amp; more</p><script>x</script>") for i in range(8)]
+    rows += [(8, "https://a.example.com", None), (9, None, "<p>Menu</p>"), (10, "no url", ""), (11, "http://b.org:80/", "<b>bold</b> line<br>Menu")]
+    rows += [(None, "http://b.org/x", "Menu"), rows[0], rows[0]]
+    return spark.createDataFrame(rows, PAGES)
+
+
+def test_lines_on_most_pages_of_a_site_are_dropped(spark):
+    pages = edge_pages(spark).withColumn("host", F.lit("clash"))
+    out = line_dedup.drop_boilerplate(pages)
+    got = {r.page_id: r for r in out.collect()}
+    assert out.count() == 15
+    assert got[3].clean_text == "Page 3 text & more" and got[3].n_lines == 2 and got[3].n_dropped == 1
+    assert got[8].clean_text == "" and got[8].host_pages == 11
+    assert got[9].host == "" and got[9].clean_text == "Menu" and got[11].clean_text == "bold line\nMenu"
+    same_as_sql(spark, line_dedup, "op8_line_dedup", line_dedup.drop_boilerplate(edge_pages(spark)), {"pages": edge_pages(spark)})
+
+
+@pytest.mark.parametrize("bucket", [1, 7, 4000])
+def test_shards_hold_every_row_once(spark, monkeypatch, bucket):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket)
+    docs = documents(spark).withColumn("slot", F.lit("clash"))
+    out = sharding.shard(docs, shards=7)
+    assert no_python(out)
+    rows = out.collect()
+    plain = lambda rs: sorted(repr((r.doc_id, r.text, r.source)) for r in rs)
+    assert plain(rows) == plain(docs.collect())
+    by_shard = {}
+    for r in rows:
+        by_shard.setdefault(r.shard, []).append(r.slot)
+    sizes = [len(by_shard.get(s, [])) for s in range(7)]
+    assert max(sizes) - min(sizes) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+    assert sorted(map(repr, rows)) == sorted(map(repr, sharding.shard(docs, shards=7).collect()))
+
+
+def test_shards_are_shuffled_and_seeded(spark):
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"))
+    order = lambda seed: [r.doc_id for r in sharding.shard(docs, seed=seed, shards=4).orderBy("shard", "slot").collect()]
+    one, two = order(1), order(2)
+    assert one != two and sorted(one) == list(range(2000))
+    rises = sum(b > a for a, b in zip(one, one[1:], strict=False))
+    assert 850 < rises < 1150
+    mean = [sum(one[i::4]) / 500 for i in range(4)]
+    assert all(850 < m < 1150 for m in mean)
+
+
+def test_shards_are_written_in_order(spark, tmp_path):
+    out = sharding.shard(documents(spark), shards=5)
+    sharding.write_shards(out, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == len(edge_documents()) and back.select("shard").distinct().count() == 5
+
+
+@pytest.mark.parametrize("apply", [mixing.mix, quality.quality, sharding.shard])
+def test_empty_tables(spark, apply):
+    assert apply(documents(spark, [])).collect() == []
+
+
+def test_empty_pages(spark):
+    assert line_dedup.drop_boilerplate(spark.createDataFrame([], PAGES)).collect() == []
