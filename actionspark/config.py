@@ -36,7 +36,9 @@ TRAILING_DAYS = 7
 class EngineConfig:
     """Where the tables live and how the model is fitted.
 
-    ``root`` must be on storage every executor can reach.
+    ``root`` must be on storage every executor can reach. ``fit_partitions`` is the parallelism of the fit (None: the
+    session's shuffle partitions), ``fit_rows`` about how many labelled rows it takes at most (None: all), ``max_bins``
+    how many thresholds it tries per number. ``max_depth`` 30 is the deepest tree the library builds.
     """
 
     root: str
@@ -47,9 +49,10 @@ class EngineConfig:
     test_fraction: float = 0.25
     trees: int = 200
     max_depth: int = 30
-    fit_partitions: int = 8
+    fit_partitions: int | None = None
+    fit_rows: int | None = 2_000_000
+    max_bins: int = 256
     baseline_rows: int = 1000
-    max_categories: int = 1000
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"

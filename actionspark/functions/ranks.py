@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from actionspark.sources.tables import materialize
+
 BINS_PER_E_FOLD = 16_384
 
 
@@ -91,3 +93,19 @@ def exact_quantiles(
     """(keys, one column per quantile), equal to sorting each group and interpolating between neighbours."""
     ranked = cumulative_counts(value_counts(df, keys, value), keys, value)
     return ranked.groupBy(*keys).agg(*quantile_columns(ranked, value, probs))
+
+
+def row_ranks(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:
+    """``df`` with the place of each row, from 1 on, in ``order``, which must be total.
+
+    The rows are dealt by range and stored, so that their parts stay as they are; the parts' sizes, one row per
+    part, give each part its offset, and a task ranks one part.
+    """
+    dealt = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    dealt = materialize(dealt, "ranked")
+    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    ranked = dealt.withColumn("_inside", inside).join(offsets, "_part")
+    return ranked.withColumn(name, F.col("_offset") + F.col("_inside")).drop("_part", "_inside", "_offset")

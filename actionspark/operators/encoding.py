@@ -1,52 +1,37 @@
-"""Categorical vocabulary learned once, and the drop-first one-hot expressions it gives."""
+"""Categorical vocabulary learned once, and the drop-first encodings it gives."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actionspark.functions.numeric import to_long
+from actionspark.functions.ranks import row_ranks
 
 
-def fit_vocabulary(df: DataFrame, cols: Sequence[str], max_categories: int = 1000) -> DataFrame:
+def fit_vocabulary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(feature, feature_ordinal, category, ordinal, is_base): sorted distinct values, the first is the base.
 
-    Values are made distinct before anything else. A column with more than ``max_categories`` values is
-    not categorical: the job fails rather than cut the list.
+    Values are made distinct before anything else, and ranked in ranges, so a column may have any number of them.
     """
     order = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)])
     seen = to_long(df, [], cols, "feature", "category", "string").filter("category IS NOT NULL").distinct()
-    sized = seen.groupBy("feature").agg(F.count("*").alias("size"))
-    checked = sized.select(
-        "feature",
-        F.when(F.col("size") <= max_categories, F.col("size"))
-        .otherwise(F.raise_error(F.concat(F.lit("too many categories in "), F.col("feature"))))
-        .alias("size"),
-    )
-    # one row per categorical column; the guard runs before the ranking sees the values
-    kept = seen.join(F.broadcast(checked), "feature").filter(F.col("size") <= max_categories)
-    ordinal = F.row_number().over(Window.partitionBy("feature").orderBy("category")) - 1
+    placed = seen.withColumn("feature_ordinal", order[F.col("feature")])
+    ranked = row_ranks(placed, [F.col("feature_ordinal"), F.col("category")])
+    first = ranked.groupBy("feature").agg(F.min("rank").alias("first"))  # one row per column
     return (
-        kept.withColumn("ordinal", ordinal)
-        .select(
-            "feature",
-            order[F.col("feature")].alias("feature_ordinal"),
-            "category",
-            "ordinal",
-            (F.col("ordinal") == 0).alias("is_base"),
-        )
+        ranked.join(F.broadcast(first), "feature")
+        .withColumn("ordinal", (F.col("rank") - F.col("first")).cast("int"))
+        .select("feature", "feature_ordinal", "category", "ordinal", (F.col("ordinal") == 0).alias("is_base"))
         .orderBy("feature_ordinal", "ordinal")
     )
 
 
 def load_vocabulary(vocabulary: DataFrame) -> list[tuple[str, str]]:
-    """The encoded (feature, category) pairs in matrix order, base levels left out.
-
-    The one place where rows come to the driver: they become column names, and their number is
-    bounded by the check in :func:`fit_vocabulary`.
-    """
+    """The encoded (feature, category) pairs in matrix order, base levels left out: the column names of
+    the wide form, which is for reading and for few categories. The forest takes :func:`index_categories`."""
     rows = vocabulary.filter(~F.col("is_base")).orderBy("feature_ordinal", "ordinal").collect()
     return [(r["feature"], r["category"]) for r in rows]
 
@@ -69,3 +54,31 @@ def one_hot(
 
 def matrix_names(encoded: Sequence[tuple[str, str]], numerics: Sequence[str]) -> list[str]:
     return list(numerics) + [f"{f}_{cat}" for f, cat in encoded]
+
+
+def category_sizes(vocabulary: DataFrame, cols: Sequence[str]) -> list[int]:
+    """Indexes each column needs: one per category beside the base, and the last for base, NULL and unseen."""
+    found = {r["feature"]: r["n"] for r in vocabulary.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+    return [max(2, found.get(c, 0)) for c in cols]  # an encoder needs two
+
+
+def index_name(col: str) -> str:
+    return f"{col}_index"
+
+
+def index_categories(
+    df: DataFrame, vocabulary: DataFrame, cols: Sequence[str], sizes: Sequence[int], keep: Sequence[str]
+) -> DataFrame:
+    """``keep`` and an index column per categorical column, by a join with the vocabulary of any size.
+
+    The base, NULL and categories that were not there at training get the last index, which the encoder drops.
+    """
+    slim = df.select(*keep, *[c for c in cols if c not in keep])
+    for c, size in zip(cols, sizes, strict=True):
+        known = vocabulary.filter((F.col("feature") == c) & ~F.col("is_base")).select(
+            F.col("category").alias("_category"), (F.col("ordinal") - 1).alias("_at")
+        )
+        slim = slim.join(known, F.col(c).cast("string") == F.col("_category"), "left")
+        index = F.coalesce("_at", F.lit(size - 1)).cast("double")
+        slim = slim.withColumn(index_name(c), index).drop("_category", "_at")
+    return slim.select(*keep, *map(index_name, cols))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,6 +38,12 @@ def _slices(columns: Sequence[str]) -> Column:
     )
 
 
+def _row_hash(cols: Sequence[str], slices: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c).cast("double") for c in cols], *[F.col(c).cast("string") for c in slices]).cast(
+        "decimal(20,0)"
+    )
+
+
 def profile(
     df: DataFrame,
     ts: str,
@@ -45,23 +52,29 @@ def profile(
     slices: Sequence[str] = (),
     exact: bool = False,
 ) -> DataFrame:
-    """Per window, slice and column: n_rows, n_null, n_distinct, mean, stddev, min, quartiles, max.
+    """Per window, slice and column: n_rows, n_null, n_distinct, mean, stddev, min, quartiles, max, content.
+
+    ``content`` is a sum of hashes over the window's rows, in the profiled and slicing columns: what tells a refresh
+    that rows were replaced although their number is the same.
 
     By default distinct counts and quartiles are sketches, and the whole profile is one scan and one
     shuffle of fixed-size buffers. ``exact`` takes them from the counts per distinct value instead.
     """
     cut = df.select(
         window_start(ts, granularity).alias("window_start"),
+        _row_hash(cols, slices).alias("_hash"),
         F.inline(_slices(slices)),
         *[F.col(c).cast("double").alias(c) for c in cols],
     )
     window = ["window_start", *SLICE]
     keys = [*window, "column_name"]
     wide = cut.groupBy(*window).agg(
-        F.count("*").alias("n_rows"), *[moments(c, sketched=not exact) for c in cols]
+        F.count("*").alias("n_rows"),
+        F.sum("_hash").alias("content"),
+        *[moments(c, sketched=not exact) for c in cols],
     )
-    out = wide.unpivot([*window, "n_rows"], list(cols), "column_name", "m").select(
-        *keys, "n_rows", (F.col("n_rows") - F.col("m.n")).alias("n_null"), "m.*"
+    out = wide.unpivot([*window, "n_rows", "content"], list(cols), "column_name", "m").select(
+        *keys, "n_rows", "content", (F.col("n_rows") - F.col("m.n")).alias("n_null"), "m.*"
     )
     if exact:
         rows = to_long(cut, window, cols, "column_name", "value", "double")
@@ -72,7 +85,7 @@ def profile(
         renamed = ranks.select(*[F.col(k).alias(f"r_{k}") for k in keys], "n_distinct", *QUARTILES)
         same = [F.col(k).eqNullSafe(F.col(f"r_{k}")) for k in keys]
         out = out.join(renamed, same, "left").withColumn("n_distinct", F.coalesce("n_distinct", F.lit(0)))
-    shape = ["n_rows", "n_null", "n_distinct", "mean", "stddev", "min", *QUARTILES, "max"]
+    shape = ["n_rows", "n_null", "n_distinct", "mean", "stddev", "min", *QUARTILES, "max", "content"]
     return out.select(F.lit(granularity).alias("granularity"), *keys, *shape)
 
 
@@ -130,6 +143,48 @@ def drift_consecutive(profiles: DataFrame, since=None) -> DataFrame:
     return lagged if since is None else lagged.filter(F.col("window_start") >= since)
 
 
+def stale_windows(
+    stored: DataFrame, df: DataFrame, ts: str, granularity: str, cols: Sequence[str], slices: Sequence[str] = ()
+) -> list[dt.date | None]:
+    """Windows whose rows are not those that ``stored`` was made of: new, grown, replaced or emptied ones.
+
+    One aggregate of counts and hashes over the source, joined with the stored figures; what reaches the driver is
+    one date per stale window, so its size follows the time span, not the rows.
+    """
+    now = df.groupBy(window_start(ts, granularity).alias("window_start")).agg(
+        F.count("*").alias("n_rows"), F.sum(_row_hash(cols, slices)).alias("content")
+    )
+    mine = stored.filter((F.col("granularity") == granularity) & (F.col("slice_key") == "all"))
+    then = mine.select(F.col("window_start").alias("_window"), "n_rows", "content").distinct()
+    same = (
+        now["window_start"].eqNullSafe(then["_window"])
+        & (now["n_rows"] == then["n_rows"])
+        & now["content"].eqNullSafe(then["content"])
+    )
+    changed = now.join(then, same, "left_anti").select("window_start")
+    gone = then.join(now, same, "left_anti").select(F.col("_window").alias("window_start"))
+    return [r["window_start"] for r in changed.unionByName(gone).distinct().orderBy("window_start").collect()]
+
+
+def in_windows(ts: str, granularity: str, windows: Sequence[dt.date | None]) -> Column:
+    """Rows of the given windows, as plain ranges of ``ts`` (adjoining windows as one), which reach the scan."""
+    step = dt.timedelta(days=7 if granularity == "week" else 1)
+    ranges: list[list[dt.date]] = []
+    for w in sorted(w for w in windows if w is not None):
+        if ranges and ranges[-1][1] == w:
+            ranges[-1][1] = w + step
+        else:
+            ranges.append([w, w + step])
+    wanted = F.col(ts).isNull() if None in windows else F.lit(False)
+    for a, b in ranges:
+        wanted = wanted | ((F.col(ts) >= _midnight(a)) & (F.col(ts) < _midnight(b)))
+    return wanted
+
+
+def _midnight(day: dt.date) -> Column:
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")
+
+
 def refresh_profile(
     stored: DataFrame,
     df: DataFrame,
@@ -139,10 +194,13 @@ def refresh_profile(
     slices: Sequence[str] = (),
     exact: bool = False,
 ) -> DataFrame:
-    """``stored`` brought up to date: its newest window may have been incomplete, so that one and all later
-    ones are computed again, and only their rows are read."""
+    """``stored`` brought up to date: every window whose rows changed since, however old, is computed again, and only
+    those windows' rows are read for it."""
     mine = stored.filter(F.col("granularity") == granularity)
-    since = mine.agg(F.max("window_start")).scalar()
-    stale = since.isNull() | F.col(ts).isNull() | (F.col(ts) >= since)
-    fresh = profile(df.filter(stale), ts, granularity, cols, slices, exact)
-    return mine.filter(F.col("window_start") < since).unionByName(fresh)
+    stale = stale_windows(stored, df, ts, granularity, cols, slices)
+    fresh = profile(df.filter(in_windows(ts, granularity, stale)), ts, granularity, cols, slices, exact)
+    known = [w for w in stale if w is not None]
+    kept = ~F.col("window_start").isin(known) if known else F.lit(True)
+    missing = F.col("window_start").isNull()
+    kept = F.when(missing, F.lit(None not in stale)).otherwise(kept)
+    return mine.filter(kept).select(*fresh.columns).unionByName(fresh)

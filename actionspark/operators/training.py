@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actionspark.functions.numeric import hash_u32
+from actionspark.functions.ranks import row_ranks
+from actionspark.sources.tables import materialize
 
 PREFIX_BITS = 16
-MAX_CLASSES = 10_000
 
 
 def training_set(
@@ -37,24 +38,17 @@ def test_quotas(df: DataFrame, label: str, test: float = 0.25) -> DataFrame:
     """(label, n, test_quota): ceil(test * rows) test rows in all, the train rows shared out among the
     classes in proportion, the remainder going to the largest fractions (ties to the lower label).
 
-    One row per class; a column with more than MAX_CLASSES values is no class label and fails the job."""
-    everything = Window.partitionBy(F.lit(1))
-    counted = df.groupBy(label).agg(F.count("*").alias("n"))
-    too_many = F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes")).cast("long")
-    classes = counted.withColumn(
-        "n", F.when(F.count("*").over(everything) <= MAX_CLASSES, F.col("n")).otherwise(too_many)
-    )
-    n_all = F.sum("n").over(everything)
+    The classes' fractions are ranked in ranges, so there may be any number of classes."""
+    classes = materialize(df.groupBy(label).agg(F.count("*").alias("n")), "classes")
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_all"))
+    n_all = total.scalar()
     n_train = n_all - F.ceil(n_all * F.lit(test))
-    share = classes.withColumn("n_train", n_train).withColumn(
-        "exact", F.col("n_train") * F.col("n") / n_all
-    )
-    left_over = F.col("n_train") - F.sum(F.floor("exact")).over(everything)
-    by_fraction = Window.partitionBy(F.lit(1)).orderBy(
-        F.desc(F.col("exact") - F.floor("exact")), F.asc_nulls_last(label)
-    )
-    extra = (F.row_number().over(by_fraction) <= left_over).cast("long")
-    return share.select(label, "n", (F.col("n") - F.floor("exact") - extra).alias("test_quota"))
+    share = classes.withColumn("exact", n_train * F.col("n") / n_all)
+    left_over = share.agg(F.max(n_train) - F.sum(F.floor("exact"))).scalar()
+    fraction = F.col("exact") - F.floor("exact")
+    ranked = row_ranks(share.withColumn("fraction", fraction), [F.desc("fraction"), F.asc_nulls_last(label)])
+    extra = (F.col("rank") <= left_over).cast("long")
+    return ranked.select(label, "n", (F.col("n") - F.floor("exact") - extra).alias("test_quota"))
 
 
 def exact_split(df: DataFrame, key: str, label: str, test: float = 0.25, seed: int = 42) -> DataFrame:
@@ -70,10 +64,10 @@ def exact_split(df: DataFrame, key: str, label: str, test: float = 0.25, seed: i
 
     counts = slim.groupBy(label, "_prefix").agg(F.count("*").alias("n"))
     run = Window.partitionBy(label).orderBy("_prefix")
-    quotas = test_quotas(df, label, test).select(F.col(label).alias("_label"), "test_quota")
+    quotas = materialize(test_quotas(df, label, test), "quotas").select(F.col(label).alias("_label"), "test_quota")
     boundary = (
         counts.withColumn("upto", F.sum("n").over(run))
-        .join(F.broadcast(quotas), F.col(label).eqNullSafe(F.col("_label")))  # one row per class
+        .join(quotas, F.col(label).eqNullSafe(F.col("_label")))
         .filter((F.col("upto") >= F.col("test_quota")) & (F.col("upto") - F.col("n") < F.col("test_quota")))
         .select(
             "_label",
@@ -82,7 +76,7 @@ def exact_split(df: DataFrame, key: str, label: str, test: float = 0.25, seed: i
         )
     )
     in_boundary = slim.join(
-        F.broadcast(boundary),  # one row per class
+        boundary,
         F.col(label).eqNullSafe(F.col("_label")) & (F.col("_prefix") == F.col("_cut_prefix")),
     )
     rank = F.row_number().over(Window.partitionBy("_label", "_cut_prefix").orderBy("_hash", "_key"))
@@ -93,7 +87,7 @@ def exact_split(df: DataFrame, key: str, label: str, test: float = 0.25, seed: i
         (F.col("_hash") == F.col("_cut_hash")) & (F.col(key) <= F.col("_cut_key"))
     )
     return (
-        hashed.join(F.broadcast(cutoff), F.col(label).eqNullSafe(F.col("_label")), "left")
+        hashed.join(cutoff, F.col(label).eqNullSafe(F.col("_label")), "left")
         .withColumn("split", F.when(below, "test").otherwise("train"))
         .drop("_hash", "_label", "_cut_hash", "_cut_key")
     )

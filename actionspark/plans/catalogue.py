@@ -8,19 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from actionspark.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from actionspark.functions.numeric import rounded
-from actionspark.functions.rules import action_label, action_name, best_action, shallow_tree_label
+from actionspark.functions.rules import action_label, action_name, shallow_tree_label
 from actionspark.operators import counts, drift, encoding, evaluation, keys, profiles, readiness, summary
 from actionspark.operators import logs as log_ops
 from actionspark.operators import training
 from actionspark.operators.features import features, labels, on_date, present, stamp, trailing
 from actionspark.plans.forest import fit_forest, forest_scores, predict
 from actionspark.sources.customer360 import customer_snapshots, load_warehouse, raw_customers
-from actionspark.sources.synthetic import synthesize
+from actionspark.sources.schemas import INFERENCE_LOG
 from actionspark.sources.tables import (
     append_log,
     baseline_full,
@@ -28,6 +29,7 @@ from actionspark.sources.tables import (
     materialize,
     overwrite_table,
     read_log,
+    read_table,
     scratch_path,
     warehouse_table,
 )
@@ -44,6 +46,7 @@ EXPLORED = (
 )
 FEATURE_COLUMNS = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 FOREST = {"trees": 200, "depth": 30, "seed": 42}
+ACCURACY_FLOOR, RECALL_FLOOR = 0.9, 0.75
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,7 +120,8 @@ def _rule_evaluated(spark, d):
 
 def _two_sides(spark, d):
     """Newest snapshot and the oldest one as its baseline."""
-    feats = _snapshot_features(spark, d, stored=True)
+    snaps = materialize(customer_snapshots(load_warehouse(spark, d), [0, SNAPSHOTS - 1]), "snapshots")
+    feats = features(snaps, F.col("as_of"), keep=["snapshot", "best_action"])
     return feats.filter(F.col("snapshot") == 0), feats.filter(F.col("snapshot") == SNAPSHOTS - 1)
 
 
@@ -385,14 +389,12 @@ def _region_versions(spark, d):
 
 
 def _monthly_versions(spark, d):
-    """One model per order priority, one version per month: the share of finished orders as accuracy."""
+    """One model per order priority, one version per month (12 * year + month): the share of finished orders as accuracy."""
     orders = warehouse_table(spark, d, "orders")
-    months = F.months_between(F.trunc("o_orderdate", "month"), F.lit("1995-01-01").cast("date"))
+    month = (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("int")
     finished = F.count_if(F.col("o_orderstatus") == "F") / F.count("*")
-    return (
-        orders.groupBy(F.col("o_orderpriority").alias("model"), (months.cast("int") + 1).alias("version"))
-        .agg(finished.alias("accuracy"))
-        .filter(F.col("version") > 0)
+    return orders.groupBy(F.col("o_orderpriority").alias("model"), month.alias("version")).agg(
+        finished.alias("accuracy")
     )
 
 
@@ -417,17 +419,27 @@ def _labelled_split(stored):
 
 
 def _forest(spark, d):
-    """A forest fitted on the train part, the features of all customers, the category columns."""
+    """A forest fitted on the train part, the features of all customers, the vocabulary, the split rows."""
     stored = materialize(_newest(spark, d), "raw")
     feats = features(stored, F.col("as_of"))
-    encoded = encoding.load_vocabulary(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES))
-    train = _labelled_split(stored).filter(F.col("split") == "train")
-    return fit_forest(train, encoded, NUMERIC_FEATURES, **FOREST), feats, encoded
+    known = materialize(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES), "vocabulary")
+    split = _labelled_split(stored)
+    model = fit_forest(split.filter(F.col("split") == "train"), known, CATEGORICAL_FEATURES, NUMERIC_FEATURES, **FOREST)
+    return model, feats, known, split
+
+
+def _rule_forest(spark, d):
+    """A forest without chance, fitted on all rows to give back the fixed shallow tree's label."""
+    feats = materialize(_features(spark, d), "features")
+    known = materialize(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES), "vocabulary")
+    train = feats.withColumn("action_label", shallow_tree_label())
+    whole = {**FOREST, "trees": 3, "bootstrap": False, "features_per_split": "all", "fit_rows": None}
+    return fit_forest(train, known, CATEGORICAL_FEATURES, NUMERIC_FEATURES, **whole), feats, known
 
 
-def _forest_scores(model, rows, encoded):
+def _forest_scores(model, rows, known):
     return forest_scores(
-        model, rows, encoded, NUMERIC_FEATURES, "1", F.col("updated_at"), carry=["updated_at"]
+        model, rows, known, CATEGORICAL_FEATURES, NUMERIC_FEATURES, "1", F.col("updated_at"), carry=["updated_at"]
     )
 
 
@@ -445,42 +457,47 @@ def _differences(left, right):
 
 @query("rf_held_out")
 def rf_held_out(spark, d):
-    """The forest on the rows it has not seen, against always answering the most frequent class."""
-    model, _, encoded = _forest(spark, d)
-    test = _labelled_split(materialize(_newest(spark, d), "raw")).filter(F.col("split") == "test")
-    scored = predict(model, test, encoded, NUMERIC_FEATURES, ["customer_id", "action_label"])
+    """Per class, on rows the forest has not seen: their number, and whether accuracy and the class's recall reach
+    their floors."""
+    model, _, known, split = _forest(spark, d)
+    test = split.filter(F.col("split") == "test")
+    kept = ["customer_id", "action_label"]
+    scored = predict(model, test, known, CATEGORICAL_FEATURES, NUMERIC_FEATURES, kept)
     hit = F.count_if(F.col("action_label") == F.col("predicted_label"))
-    per_class = scored.groupBy("action_label").agg(F.count("*").alias("n"), hit.alias("hits"))
-    return per_class.agg(
-        F.sum("n").alias("n_test"),
-        F.max("n").alias("n_majority"),
-        (F.sum("hits") > F.max("n")).alias("beats_majority"),
+    per_class = scored.groupBy("action_label").agg(F.count("*").alias("n_test"), hit.alias("hits"))
+    everything = Window.partitionBy(F.lit(1))  # a row per class
+    accuracy = F.sum("hits").over(everything) / F.sum("n_test").over(everything)
+    return per_class.select(
+        "action_label",
+        "n_test",
+        (accuracy >= ACCURACY_FLOOR).alias("accurate"),
+        (F.col("hits") / F.col("n_test") >= RECALL_FLOOR).alias("recalled"),
     )
 
 
 @query("rf_requests")
 def rf_requests(spark, d):
     """Requests scored by themselves against the same rows scored within the batch."""
-    model, feats, encoded = _forest(spark, d)
+    model, feats, known, _ = _forest(spark, d)
     errors = warehouse_table(spark, d, "events").filter(F.col("event_type") == "error")
     asked = errors.select(F.col("user_id").alias("customer_id"))
-    alone = _forest_scores(model, feats.join(asked, "customer_id", "left_semi"), encoded)
-    batch = _forest_scores(model, feats, encoded).join(asked, "customer_id", "left_semi")
+    alone = _forest_scores(model, feats.join(asked, "customer_id", "left_semi"), known)
+    batch = _forest_scores(model, feats, known).join(asked, "customer_id", "left_semi")
     return _differences(alone, batch)
 
 
 @query("stream_against_batch")
 def stream_against_batch(spark, d):
     """Streamed scores against the batch scores of the same rows."""
-    model, feats, encoded = _forest(spark, d)
-    streamed = _streamed(spark, feats, lambda rows: _forest_scores(model, rows, encoded))
-    return _differences(streamed, _forest_scores(model, feats, encoded))
+    model, feats, known, _ = _forest(spark, d)
+    streamed = _streamed(spark, feats, lambda rows: _forest_scores(model, rows, known))
+    return _differences(streamed, _forest_scores(model, feats, known))
 
 
 @query("rf_scores")
 def rf_scores(spark, d):
-    model, feats, encoded = _forest(spark, d)
-    return _forest_scores(model, feats, encoded)
+    """Scores of a forest that must have learnt the shallow tree's rule, row by row."""
+    return _forest_scores(*_rule_forest(spark, d))
 
 
 def _streamed(spark, feats, scorer):
@@ -499,8 +516,8 @@ def stream_rule_scores(spark, d):
 
 @query("stream_scores")
 def stream_scores(spark, d):
-    model, feats, encoded = _forest(spark, d)
-    return _streamed(spark, feats, lambda rows: _forest_scores(model, rows, encoded))
+    model, feats, known = _rule_forest(spark, d)
+    return _streamed(spark, feats, lambda rows: _forest_scores(model, rows, known))
 
 
 # ---- log, profiles, drift, reports --------------------------------------------------------------
@@ -513,21 +530,35 @@ def inference_log(spark, d):
 
 @query("appended_log")
 def appended_log(spark, d):
-    """The log written one snapshot at a time, the last one twice and with one more column."""
+    """The log written one snapshot at a time, each in two batches for the same day and version; the newest day's
+    second batch is written again, with one more column."""
     feats = _snapshot_features(spark, d, stored=True)
     path = scratch_path(spark, "log")
     for k in reversed(range(SNAPSHOTS)):
-        day = feats.filter(F.col("snapshot") == k)
-        rows = log_ops.inference_log(
-            _recs(day).drop("snapshot"), day.filter(_active()), F.col("scored_at_ts"), F.col("scored_at_ts")
-        )
-        append_log(rows, path)
-    append_log(rows.withColumn("channel", F.lower("recommended_action")), path)
-    return read_log(spark, path).select(
-        "customer_id", "recommended_action", "income", "log_date", "model_version", "channel"
+        for batch in ("0", "1"):
+            part = feats.filter((F.col("snapshot") == k) & (F.col("customer_id") % 2 == int(batch)))
+            rows = log_ops.inference_log(
+                _recs(part).drop("snapshot"), part.filter(_active()), F.col("scored_at_ts"), F.col("scored_at_ts")
+            )
+            append_log(rows, path, batch_id=batch)
+    append_log(rows.withColumn("channel", F.lower("recommended_action")), path, batch_id=batch)
+    known = StructType([*INFERENCE_LOG.fields, StructField("channel", StringType())])
+    return read_log(spark, path, known).select(
+        "customer_id", "recommended_action", "income", "log_date", "model_version", "batch_id", "channel"
     )
 
 
+@query("overwritten_table")
+def overwritten_table(spark, d):
+    """The feature table replaced by the labelled features: other rows, another schema, read back."""
+    path = scratch_path(spark, "features")
+    feats = _snapshot_features(spark, d, stored=True)
+    overwrite_table(feats.filter(F.col("snapshot") == 1).drop("snapshot", "best_action"), path)
+    newest = feats.filter(F.col("snapshot") == 0)
+    overwrite_table(newest.select("customer_id", "age_bucket", "best_action", action_label().alias("action_label")), path)
+    return read_table(spark, path)
+
+
 @query("baseline_snapshot")
 def baseline_snapshot(spark, d):
     return baseline_full(_features(spark, d), scratch_path(spark, "baseline"))
@@ -553,34 +584,39 @@ def mean_drift(spark, d):
     return rounded(log_ops.mean_drift(_log(spark, d), NUMERIC_FEATURES))
 
 
+def _profile(*args, **named):
+    return profiles.profile(*args, **named).drop("content")
+
+
 @query("profile_daily")
 def profile_daily(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
-    return rounded(profiles.profile(feats, "updated_at", "day", NUMERIC_FEATURES, exact=True))
+    return rounded(_profile(feats, "updated_at", "day", NUMERIC_FEATURES, exact=True))
 
 
 @query("profile_weekly")
 def profile_weekly(spark, d):
     feats = _snapshot_features(spark, d, stored=True)
-    return rounded(profiles.profile(feats, "updated_at", "week", NUMERIC_FEATURES, exact=True))
+    return rounded(_profile(feats, "updated_at", "week", NUMERIC_FEATURES, exact=True))
 
 
 @query("event_profile_weekly")
 def event_profile_weekly(spark, d):
     events = warehouse_table(spark, d, "events")
-    return rounded(profiles.profile(events, "ts", "week", ["value"], ["event_type"], exact=True))
+    return rounded(_profile(events, "ts", "week", ["value"], ["event_type"], exact=True))
 
 
 @query("event_profile_refreshed")
 def event_profile_refreshed(spark, d):
+    """Profiled without the two newest weeks and without every seventh older event, which arrive late; then refreshed."""
     events = warehouse_table(spark, d, "events")
-    before = events.filter(F.col("ts") < F.lit("2024-01-17").cast("timestamp_ntz"))
+    cut = events.agg(F.max("ts") - F.make_dt_interval(F.lit(14))).scalar()
+    before = events.filter((F.col("ts") < cut) & ((F.col("event_id") % 7 != 0) | (F.col("ts") < cut - F.make_dt_interval(F.lit(7)))))
     stored = materialize(
         profiles.profile(before, "ts", "week", ["value"], ["event_type"], exact=True), "profile"
     )
-    return rounded(
-        profiles.refresh_profile(stored, events, "ts", "week", ["value"], ["event_type"], exact=True)
-    )
+    fresh = profiles.refresh_profile(stored, events, "ts", "week", ["value"], ["event_type"], exact=True)
+    return rounded(fresh.drop("content"))
 
 
 @query("inference_profile")
@@ -592,7 +628,7 @@ def inference_profile(spark, d):
 def inference_profile_numeric(spark, d):
     log = _log(spark, d)
     return rounded(
-        profiles.profile(
+        _profile(
             log, "inference_timestamp", "day", NUMERIC_FEATURES, ["model_version"], exact=True
         )
     )
@@ -648,39 +684,3 @@ def monitor_status(spark, d):
         "inference_log": profiles.prediction_profile(log),
     }
     return readiness.monitor_status(spark, stored)
-
-
-# ---- generator ----------------------------------------------------------------------------------
-
-
-@query("synthetic_customers")
-def synthetic_customers(spark, d):
-    """One synthetic customer for every customer key of the warehouse."""
-    known = warehouse_table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"))
-    return synthesize(known)
-
-
-@query("synthetic_checks")
-def synthetic_checks(spark, d):
-    """Whether the generated customers stay in their domains and within five standard errors of the
-    moments of their distributions."""
-    made = synthetic_customers(spark, d)
-    size = F.sqrt(F.count("*"))
-
-    def near(value, mean, sd):
-        return F.abs(F.avg(value) - mean) <= 5 * sd / size
-
-    return made.agg(
-        F.count("*").alias("n_customers"),
-        F.count_distinct("customer_id").alias("n_keys"),
-        (F.min("age") >= 18).alias("youngest_ok"),
-        (F.max("age") <= 70).alias("oldest_ok"),
-        F.min("income").between(20_000, 250_000).alias("income_floor_ok"),
-        F.max("income").between(20_000, 250_000).alias("income_ceiling_ok"),
-        near("age", 44.0, 15.3).alias("age_ok"),
-        near("num_purchases_last_month", 2.2, 1.49).alias("purchases_ok"),
-        near("browsing_minutes_last_week", 55.0, 37.1).alias("browsing_ok"),
-        near((F.col("gender") == "F").cast("int"), 0.52, 0.5).alias("gender_ok"),
-        near((F.col("region") == "South").cast("int"), 0.35, 0.48).alias("region_ok"),
-        (F.count_if(F.col("best_action") != best_action()) == 0).alias("labels_ok"),
-    )

@@ -33,9 +33,11 @@ from actionspark.sources.tables import (
     append_log,
     baseline_full,
     baseline_sample,
+    materialize,
     overwrite_table,
     read_log,
     read_table,
+    scratch,
     table_exists,
 )
 from actionspark.streaming.scoring import score_stream
@@ -88,31 +90,42 @@ def train_model(spark: SparkSession, cfg: EngineConfig, lookup: bool = False) ->
     ``lookup`` keeps labels without features in the training set; the fit then fails on their NULLs
     rather than inventing values.
     """
+    with scratch(spark):
+        return _train_model(spark, cfg, lookup)
+
+
+def _train_model(spark: SparkSession, cfg: EngineConfig, lookup: bool) -> TrainedModel:
     raw = read_table(spark, cfg.path(RAW), RAW_CUSTOMERS)
     feats = read_table(spark, cfg.path(FEATURE_TABLE), FEATURES)
-    vocabulary = encoding.fit_vocabulary(feats, cfg.categorical_features, cfg.max_categories)
+    vocabulary = encoding.fit_vocabulary(feats, cfg.categorical_features)
     joined = training.training_set(labels(raw), feats, cfg.features, "left" if lookup else "inner")
+    joined = materialize(joined, "training_set")
     parts = training.exact_split(joined, "customer_id", "action_label", cfg.test_fraction, cfg.seed)
 
     version = (model_aliases(spark, cfg).get("staging") or 0) + 1
     stored_vocabulary = f"{_model_path(cfg, version)}/{VOCABULARY}"
     overwrite_table(vocabulary, stored_vocabulary)
-    encoded = encoding.load_vocabulary(read_table(spark, stored_vocabulary))
+    vocabulary = read_table(spark, stored_vocabulary)
 
     model = fit_forest(
         parts.filter(F.col("split") == "train"),
-        encoded,
+        vocabulary,
+        cfg.categorical_features,
         cfg.numeric_features,
         trees=cfg.trees,
         depth=cfg.max_depth,
         seed=cfg.seed,
         partitions=cfg.fit_partitions,
+        max_bins=cfg.max_bins,
+        fit_rows=cfg.fit_rows,
     )
     model.write().overwrite().save(f"{_model_path(cfg, version)}/forest")
 
     held_out = parts.filter(F.col("split") == "test")
     scored_path = f"{_model_path(cfg, version)}/held_out"
-    scored = predict(model, held_out, encoded, cfg.numeric_features, ["customer_id", "action_label"])
+    scored = predict(
+        model, held_out, vocabulary, cfg.categorical_features, cfg.numeric_features, ["customer_id", "action_label"]
+    )
     overwrite_table(scored, scored_path)
     scored = read_table(spark, scored_path)
     accuracy = evaluation.accuracy(scored).first()["accuracy"]
@@ -126,29 +139,32 @@ def train_model(spark: SparkSession, cfg: EngineConfig, lookup: bool = False) ->
     )
 
 
-def load_model(cfg: EngineConfig, version: int) -> tuple[PipelineModel, list[tuple[str, str]]]:
-    """A stored version and the category columns it was fitted with."""
+def load_model(cfg: EngineConfig, version: int) -> tuple[PipelineModel, DataFrame]:
+    """A stored version and the vocabulary it was fitted with."""
     spark = SparkSession.active()
     vocabulary = read_table(spark, f"{_model_path(cfg, version)}/{VOCABULARY}")
     forest = PipelineModel.load(f"{_model_path(cfg, version)}/forest")
-    return forest, encoding.load_vocabulary(vocabulary)
+    return forest, vocabulary
 
 
-def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date) -> int:
+def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date, batch_id: str | None = None) -> int:
     """Score every feature row with the champion, store the recommendations, append them to the log.
 
-    One lookup decides the version that scores and the version that is logged. Returns it.
+    One lookup decides the version that scores and the version that is logged. Returns it. ``batch_id`` (by default the
+    run's clock) names the batch in the log: the same batch again replaces itself, another one adds up.
     """
     version = model_aliases(spark, cfg).get("champion")
     if version is None:
         raise LookupError(f"no champion for {cfg.model_name}: train a model first")
-    model, encoded = load_model(cfg, version)
+    model, vocabulary = load_model(cfg, version)
     feats = read_table(spark, cfg.path(FEATURE_TABLE), FEATURES)
-    scored = forest_scores(model, feats, encoded, cfg.numeric_features, str(version), as_column(run_ts))
+    scored = forest_scores(
+        model, feats, vocabulary, cfg.categorical_features, cfg.numeric_features, str(version), as_column(run_ts)
+    )
     overwrite_table(scored, cfg.path(RECS))
     recs = read_table(spark, cfg.path(RECS), RECOMMENDATIONS)
     log = inference_log(recs, feats, log_date, run_ts, columns=cfg.features)
-    append_log(log, cfg.path(LOG))
+    append_log(log, cfg.path(LOG), batch_id=str(run_ts) if batch_id is None else batch_id)
     return version
 
 
@@ -159,11 +175,18 @@ def score_arrivals(
     version = model_aliases(spark, cfg).get("champion")
     if version is None:
         raise LookupError(f"no champion for {cfg.model_name}: train a model first")
-    model, encoded = load_model(cfg, version)
+    model, vocabulary = load_model(cfg, version)
 
     def score(rows: DataFrame) -> DataFrame:
         return forest_scores(
-            model, rows, encoded, cfg.numeric_features, str(version), F.col("updated_at"), ["updated_at"]
+            model,
+            rows,
+            vocabulary,
+            cfg.categorical_features,
+            cfg.numeric_features,
+            str(version),
+            F.col("updated_at"),
+            ["updated_at"],
         )
 
     return score_stream(spark, source, sink, checkpoint, score, once=once)
@@ -175,7 +198,7 @@ def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -
     for name in (FEATURE_TABLE, LOG):
         if not table_exists(spark, cfg.path(name)):
             continue
-        df = read_table(spark, cfg.path(name))
+        df = read_log(spark, cfg.path(name)) if name == LOG else read_table(spark, cfg.path(name))
         if df.isEmpty():
             continue
         rows = df if full else baseline_sample(df, "customer_id", cfg.baseline_rows)
@@ -187,14 +210,14 @@ def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -
 def _update_profile(
     df: DataFrame, path: str, ts: str, granularity: str, cols: Sequence[str], slices: Sequence[str] = ()
 ) -> None:
-    """Profile the windows from the newest stored one on and replace just those, so history stays and only
-    new rows are read."""
+    """Profile the windows whose rows changed since they were profiled, however old, and replace just those, so history
+    stays. A log never loses all rows of a window; one that did would keep its last profile."""
     spark = df.sparkSession
     if table_exists(spark, path):
-        stored = read_table(spark, path).filter(F.col("granularity") == granularity)
-        since = stored.agg(F.max("window_start")).first()[0]
-        if since is not None:
-            df = df.filter(F.col(ts).isNull() | (F.col(ts) >= as_column(str(since))))
+        stored = read_table(spark, path)
+        if "content" in stored.columns:
+            stale = profiles.stale_windows(stored, df, ts, granularity, cols, slices)
+            df = df.filter(profiles.in_windows(ts, granularity, stale))
     fresh = profiles.profile(df, ts, granularity, cols, slices)
     append_log(fresh, path, partition_by=["granularity", "window_start"])
 

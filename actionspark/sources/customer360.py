@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def _windowed(
 
 def customer_snapshots(
     tables: Mapping[str, DataFrame],
-    snapshots: int = 1,
+    snapshots: int | Sequence[int] = 1,
     as_of: Column | str | None = None,
     browse_as_of: Column | str | None = None,
 ) -> DataFrame:
@@ -76,16 +76,19 @@ def customer_snapshots(
 
     Snapshot k looks back from ``as_of`` minus 180*k days (orders) and ``browse_as_of`` minus 7*k days
     (events). Both default to the newest date of their table, found by a scalar subquery that also
-    prunes the scan. Facts are aggregated before they meet the customers, all three on
+    prunes the scan. ``snapshots`` is how many, from 0 on, or the numbers wanted. Facts are aggregated before they meet the customers, all three on
     (customer, snapshot), so each fact table is shuffled once and a hot customer arrives as a few
     partial sums per task instead of as its rows.
     """
+    numbers = range(snapshots) if isinstance(snapshots, int) else sorted(set(snapshots))
+    reach = max(numbers) + 1
     orders, end = _windowed(
-        tables["orders"], "o_orderdate", as_of, ORDER_WINDOW_DAYS, ORDER_STEP_DAYS, snapshots
-    )
-    events, _ = _windowed(
-        tables["events"], "ts", browse_as_of, BROWSE_WINDOW_DAYS, BROWSE_STEP_DAYS, snapshots
+        tables["orders"], "o_orderdate", as_of, ORDER_WINDOW_DAYS, ORDER_STEP_DAYS, reach
     )
+    events, _ = _windowed(tables["events"], "ts", browse_as_of, BROWSE_WINDOW_DAYS, BROWSE_STEP_DAYS, reach)
+    if len(numbers) < reach:  # facts of no wanted snapshot are counted for none
+        wanted = F.array_intersect("in_snapshots", F.array(*map(F.lit, numbers)))
+        orders, events = (facts.withColumn("in_snapshots", wanted) for facts in (orders, events))
     orders = orders.withColumnRenamed("o_custkey", "customer_id")
 
     purchases = (
@@ -128,7 +131,7 @@ def customer_snapshots(
             F.col("c_custkey").alias("customer_id"),
             "c_acctbal",
             "r_name",
-            F.explode(F.sequence(F.lit(0), F.lit(snapshots - 1))).alias("snapshot"),
+            F.explode(F.array(*map(F.lit, numbers))).alias("snapshot"),
         )
     )
 

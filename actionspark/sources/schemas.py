@@ -93,7 +93,7 @@ _LOGGED_FEATURES = [f for f in FEATURES.fields if f.name not in ("customer_id",
 INFERENCE_LOG = T.StructType(
     _struct(customer_id=LONG, recommended_action=TEXT, scored_at_ts=TIME).fields
     + _LOGGED_FEATURES
-    + _struct(inference_timestamp=TIME, log_date=T.DateType(), model_version=TEXT).fields
+    + _struct(inference_timestamp=TIME, log_date=T.DateType(), model_version=TEXT, batch_id=TEXT).fields
 )
 
 # What the monitors need to find in each monitored table.

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from actionspark.sources.schemas import WAREHOUSE, SchemaMismatch, conform
 
-LOG_PARTITIONS = ("log_date", "model_version")
+LOG_PARTITIONS = ("log_date", "model_version", "batch_id")
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def warehouse_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -41,8 +43,8 @@ def table_exists(spark: SparkSession, table: str) -> bool:
         return spark.catalog.tableExists(table)
     try:
         spark.read.parquet(table).schema
-    except Exception as e:  # the class differs between classic and Connect sessions
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
             return False
         raise
     return True
@@ -73,13 +75,19 @@ def overwrite_table(
         writer.format("parquet").saveAsTable(table)
 
 
-def append_log(df: DataFrame, path: str, partition_by: Iterable[str] = LOG_PARTITIONS) -> None:
+def append_log(
+    df: DataFrame, path: str, partition_by: Iterable[str] = LOG_PARTITIONS, batch_id: str | None = None
+) -> None:
     """Append by replacing exactly the partitions present in ``df``: a rerun leaves one copy.
 
-    The rebalance hint lets the adaptive planner size the files: it merges small partitions and
-    splits a large one, where a plain repartition by the date would send a whole day to one task.
+    ``batch_id``, stored as a column, tells a rerun from a further batch: a batch written again replaces itself,
+    another batch of the same day and version stays next to it. The rebalance hint lets the adaptive planner
+    size the files: it merges small partitions and splits a large one, where a plain repartition by the
+    date would send a whole day to one task.
     """
     partition_by = list(partition_by)
+    if batch_id is not None:
+        df = df.withColumn("batch_id", F.lit(str(batch_id)))
     missing = [c for c in partition_by if c not in df.columns]
     if missing:
         raise SchemaMismatch(f"log rows lack partition columns {missing}")
@@ -96,13 +104,13 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType | None = None)
     """The log with all columns any append brought; older rows hold NULL in newer columns.
 
     Without ``schema`` the columns are merged from the footers of all files; a reader that knows what it
-    needs passes it and opens none. Partition values are read as stored: the version is text even if it
-    looks like a number.
+    needs passes it and opens none. Partition values are read as stored: version and batch are text even if they
+    look like numbers.
     """
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     merged = spark.read.option("mergeSchema", "true").parquet(path)
-    wanted = {"log_date": T.DateType(), "model_version": T.StringType()}
+    wanted = {"log_date": T.DateType(), "model_version": T.StringType(), "batch_id": T.StringType()}
     fields = [
         T.StructField(f.name, wanted.get(f.name, f.dataType), True) for f in merged.schema.fields
     ]
@@ -135,21 +143,39 @@ def baseline_sample(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors reach: the one the session names; a local one only on a local master."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if spark.sparkContext.getCheckpointDir():
-        return spark.sparkContext.getCheckpointDir().rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="actionspark-")
-        spark.sparkContext.setCheckpointDir(made)
-        return made
-    raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage")
+    """Folder for intermediate tables, which all executors reach: the one ``spark.checkpoint.dir`` names, the
+    same on every master."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage")
+    return named.rstrip("/")
+
+
+_OPEN: list[list[str]] = []  # folders made in the scratch blocks that are open, the innermost last
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/actionspark-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/actionspark-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(folder)
+    return f"{folder}/{name}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made inside the block when it ends; what it returned must be stored or read.
+
+    Tables made outside of any block belong to lazy results and stay until the folder's owner clears it.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        for folder in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -369,11 +369,14 @@ add(
     snaps(1),
     RULE_SCORES + " WHERE customer_id IN (SELECT user_id FROM events WHERE event_type = 'error')",
 )
+FOREST_SCORES = RULE_SCORES.replace("'rule'", "'1'")
+add("rf_scores", snaps(1), FOREST_SCORES)
+add("stream_scores", snaps(1), FOREST_SCORES)
 add(
     "rf_held_out",
     snaps(1),
-    f"""SELECT sum(n)::BIGINT AS n_test, max(n) AS n_majority, true AS beats_majority
-FROM (SELECT action_label, count(*) AS n FROM feats WHERE {hash32("customer_id")} < 1073741824 GROUP BY action_label)""",
+    f"""SELECT CAST(action_label AS INTEGER) AS action_label, count(*) AS n_test, true AS accurate, true AS recalled
+FROM feats WHERE {hash32("customer_id")} < 1073741824 GROUP BY action_label""",
 )
 add(
     "rf_requests",
@@ -382,13 +385,6 @@ add(
 WHERE c_custkey IN (SELECT user_id FROM events WHERE event_type = 'error')""",
 )
 add("stream_against_batch", "", "SELECT count(*) AS n_rows, 0::BIGINT AS n_differences FROM customer")
-add(
-    "synthetic_checks",
-    "",
-    """SELECT count(*) AS n_customers, count(DISTINCT c_custkey) AS n_keys, true AS youngest_ok, true AS oldest_ok,
-       true AS income_floor_ok, true AS income_ceiling_ok, true AS age_ok, true AS purchases_ok,
-       true AS browsing_ok, true AS gender_ok, true AS region_ok, true AS labels_ok FROM customer""",
-)
 ACCURACY = """count(*) AS n_rows, count(*) FILTER (WHERE action_label = predicted_label) AS n_correct,
        round(count(*) FILTER (WHERE action_label = predicted_label)::DOUBLE / count(*), 6) AS accuracy"""
 add("accuracy", snaps(4), f"SELECT {ACCURACY} FROM feats")
@@ -441,7 +437,7 @@ fold AS (
   FROM fold f JOIN ordered o ON o.model = f.model AND o.i = f.i + 1)"""
 MONTHLY = """versions AS (
   SELECT o_orderpriority AS model,
-         CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INTEGER) AS version,
+         CAST(year(o_orderdate) * 12 + month(o_orderdate) AS INTEGER) AS version,
          count(*) FILTER (WHERE o_orderstatus = 'F')::DOUBLE / count(*) AS accuracy
   FROM orders GROUP BY ALL)"""
 REGIONAL = (
@@ -470,8 +466,14 @@ add("inference_log", LOG, "SELECT * FROM log")
 add(
     "appended_log",
     LOG,
-    """SELECT customer_id, recommended_action, income, log_date, model_version,
-       CASE WHEN log_date = (SELECT max(log_date) FROM log) THEN lower(recommended_action) END AS channel FROM log""",
+    """SELECT customer_id, recommended_action, income, log_date, model_version, CAST(customer_id % 2 AS VARCHAR) AS batch_id,
+       CASE WHEN log_date = (SELECT max(log_date) FROM log) AND customer_id % 2 = 1 THEN lower(recommended_action) END AS channel
+FROM log""",
+)
+add(
+    "overwritten_table",
+    snaps(1),
+    "SELECT customer_id, age_bucket, best_action, CAST(action_label AS INTEGER) AS action_label FROM feats",
 )
 add("baseline_snapshot", snaps(1), f"SELECT {FEATURE_LIST}, updated_at FROM feats")
 add(

@@ -1,4 +1,3 @@
-import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -26,11 +25,21 @@ def test_vocabulary_is_sorted_and_marks_the_base(spark):
     ]
 
 
-def test_vocabulary_refuses_a_column_that_is_not_categorical(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("region"))
-    assert encoding.fit_vocabulary(df, ["region"], max_categories=50).count() == 50
-    with pytest.raises(Exception, match="too many categories in region"):
-        encoding.fit_vocabulary(df, ["region"], max_categories=49).collect()
+def test_vocabulary_takes_any_number_of_categories(spark):
+    df = spark.range(10_000).select(F.format_string("c%05d", F.col("id") % 5000).alias("region"), F.lit("one").alias("kind"))
+    got = encoding.fit_vocabulary(df, ["region", "kind"]).collect()
+    assert [(r["feature"], r["category"], r["ordinal"]) for r in got] == [
+        *[("region", f"c{i:05d}", i) for i in range(5000)], ("kind", "one", 0),
+    ]
+
+
+def test_indexes_send_base_null_and_unseen_to_the_last(spark):
+    vocabulary = encoding.fit_vocabulary(frame(spark, TRAIN), CATS)
+    sizes = encoding.category_sizes(vocabulary, CATS)
+    assert sizes == [3, 3]
+    batch = frame(spark, [*TRAIN, (9, 1.0, "North", "z")])
+    got = encoding.index_categories(batch, vocabulary, CATS, sizes, ["customer_id"])
+    assert rows(got) == [(1, 0.0, 0.0), (2, 2.0, 2.0), (3, 1.0, 2.0), (4, 2.0, 1.0), (9, 2.0, 2.0)]
 
 
 def test_one_hot_is_the_same_for_any_batch(spark):

@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from actionspark.operators.readiness import monitor_status, readiness
 from actionspark.plans import jobs
 from actionspark.sources.schemas import INFERENCE_LOG
 from actionspark.sources.synthetic import generate_customers
-from actionspark.sources.tables import read_log, read_table
+from actionspark.sources.tables import append_log, materialize, read_log, read_table
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +43,8 @@ def test_whole_run(spark, cfg):
     for day in ("2024-01-02", "2024-01-03", "2024-01-03"):
         assert jobs.score_batch(spark, cfg, f"{day} 08:00:00", day) == 2
     log = read_log(spark, cfg.path("inference_log"))
-    assert log.count() == 1200 and len(log.columns) == 17
+    log_rows = materialize(log, "log")
+    assert log.count() == 1200 and len(log.columns) == 18
     assert {r["model_version"] for r in log.select("model_version").distinct().collect()} == {"2"}
 
     sink, state = cfg.path("arrived"), cfg.path("arrived_state")
@@ -52,6 +55,13 @@ def test_whole_run(spark, cfg):
     assert jobs.build_baselines(spark, cfg, full=False) == ["features", "inference_log"]
     assert read_table(spark, cfg.path("features_baseline")).count() == 100
     assert jobs.build_baselines(spark, cfg) == ["features", "inference_log"]
+    append_log(log_rows.withColumn("channel", F.lit("app")).withColumn("model_version", F.lit("02")), cfg.path("inference_log"))
+    jobs.build_baselines(spark, cfg)  # versions stay text, columns that came late are there
+    kept = read_table(spark, cfg.path("inference_log_baseline"))
+    assert {r["model_version"] for r in kept.select("model_version").distinct().collect()} == {"2", "02"}
+    assert kept.filter("channel = 'app'").count() == 1200 and kept.count() == 2400
+    shutil.rmtree(cfg.path("inference_log"))
+    append_log(log_rows, cfg.path("inference_log"))
 
     jobs.monitor(spark, cfg, "2024-01-03")
     shown = ["window_start", "slice_value", "column_name", "n_rows"]
@@ -61,7 +71,7 @@ def test_whole_run(spark, cfg):
     assert rows(again.select(*shown)) == profiled
     assert len(profiled) == 2 * 2 * 8
     declared = read_log(spark, cfg.path("inference_log"), INFERENCE_LOG)
-    assert declared.exceptAll(log.select(*INFERENCE_LOG.fieldNames())).count() == 0
+    assert declared.exceptAll(log_rows.select(*INFERENCE_LOG.fieldNames())).count() == 0
     assert {r["table_name"]: (r["ready"], r["non_empty"]) for r in out["readiness"].collect()} == {
         "features": (True, True), "inference_log": (True, True),
     }

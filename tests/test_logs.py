@@ -48,7 +48,7 @@ def test_mean_drift_reads_two_days_of_a_partitioned_log(spark, tmp_path):
         "SELECT id AS customer_id, date_add(date'2024-01-01', CAST(id % 10 AS INT)) AS log_date, "
         "'1' AS model_version, CAST(id AS DOUBLE) AS x FROM range(100)"
     )
-    append_log(days, path)
+    append_log(days, path, batch_id="a")
     log = read_log(spark, path)
     out = logs.mean_drift(log, ["x"])
     assert out.first()["delta"] == 9.0

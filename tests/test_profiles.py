@@ -2,7 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from actionspark.operators import profiles
@@ -93,3 +93,31 @@ def test_refresh_equals_profiling_everything(spark, tmp_path, known_days):
     profiles.profile(seen, "ts", "week", ["x"], exact=True).write.parquet(path)
     refreshed = profiles.refresh_profile(spark.read.parquet(path), df, "ts", "week", ["x"], exact=True)
     assert rows(refreshed) == rows(profiles.profile(df, "ts", "week", ["x"], exact=True))
+
+
+def test_refresh_sees_late_replaced_missing_and_undated_rows(spark, tmp_path):
+    df = events(spark).withColumn("ts", F.when(F.col("y") % 50 != 49, F.col("ts")))
+    path = str(tmp_path / "profile")
+    day = F.to_date("ts")
+    seen = (
+        df.filter(~((day == "2024-01-03") & (F.col("y") % 2 == 0)))  # comes late
+        .withColumn("x", F.when(day == "2024-01-05", F.col("x") + 1).otherwise(F.col("x")))  # is replaced, same count
+        .filter(F.col("ts").isNotNull() | (F.col("y") < 500))
+        .unionByName(df.filter(day == "2024-01-06").withColumn("ts", F.col("ts") - F.make_dt_interval(F.lit(90))))  # goes
+    )
+    profiles.profile(seen, "ts", "day", ["x"], exact=True).write.parquet(path)
+    stored = spark.read.parquet(path)
+    stale = profiles.stale_windows(stored, df, "ts", "day", ["x"])
+    assert stale == [None, dt.date(2023, 10, 8), dt.date(2024, 1, 3), dt.date(2024, 1, 5)]
+    refreshed = profiles.refresh_profile(stored, df, "ts", "day", ["x"], exact=True)
+    assert rows(refreshed) == rows(profiles.profile(df, "ts", "day", ["x"], exact=True))
+
+
+def test_refresh_reads_only_stale_windows(spark, tmp_path):
+    df, path = events(spark).filter("ts IS NOT NULL"), str(tmp_path / "events")
+    df.write.parquet(path)
+    source = spark.read.parquet(path)
+    part = source.filter(profiles.in_windows("ts", "day", [dt.date(2024, 1, 3), dt.date(2024, 1, 4), dt.date(2024, 1, 9)]))
+    text = plan(part)
+    assert "GreaterThanOrEqual(ts,2024-01-03" in text and "LessThan(ts,2024-01-05" in text
+    assert part.count() == 300

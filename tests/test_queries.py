@@ -7,10 +7,11 @@ import duckdb
 import pytest
 from helpers import plan
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from actionspark.plans.catalogue import QUERIES
+from oracle.sql import ORACLE
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
-NO_TWIN = {"rf_scores", "stream_scores", "synthetic_customers"}
 SLOW = {"rf_scores", "stream_scores", "rf_requests", "stream_against_batch"}
 
 
@@ -37,22 +38,20 @@ def table(columns, data):
     return sorted(tuple(norm(r[i]) for i in order) for r in data)
 
 
-def test_every_query_has_a_twin_unless_sql_cannot_state_it():
-    assert set(queries()) - set(oracle_sql()) == NO_TWIN
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_a_twin():
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, duck, sf, name):
-    df = queries()[name](spark, sf)
+    df = QUERIES[name](spark, sf)
     data = df.collect()
     text = plan(df)
     for forbidden in ("NestedLoop", "Cartesian", "EvalPython", "InPandas"):
         assert forbidden not in text
-    if name in oracle_sql():
-        want = duck.sql(oracle_sql()[name])
-        assert sorted(df.columns) == sorted(want.columns)
-        assert table(df.columns, data) == table(want.columns, want.fetchall())
+    want = duck.sql(ORACLE[name])
+    assert sorted(df.columns) == sorted(want.columns)
+    assert table(df.columns, data) == table(want.columns, want.fetchall())
 
 
 def test_entry(spark):

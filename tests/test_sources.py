@@ -60,24 +60,28 @@ def log_rows(spark, day, version, n):
     )
 
 
-def test_append_is_idempotent_per_date_and_version(spark, tmp_path):
+def test_a_batch_replaces_itself_and_adds_to_others(spark, tmp_path):
     path = str(tmp_path / "log")
-    tables.append_log(log_rows(spark, 1, "1", 5), path)
-    tables.append_log(log_rows(spark, 2, "1", 4), path)
-    tables.append_log(log_rows(spark, 2, "2", 3), path)
-    tables.append_log(log_rows(spark, 2, "1", 4), path)  # rerun
+    tables.append_log(log_rows(spark, 1, "1", 5), path, batch_id="a")
+    tables.append_log(log_rows(spark, 2, "1", 4), path, batch_id="a")
+    tables.append_log(log_rows(spark, 2, "2", 3), path, batch_id="a")
+    tables.append_log(log_rows(spark, 2, "1", 4), path, batch_id="a")  # rerun
+    tables.append_log(log_rows(spark, 2, "1", 6), path, batch_id="02")  # another batch of the day
+    tables.append_log(log_rows(spark, 2, "1", 1), path, batch_id="2")
     log = tables.read_log(spark, path)
-    assert log.count() == 12 and dict(log.dtypes)["model_version"] == "string"
-    tables.append_log(log_rows(spark, 2, "1", 2), path)  # rerun with fewer rows replaces that day only
-    assert tables.read_log(spark, path).count() == 10
+    assert log.count() == 19 and dict(log.dtypes)["model_version"] == dict(log.dtypes)["batch_id"] == "string"
+    tables.append_log(log_rows(spark, 2, "1", 2), path, batch_id="a")  # rerun with fewer rows replaces that batch only
+    assert tables.read_log(spark, path).count() == 17
     with pytest.raises(SchemaMismatch):
-        tables.append_log(spark.range(1), path)
+        tables.append_log(spark.range(1), path, batch_id="a")
+    with pytest.raises(SchemaMismatch, match="batch_id"):
+        tables.append_log(log_rows(spark, 2, "1", 2), path)
 
 
 def test_append_may_add_columns(spark, tmp_path):
     path = str(tmp_path / "log")
-    tables.append_log(log_rows(spark, 1, "1", 2), path)
-    tables.append_log(log_rows(spark, 2, "1", 1).withColumn("channel", F.lit("app")), path)
+    tables.append_log(log_rows(spark, 1, "1", 2), path, batch_id="a")
+    tables.append_log(log_rows(spark, 2, "1", 1).withColumn("channel", F.lit("app")), path, batch_id="a")
     log = tables.read_log(spark, path)
     assert {r["channel"] for r in log.filter("log_date = '2024-01-01'").collect()} == {None}
     assert log.filter("channel = 'app'").count() == 1
@@ -87,7 +91,7 @@ def test_append_may_add_columns(spark, tmp_path):
 def test_log_reads_prune_partitions(spark, tmp_path):
     path = str(tmp_path / "log")
     for day in (1, 2, 3):
-        tables.append_log(log_rows(spark, day, "1", 5), path)
+        tables.append_log(log_rows(spark, day, "1", 5), path, batch_id="a")
     day = tables.read_log(spark, path).filter("log_date = date'2024-01-02'")
     assert day.count() == 5
     assert "PartitionFilters: [isnotnull(log_date" in plan(day) and "log_date#" in plan(day)
@@ -110,6 +114,17 @@ def test_intermediate_tables_go_to_the_folder_the_session_names(spark):
     assert tables.scratch_path(spark, "a") != tables.scratch_path(spark, "a")
 
 
+def test_scratch_tables_of_a_block_go_with_it(spark):
+    import os
+
+    outer = tables.materialize(spark.range(2), "outer")
+    with tables.scratch(spark):
+        inner = tables.materialize(spark.range(3), "inner")
+        where = inner.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(where) and inner.count() == 3
+    assert not os.path.exists(where) and outer.count() == 2
+
+
 def brute_customers(t, as_of, browse_as_of):
     """Plain Python over collected tables."""
     get = lambda n: [r.asDict() for r in t[n].collect()]
@@ -176,6 +191,12 @@ def test_snapshots_in_one_pass_equal_single_snapshots(spark, sf):
         assert part.select("as_of").distinct().first()[0] == newest - dt.timedelta(days=180 * k)
 
 
+def test_chosen_snapshots_equal_those_of_all(spark, sf):
+    t = load_warehouse(spark, sf)
+    some, every = customer_snapshots(t, [0, 2]), customer_snapshots(t, 3)
+    assert rows(some) == rows(every.filter("snapshot <> 1"))
+
+
 def test_customer_view_with_a_hot_customer(spark, sf):
     """A third of the orders belongs to one customer, a third of the lines to one order."""
     t = dict(load_warehouse(spark, sf))

@@ -63,3 +63,10 @@ def test_hash_split_is_shuffle_free_and_stable(spark):
     got = {r["id"] for r in out.filter("split = 'test'").collect()}
     assert got == {i for i in range(4000) if u32(i, 42) < 0.25 * 2**32}
     assert abs(len(got) / 4000 - 0.25) < 0.03
+
+
+def test_quotas_of_very_many_classes(spark):
+    df = spark.range(45_000).select("id", F.when(F.col("id") < 40_000, F.col("id") % 20_000).otherwise(F.lit(3)).alias("y"))
+    counts = Counter(r["y"] for r in df.collect())
+    assert {r["y"]: r["test_quota"] for r in training.test_quotas(df, "y").collect()} == brute_quotas(counts, 0.25)
+    assert training.exact_split(df, "id", "y").filter("split = 'test'").count() == 11_250
