@@ -1,10 +1,10 @@
 """Exact order statistics without one task seeing a whole group.
 
 Rows are first reduced to (group, value, count), so a value that repeats a billion times is one row.
-Ranks then come from two levels: the totals of coarse value bins are accumulated over the (small) bin
-table, and the values are accumulated inside their bin only. One task therefore sorts one bin of one
-group. The offset of a bin travels as a marker row ahead of its values, which keeps groups whose key
-is NULL and needs no join back.
+Ranks then come from three levels: the totals of coarse value bins, and of equal slices of bins that hold
+many values, are accumulated over their (small) table, and the values are accumulated inside their slice only. One
+task therefore sorts one slice of one bin of one group. The offset of a slice travels as a marker row ahead of its
+values, which keeps groups whose key is NULL and needs no join back. NaN is the largest value and equal to itself.
 """
 
 from __future__ import annotations
@@ -17,12 +17,34 @@ from pyspark.sql import functions as F
 from actionspark.sources.tables import materialize
 
 BINS_PER_E_FOLD = 16_384
+FULL_BIN = 4_096
+SLICES = 1_024
+# Natural logarithms of positive doubles lie between these, with room for infinity and NaN.
+LOG_FLOOR, LOG_CEILING = 746.0, 711.0
 
 
 def _bin(value: Column) -> Column:
-    """Monotone in ``value``: logarithmic, so 0.006 % wide wherever the values lie, negatives mirrored."""
-    scaled = F.floor(F.log1p(F.abs(value)) * BINS_PER_E_FOLD)
-    return F.when(value < 0, -scaled - 1).otherwise(scaled)
+    """Monotone in ``value``: 0.006 % wide wherever the values lie, zero by itself, negatives mirrored; infinities and
+    NaN have bins of their own."""
+    size = F.least(F.ln(F.abs(value)), F.lit(LOG_CEILING)) + LOG_FLOOR
+    place = F.floor(size * BINS_PER_E_FOLD) + 1
+    last = int((LOG_FLOOR + LOG_CEILING) * BINS_PER_E_FOLD) + 2
+    return F.when(F.isnan(value), F.lit(last)).when(value == 0, 0).when(value < 0, -place).otherwise(place).cast("long")
+
+
+def sliced(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Adds _bin and _slice: bins of more than FULL_BIN values are cut into equal parts between their extremes."""
+    binned = counted.withColumn("_bin", _bin(F.col(value)))
+    spans = binned.groupBy(*[F.col(k).alias(f"_of_{k}") for k in keys], F.col("_bin").alias("_full")).agg(
+        F.count("*").alias("_values"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
+    )
+    same = F.col("_bin") == F.col("_full")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    wide = binned.join(spans.filter(F.col("_values") > FULL_BIN), same, "left")
+    part = (F.col(value) / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)  # halves cannot overflow
+    slice_ = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(part * SLICES), F.lit(SLICES - 1)))
+    return wide.select(*counted.columns, "_bin", F.coalesce(slice_, F.lit(0)).cast("long").alias("_slice"))
 
 
 def value_counts(
@@ -42,22 +64,23 @@ def cumulative_counts(
 ) -> DataFrame:
     """Adds cum_<c> (rows with value <= this one) and total_<c> for every count column."""
     keys = list(keys)
-    binned = counted.withColumn("_bin", _bin(F.col(value)))
-    per_bin = binned.groupBy(*keys, "_bin").agg(*[F.sum(c).alias(c) for c in counts])
+    binned = sliced(counted, keys, value)
+    per_bin = binned.groupBy(*keys, "_bin", "_slice").agg(*[F.sum(c).alias(c) for c in counts])
     group = Window.partitionBy(*keys)
-    before = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy("_bin", "_slice").rowsBetween(Window.unboundedPreceding, -1)
     markers = per_bin.select(
         *keys,
         "_bin",
+        "_slice",
         F.lit(None).cast(counted.schema[value].dataType).alias(value),
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in counts],
         *[F.sum(c).over(group).alias(f"total_{c}") for c in counts],
     )
     rows = binned.select(
-        *keys, "_bin", value, *counts, *[F.lit(None).cast("long").alias(f"total_{c}") for c in counts]
+        *keys, "_bin", "_slice", value, *counts, *[F.lit(None).cast("long").alias(f"total_{c}") for c in counts]
     )
     inside = (
-        Window.partitionBy(*keys, "_bin")
+        Window.partitionBy(*keys, "_bin", "_slice")
         .orderBy(F.col(value).asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -83,7 +106,7 @@ def quantile_columns(ranked: DataFrame, value: str, probs: dict[str, float]) ->
         low = F.max(F.when(held(F.floor(position)), F.col(value)))
         high = F.max(F.when(held(F.ceil(position)), F.col(value)))
         part = F.max(position - F.floor(position))
-        out.append((low + (high - low) * part).alias(name))
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * part).alias(name))  # also infinite, NaN
     return out
 
 

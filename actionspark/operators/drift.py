@@ -90,38 +90,50 @@ def numeric_drift(
 ) -> DataFrame:
     """(feature, total_baseline, total_current, baseline_mean, current_mean, delta_mean, ks, psi).
 
-    Bins are ``bins`` equal widths between the baseline's extremes plus one open bin at either end; KS is
-    taken at the bin edges (:func:`ks_exact` takes it at every value). NULL values do not take part.
+    Bins are ``bins`` equal widths between the baseline's finite extremes plus one open bin at either end; KS is
+    taken at the bin edges (:func:`ks_exact` takes it at every value). NULL and NaN do not take part.
+
+    One aggregate per side counts all bins of all columns side by side; rows are not multiplied, and what becomes
+    rows is one per column and bin.
     """
-    rows = _both_sides(current, baseline, cols, "double").filter(F.col("value").isNotNull())
-    range_of = [
-        F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
-        for c in cols
-    ]
-    edges = (
-        baseline.agg(*range_of)
-        .unpivot([], list(cols), "feature", "r")
-        .select("feature", "r.lo", ((F.col("r.hi") - F.col("r.lo")) / bins).alias("width"), "r.hi")
-    )
-    inner = F.floor((F.col("value") - F.col("lo")) / F.nullif(F.col("width"), F.lit(0.0)))
-    bin_of = (
-        F.when(F.col("value") < F.col("lo"), 0)
-        .when(F.col("value") > F.col("hi"), bins + 1)
-        .otherwise(1 + F.least(F.coalesce(inner, F.lit(0)), F.lit(bins - 1)))
-    )
-    current_side = F.col("is_current")
-    counted = (
-        rows.join(F.broadcast(edges), "feature")  # one row per compared column
-        .groupBy("feature", bin_of.cast("int").alias("bin"))
-        .agg(
-            *[c.alias(n) for n, c in _side_counts().items()],
-            F.sum(F.when(~current_side, F.col("value"))).alias("sum_baseline"),
-            F.sum(F.when(current_side, F.col("value"))).alias("sum_current"),
-        )
-    )
-    frame = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(bins + 1))).alias("bin"))
-    cells = frame.join(counted, ["feature", "bin"], "left").na.fill(
-        0, ["n_baseline", "n_current", "sum_baseline", "sum_current"]
+
+    def known(c: str) -> Column:
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    def finite(c: str) -> Column:
+        return F.when(F.abs(known(c)) < F.lit(float("inf")), known(c))
+
+    range_of = [F.struct(F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi")).alias(c) for c in cols]
+    ends = baseline.agg(F.struct(*range_of)).scalar()
+
+    def bin_of(c: str) -> Column:
+        lo, hi, value = ends[c]["lo"], ends[c]["hi"], F.col(c)
+        inner = F.floor((value - lo) / F.nullif((hi - lo) / bins, F.lit(0.0)))
+        inside = 1 + F.least(F.coalesce(inner, F.lit(0)), F.lit(bins - 1))
+        return F.when(value.isNotNull(), F.when(value < lo, 0).when(value > hi, bins + 1).otherwise(inside)).cast("int")
+
+    def counted(df: DataFrame, side: str) -> DataFrame:
+        typed = df.select(*[known(c).alias(c) for c in cols])
+        placed = typed.select(*cols, *[bin_of(c).alias(f"_bin_{c}") for c in cols])
+        figures = [
+            F.struct(
+                F.array(*[F.count_if(F.col(f"_bin_{c}") == b) for b in range(bins + 2)]).alias("cells"),
+                F.coalesce(F.sum(c), F.lit(0.0)).alias("sum"),
+            ).alias(c)
+            for c in cols
+        ]
+        one_row = placed.agg(*figures)
+        rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias(f"m_{side}")) for c in cols])
+        return one_row.select(F.inline(rows))
+
+    sides = counted(baseline, "baseline").join(counted(current, "current"), "feature")  # a row per column
+    cells = sides.select(
+        "feature",
+        F.col("m_baseline.sum").alias("sum_baseline"),
+        F.col("m_current.sum").alias("sum_current"),
+        F.posexplode(F.arrays_zip(F.col("m_baseline.cells").alias("b"), F.col("m_current.cells").alias("c"))).alias("bin", "n"),
+    ).select(
+        "feature", "sum_baseline", "sum_current", "bin", F.col("n.b").alias("n_baseline"), F.col("n.c").alias("n_current")
     )
     upto = Window.partitionBy("feature").orderBy("bin")  # bins + 2 rows per feature
     _, _, t_base, t_cur = _columns()
@@ -132,8 +144,8 @@ def numeric_drift(
         }
     )
     out = curved.groupBy("feature", "total_baseline", "total_current").agg(
-        safe_ratio(F.sum("sum_baseline"), F.sum("n_baseline")).alias("baseline_mean"),
-        safe_ratio(F.sum("sum_current"), F.sum("n_current")).alias("current_mean"),
+        safe_ratio(F.first("sum_baseline"), F.sum("n_baseline")).alias("baseline_mean"),
+        safe_ratio(F.first("sum_current"), F.sum("n_current")).alias("current_mean"),
         F.max(F.abs(F.col("_f_cur") - F.col("_f_base"))).alias("ks"),
         _psi().alias("psi"),
     )

@@ -44,10 +44,17 @@ def stamp(df: DataFrame, run_ts, log_date, version: str | Column) -> DataFrame:
     )
 
 
-def trailing(df: DataFrame, date_col: str, as_of, days: int = TRAILING_DAYS) -> DataFrame:
-    """Rows from ``days`` days before ``as_of`` on. Both ends of the range count and there is no upper
-    bound, so seven days back means eight calendar days."""
-    return df.filter(F.col(date_col) >= F.date_sub(as_column(as_of).cast("date"), days))
+def trailing(df: DataFrame, date_col: str, as_of=None, days: int = TRAILING_DAYS) -> DataFrame:
+    """Rows from ``days`` days before ``as_of`` (by default the newest date) on. Both ends of the range count and there
+    is no upper bound, so seven days back means eight calendar days. The bound has the column's type, and the
+    newest date's is a subquery by itself: either reaches the scan."""
+    kind = df.schema[date_col].dataType
+
+    def bound(newest: Column) -> Column:
+        return F.date_sub(newest.cast("date"), days).cast(kind)
+
+    start = df.agg(bound(F.max(date_col))).scalar() if as_of is None else bound(as_column(as_of))
+    return df.filter(F.col(date_col) >= start)
 
 
 def present(df: DataFrame, column: str) -> DataFrame:

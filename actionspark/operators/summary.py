@@ -75,29 +75,35 @@ def label_correlation(df: DataFrame, cols: Sequence[str], label: str) -> DataFra
 
 
 def histogram(df: DataFrame, col: str, bins: int = 25) -> DataFrame:
-    """(bin, lower, upper, n_rows): equal widths over [min, max], the last bin closed, empty bins kept.
+    """(bin, lower, upper, n_rows, n_nan): equal widths over the finite [min, max], the last bin closed, empty bins kept.
 
-    A constant column gets the range of one around its value. Only counts per bin are shuffled.
+    A constant column gets the range of one around its value. Infinities count in the outermost bins; NaN counts in
+    none, ``n_nan`` on every row says how many there are. Only counts per bin are shuffled.
     """
     value = F.col(col).cast("double")
+    nan = F.isnan(value)
+    finite = F.when(~nan & (F.abs(value) < F.lit(float("inf"))), value)
     single = F.col("lo") == F.col("hi")
     span = (
-        df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+        df.agg(F.min(finite).alias("lo"), F.max(finite).alias("hi"), F.count_if(nan).alias("n_nan"))
         .filter(F.col("lo").isNotNull())
         .select(
             (F.col("lo") - F.when(single, 0.5).otherwise(0.0)).alias("lo"),
             (F.col("hi") + F.when(single, 0.5).otherwise(0.0)).alias("hi"),
+            "n_nan",
         )
-        .select("lo", ((F.col("hi") - F.col("lo")) / bins).alias("width"))
+        .select("lo", "hi", "n_nan", ((F.col("hi") - F.col("lo")) / bins).alias("width"))
     )
-    lo, width = span.select("lo").scalar(), span.select("width").scalar()
+    lo, hi, width = (span.select(c).scalar() for c in ("lo", "hi", "width"))
+    inner = F.least(F.floor((value - lo) / width), F.lit(bins - 1))
+    place = F.when(value >= hi, bins - 1).when(value <= lo, 0).otherwise(inner)
     counts = (
-        df.filter(F.col(col).isNotNull())
-        .select(F.least(F.floor((value - lo) / width), F.lit(bins - 1)).cast("int").alias("bin"))
+        df.filter(F.col(col).isNotNull() & ~nan)
+        .select(place.cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("n_rows"))
     )
-    frame = span.select("lo", "width", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    frame = span.select("lo", "width", "n_nan", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return (
         frame.join(F.broadcast(counts), "bin", "left")  # at most ``bins`` rows
         .select(
@@ -105,6 +111,7 @@ def histogram(df: DataFrame, col: str, bins: int = 25) -> DataFrame:
             (F.col("lo") + F.col("bin") * F.col("width")).alias("lower"),
             (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("upper"),
             F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            "n_nan",
         )
         .orderBy("bin")
     )
@@ -136,3 +143,21 @@ def boxplot_stats(df: DataFrame, col: str, by: str, exact: bool = False) -> Data
         )
         .select(by, "n", *QUARTILES, "whisker_low", "whisker_high", "n_outliers")
     )
+
+
+def quartile_check(values: DataFrame, keys: Sequence[str], quartiles: DataFrame, error: float) -> DataFrame:
+    """(keys, n, one flag per quartile): whether each given quartile holds its rank among ``values`` to ``error``.
+
+    ``values`` has keys and value, ``quartiles`` a row per key: the check of a sketch against all rows.
+    """
+    named = quartiles.select(*[F.col(k).alias(f"_of_{k}") for k in keys], *QUARTILES)
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    joined = values.filter(F.col("value").isNotNull()).join(named, same)
+    n = F.count("*")
+
+    def holds(name: str, p: float) -> Column:
+        below = F.count_if(F.col("value") < F.col(name)) / n
+        upto = F.count_if(F.col("value") <= F.col(name)) / n
+        return ((below <= p + error) & (upto >= p - error)).alias(f"{name}_ok")
+
+    return joined.groupBy(*keys).agg(n.alias("n"), *[holds(q, p) for q, p in QUARTILES.items()])

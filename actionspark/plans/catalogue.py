@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from actionspark.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from actionspark.functions.numeric import rounded
+from actionspark.functions.numeric import rounded, to_long
 from actionspark.functions.rules import action_label, action_name, shallow_tree_label
 from actionspark.operators import counts, drift, encoding, evaluation, keys, profiles, readiness, summary
 from actionspark.operators import logs as log_ops
@@ -44,6 +44,7 @@ EXPLORED = (
     "purchase_amount_last_month",
     "browsing_minutes_last_week",
 )
+LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 FEATURE_COLUMNS = NUMERIC_FEATURES + CATEGORICAL_FEATURES
 FOREST = {"trees": 200, "depth": 30, "seed": 42}
 ACCURACY_FLOOR, RECALL_FLOOR = 0.9, 0.75
@@ -162,8 +163,7 @@ def stamped_features(spark, d):
 @query("trailing_orders")
 def trailing_orders(spark, d):
     orders = warehouse_table(spark, d, "orders")
-    newest = orders.agg(F.max("o_orderdate")).scalar()
-    return trailing(orders, "o_orderdate", newest).select("o_orderkey", "o_custkey", "o_orderdate")
+    return trailing(orders, "o_orderdate").select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 @query("log_on_latest_date")
@@ -252,8 +252,7 @@ def numeric_summary(spark, d):
 @query("lineitem_summary")
 def lineitem_summary(spark, d):
     lines = warehouse_table(spark, d, "lineitem")
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return rounded(summary.numeric_summary(lines, columns, exact=True))
+    return rounded(summary.numeric_summary(lines, LINE_NUMBERS, exact=True))
 
 
 @query("label_correlation")
@@ -284,6 +283,44 @@ def event_value_boxplot(spark, d):
     return rounded(summary.boxplot_stats(events, "value", "event_type", exact=True))
 
 
+SKETCH_ERROR = 0.001  # ten times the resolution of the sketches
+
+
+@query("lineitem_summary_sketched")
+def lineitem_summary_sketched(spark, d):
+    """The sketched summary, and whether its quartiles hold their ranks among all rows."""
+    lines = warehouse_table(spark, d, "lineitem")
+    sketched = materialize(summary.numeric_summary(lines, LINE_NUMBERS), "summary")
+    values = to_long(lines, [], LINE_NUMBERS, "feature", "value", "double")
+    checked = summary.quartile_check(values, ["feature"], sketched, SKETCH_ERROR).drop("n")
+    return rounded(sketched.drop("q25", "q50", "q75").join(checked, "feature"))
+
+
+@query("event_value_boxplot_sketched")
+def event_value_boxplot_sketched(spark, d):
+    """The sketched box plot, and whether its quartiles hold their ranks."""
+    events = warehouse_table(spark, d, "events")
+    sketched = materialize(summary.boxplot_stats(events, "value", "event_type"), "boxes")
+    values = events.select("event_type", F.col("value"))
+    return summary.quartile_check(values, ["event_type"], sketched, SKETCH_ERROR)
+
+
+@query("event_profile_sketched")
+def event_profile_sketched(spark, d):
+    """The sketched weekly profile, and whether its quartiles hold their ranks in every window and slice."""
+    events = warehouse_table(spark, d, "events")
+    sketched = materialize(_profile(events, "ts", "week", ["value"], ["event_type"]), "profile")
+    by_type = F.struct(F.lit("event_type").alias("slice_key"), F.coalesce("event_type", F.lit("unknown")).alias("slice_value"))
+    whole = F.struct(F.lit("all").alias("slice_key"), F.lit("all").alias("slice_value"))
+    values = events.select(
+        profiles.window_start("ts", "week").alias("window_start"), "value", F.inline(F.array(whole, by_type))
+    )
+    keys_ = ["window_start", "slice_key", "slice_value"]
+    checked = summary.quartile_check(values, keys_, sketched, 10 * SKETCH_ERROR)
+    figures = sketched.select(*keys_, "n_rows", "n_null", "mean", "min", "max")
+    return rounded(figures.join(checked, keys_))
+
+
 # ---- encoding, training set, split --------------------------------------------------------------
 
 

@@ -247,6 +247,28 @@ add(
     "",
     summary_body(long_rows("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])),
 )
+FLAGS = "true AS q25_ok, true AS q50_ok, true AS q75_ok"
+add(
+    "lineitem_summary_sketched",
+    "",
+    f"""SELECT feature, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS stddev,
+  round(min(value), 6) AS min, round(max(value), 6) AS max, {FLAGS}
+FROM ({long_rows("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])}) GROUP BY feature""",
+)
+add(
+    "event_value_boxplot_sketched",
+    "",
+    f"SELECT event_type, count(value) AS n, {FLAGS} FROM events GROUP BY event_type",
+)
+_WEEK = f"""count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_null, round(avg(value), 6) AS mean,
+  round(min(value), 6) AS min, round(max(value), 6) AS max, count(value) AS n, {FLAGS}
+FROM events GROUP BY"""
+add(
+    "event_profile_sketched",
+    "",
+    f"""SELECT CAST(date_trunc('week', ts) AS DATE) AS window_start, 'all' AS slice_key, 'all' AS slice_value, {_WEEK} 1
+UNION ALL SELECT CAST(date_trunc('week', ts) AS DATE), 'event_type', coalesce(event_type, 'unknown'), {_WEEK} 1, 3""",
+)
 add(
     "label_correlation",
     snaps(1),
@@ -260,7 +282,7 @@ add(
 def histogram_sql(source: str, column: str) -> str:
     return f"""SELECT bin, round(lo + bin * w, 6) AS lower, round(lo + (bin + 1) * w, 6) AS upper,
   (SELECT count(*) FROM {source}
-   WHERE least(floor((CAST({column} AS DOUBLE) - lo) / w), 24) = bin) AS n_rows
+   WHERE least(floor((CAST({column} AS DOUBLE) - lo) / w), 24) = bin) AS n_rows, 0::BIGINT AS n_nan
 FROM (SELECT CAST(b AS INTEGER) AS bin FROM range(0, 25) t(b)),
      (SELECT min({column})::DOUBLE AS lo, (max({column})::DOUBLE - min({column})::DOUBLE) / 25 AS w FROM {source})"""
 

@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import as_dict
+from helpers import as_dict, plan
 from pyspark.sql import functions as F
 
 from actionspark.operators import drift
@@ -85,3 +85,12 @@ def test_drift_does_not_depend_on_partitioning(spark):
     one = drift.ks_exact(a.repartition(1), b.repartition(1), ["v"]).first()
     many = drift.ks_exact(a.repartition(8), b.repartition(7), ["v"]).first()
     assert one == many
+
+
+def test_numeric_drift_is_wide_and_leaves_nan_out(spark):
+    base = spark.createDataFrame([(float(i), float(i % 3)) for i in range(10)], "v DOUBLE, w DOUBLE")
+    cur = spark.createDataFrame([(1.0, math.nan), (math.nan, 1.0), (math.inf, None), (5.0, 2.0)], "v DOUBLE, w DOUBLE")
+    out = drift.numeric_drift(cur, base, ["v", "w"])
+    got = as_dict(out, "feature")
+    assert (got["v"]["total_current"], got["w"]["total_current"], got["v"]["total_baseline"]) == (3, 2, 10)
+    assert "Expand" not in plan(out) and "EvalPython" not in plan(out)

@@ -228,3 +228,36 @@ def test_declared_schemas_match_the_files(spark, sf):
     for name, schema in WAREHOUSE.items():
         found = spark.read.parquet(f"{sf}/{name}.parquet").schema
         assert [(f.name, f.dataType) for f in found] == [(f.name, f.dataType) for f in schema], name
+
+
+def test_hot_keys_are_split_in_both_fact_joins(spark, sf, tmp_path):
+    """A third of the lines on one order and one part: the adaptive planner marks both joins as skewed."""
+    t = dict(load_warehouse(spark, sf))
+    lines = t["lineitem"]
+    hot = F.col("l_linenumber") % 3 == 0
+    many = lines.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(20)))).drop("copy")
+    many = many.withColumn("l_orderkey", F.when(hot, F.lit(5)).otherwise(F.col("l_orderkey")).cast("long"))
+    many = many.withColumn("l_partkey", F.when(hot, F.lit(7)).otherwise(F.col("l_partkey")).cast("long"))
+    many.repartition(16).write.parquet(str(tmp_path / "lineitem"))
+    t["lineitem"] = spark.read.parquet(str(tmp_path / "lineitem"))
+    t["orders"] = t["orders"].withColumn(
+        "o_orderdate", F.when(F.col("o_orderkey") == 5, F.lit("2001-07-01").cast("timestamp_ntz")).otherwise(F.col("o_orderdate"))
+    )
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        df = raw_customers(t)
+        assert len(df.collect()) == 150
+        assert plan(df).count("SortMergeJoin(skew=true)") >= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

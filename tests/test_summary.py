@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from actionspark.functions.ranks import cumulative_counts, exact_quantiles, value_counts
+from actionspark.functions.ranks import FULL_BIN, cumulative_counts, exact_quantiles, sliced, value_counts
 from actionspark.operators import summary
 
 PROBS = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
@@ -112,3 +112,42 @@ def test_boxplot_matches_definition(spark, exact):
         assert got[g]["whisker_low"] == inside.min() and got[g]["whisker_high"] == inside.max()
         assert got[g]["n_outliers"] == len(values) - len(inside) and got[g]["n"] == len(values)
         assert not math.isnan(got[g]["q50"])
+
+
+def test_nan_is_last_and_infinities_have_ranks(spark):
+    nan, inf = math.nan, math.inf
+    df = spark.createDataFrame([("n", v) for v in (1.0, 2.0, 3.0, 4.0, nan)] + [("i", v) for v in (-inf, 0.0, 1.0, inf, inf)], "g STRING, v DOUBLE")
+    got = {r["g"]: r for r in exact_quantiles(df, ["g"], "v", {"a": 0.25, "b": 0.5, "c": 0.75, "d": 1.0}).collect()}
+    assert [got["n"][c] for c in "abc"] == [2.0, 3.0, 4.0] and math.isnan(got["n"]["d"])
+    assert [got["i"][c] for c in "abcd"] == [0.0, 1.0, inf, inf]
+
+
+@pytest.mark.parametrize(
+    "value",
+    ["id + 1.7e15D", "id * 60000000 + 1.7e15D", "id * 1e-12D", "id * 1e-300D", "pow(10.0D, -id % 300) * (id + 1)", "-id * 1e-9D", "1e308D + id * 1e300D"],
+)
+def test_no_task_sorts_more_than_a_small_share(spark, value):
+    df = spark.sql(f"SELECT DISTINCT CAST({value} AS DOUBLE) AS v FROM range(60000)")
+    counted = value_counts(df, [], "v")
+    n = counted.count()
+    placed = sliced(counted, [], "v")
+    largest = placed.groupBy("_bin", "_slice").count().agg(F.max("count")).first()[0]
+    assert largest <= max(FULL_BIN, n // 50) and placed.count() == n
+    values = sorted(r["v"] for r in df.collect())
+    got = exact_quantiles(df, [], "v", {"a": 0.25, "b": 0.9}).first()
+    assert got[0] == pytest.approx(np.quantile(values, 0.25)) and got[1] == pytest.approx(np.quantile(values, 0.9))
+
+
+def test_histogram_leaves_nan_out(spark):
+    df = spark.createDataFrame([(v,) for v in (1.0, 2.0, math.nan, None, math.inf, -math.inf)], "v DOUBLE")
+    got = summary.histogram(df, "v", 3).collect()
+    assert [r["n_rows"] for r in got] == [2, 0, 2] and {r["n_nan"] for r in got} == {1}
+    assert (got[0]["lower"], got[-1]["upper"]) == (1.0, 2.0)
+    assert summary.histogram(df.filter("isnan(v)"), "v", 3).count() == 0
+
+
+def test_quartile_check_sees_a_wrong_quartile(spark):
+    values = spark.range(1000).select(F.lit("a").alias("g"), F.col("id").cast("double").alias("value"))
+    given_ = spark.createDataFrame([("a", 249.0, 510.0, 750.0)], "g STRING, q25 DOUBLE, q50 DOUBLE, q75 DOUBLE")
+    r = summary.quartile_check(values, ["g"], given_, 0.002).first()
+    assert (r["n"], r["q25_ok"], r["q50_ok"], r["q75_ok"]) == (1000, True, False, True)
