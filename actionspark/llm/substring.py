@@ -9,7 +9,8 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actionspark.llm.common import WORD, WordHashes, gram_hashes, mixed, on_workers, stored, table, without
@@ -26,6 +27,21 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8").split()
 
 
+def packed(text: Column) -> Column:
+    """Texts compressed, as they are moved more than once."""
+
+    @F.pandas_udf("binary")
+    def pack(texts: pd.Series) -> pd.Series:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        return texts.map(lambda t: None if t is None else compress(t.encode("utf-8")))
+
+    return pack(text)
+
+
+def unpacked(text: bytes | None) -> bytes:
+    return b"" if text is None else zstandard.ZstdDecompressor().decompress(text)
+
+
 def smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first minimum of each run of ``width`` consecutive values, by doubling."""
     place = np.arange(len(values))
@@ -74,7 +90,7 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             out = []
             for row, text, runs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = words_of(text)
+                words = unpacked(text).split()
                 for r in runs:
                     first = r["first"]
                     out.append((r["anchor"], row, first, b" ".join(words[first : first + r["count"] + window - 1])))
@@ -100,7 +116,7 @@ def _window_hashes(rows: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             parts = []
             for row, text, runs in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                hashes = known.of(words_of(text))
+                hashes = known.of(unpacked(text).split())
                 for r in runs:
                     first, count = r["first"], r["count"]
                     found = gram_hashes(hashes[first : first + count + window - 1], window)
@@ -226,8 +242,7 @@ def drop_repeats(
     on_workers(docs.sparkSession)
     rows = without(docs, *(c for c in OUTPUTS if c not in (key, text)))
     rows = rows.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
-    texts = rows.select("_row", F.col(text).alias("_text"))
-    anchors = stored(_anchors(texts, window, anchor), "anchors")
+    anchors = stored(_anchors(rows.select("_row", text), window, anchor), "anchors")
     times = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).filter("times >= 2")
     run = F.struct("anchor", "first", "count")
     runs = anchors.join(times, "anchor").groupBy("row").agg(
@@ -235,25 +250,30 @@ def drop_repeats(
         F.collect_set(F.when(F.col("times") > hot, run)).alias("hot"),
     )
     runs = stored(runs, "runs")
-    found = texts.join(runs, texts["_row"] == runs["row"])
+    moved = rows.withColumn("_text", packed(F.col(text))).drop(text)
+    found = moved.select("_row", "_text").join(runs, F.col("_row") == F.col("row"))
     cold = _located(_segments(found.select("_row", "_text", "cold"), window), window, SHARD_SEGMENTS)
     over = _hot_spans(_window_hashes(found.filter(F.size("hot") > 0).select("_row", "_text", "hot"), window), window)
     spans = cold.unionAll(over).groupBy("row").agg(
         F.collect_set(F.struct("first", "last")).alias("_spans")
     )
     spans = stored(spans, "spans")
-    return _removed(rows.join(spans, F.col("_row") == F.col("row"), "left").drop("_row", "row"), text)
+    out = _removed(moved.join(spans, F.col("_row") == F.col("row"), "left"), text)
+    return out.select(*[c for c in rows.columns if c != "_row"], *OUTPUTS)
 
 
 def _removed(rows: DataFrame, text: str) -> DataFrame:
+    """The packed texts with their spans, as what is left of them."""
+
     @F.pandas_udf("n_words long, n_removed long, spans array<long>, clean_text string")
     def remove(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, spans in batches:
             out = []
             for body, found in zip(texts, spans, strict=True):
-                words = words_of(body)
+                whole = unpacked(body)
+                words = whole.split()
                 if found is None or not len(found):
-                    out.append((len(words), 0, [], body))
+                    out.append((len(words), 0, [], None if body is None else whole.decode("utf-8")))
                     continue
                 covered = np.zeros(len(words), dtype=bool)
                 for s in found:
@@ -263,8 +283,12 @@ def _removed(rows: DataFrame, text: str) -> DataFrame:
                 out.append((len(words), int(covered.sum()), edges.tolist(), kept.decode("utf-8")))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "spans", "clean_text"])
 
-    rows = rows.withColumn("_out", remove(F.col(text), F.col("_spans")))
-    return rows.withColumns({c: F.col(f"_out.{c}") for c in OUTPUTS}).drop("_out", "_spans")
+    @F.pandas_udf("string")
+    def unpack(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unpacked(t).decode("utf-8"))
+
+    rows = rows.withColumn("_out", remove(F.col("_text"), F.col("_spans"))).withColumn(text, unpack(F.col("_text")))
+    return rows.withColumns({c: F.col(f"_out.{c}") for c in OUTPUTS})
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
