@@ -14,7 +14,7 @@ MAX_REPEAT_PERCENT = 20
 GRAM = 5
 LINE_SHARE = 0.1
 LINE_DOCS = 5
-MIN_LEFT_PERCENT = 20
+MIN_LEFT_PERCENT = 30
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 VERDICT = ("n_frequent_lines", "n_words_left", "kept", "clean_text")
 
@@ -74,8 +74,8 @@ def quality(
     A line, with ASCII letters in lower case and white space collapsed, is frequent if more than ``line_docs``
     documents and more than ``line_share`` of all documents of its host hold it. Documents of a host with
     equal texts count once, so a document is not lost for having exact copies. Frequent lines are taken out of
-    ``clean_text``. A document is depleted, and not kept, if fewer than ten words or than a fifth of its
-    words are left; nor is one kept that fails the base rules.
+    ``clean_text``. A document is depleted, and not kept, if less than three tenths of its words are left; nor is one
+    kept that fails the base rules.
 
     Edge cases: a NULL or empty text has no words and fails; a NULL host is a host of its own; repeated rows get equal
     verdicts; an empty table gives an empty one. Input columns named like an output are replaced.
@@ -107,9 +107,7 @@ def quality(
     rows = rows.withColumn("n_words_left", F.col("n_words") - F.coalesce(lost, F.lit(0)))
     stay = F.transform(F.filter("_parts", lambda p: ~p.getField("out")), lambda p: p.getField("line"))
     clean = F.when(F.col("n_frequent_lines") > 0, F.array_join(stay, "\n")).otherwise(F.col(text))
-    depleted = (F.col("n_words_left") < MIN_WORDS) | (
-        100 * F.col("n_words_left") < MIN_LEFT_PERCENT * F.col("n_words")
-    )
+    depleted = 100 * F.col("n_words_left") < MIN_LEFT_PERCENT * F.col("n_words")
     # Always true, but not known before it runs: a filter on the verdict stays above it, where it reads a column, and is
     # not pushed down to the scan, where it would hold every expression above many times over.
     there = F.monotonically_increasing_id() >= 0
@@ -157,7 +155,7 @@ f AS (
     CAST(coalesce(lost.nl, 0) AS BIGINT) AS n_frequent_lines, CAST(len(ws) - coalesce(lost.n, 0) AS BIGINT) AS n_words_left
   FROM d LEFT JOIN dup USING (r) LEFT JOIN cov USING (r) LEFT JOIN lost USING (r))
 SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
-  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_words_left >= {MIN_WORDS}
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) 
     AND 100 * n_words_left >= {MIN_LEFT_PERCENT} * n_words AS kept
 FROM f"""
 }

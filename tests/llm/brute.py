@@ -55,7 +55,7 @@ def quality_kept(docs, share=0.1, least=5):
             if WORD.search(line) and n > least and n > len(texts[source]) * share:
                 lost += len(words(line))
         left = base["n_words"] - lost
-        out.append(not base["base_failed"] and left >= 10 and 100 * left >= 20 * base["n_words"])
+        out.append(not base["base_failed"] and 100 * left >= 30 * base["n_words"])
     return out
 
 

@@ -78,7 +78,7 @@ def test_quality_equals_brute_force_on_edge_rows(spark):
 def boilerplate(spark):
     body = "own words here number {0} a{0} b{0} c{0} d{0} e{0} f{0} g{0}"
     rows = [(i, f"Cookie  notice: accept\n{body.format(i)}", "en", "h", 1) for i in range(20)]
-    rows += [(100 + i, f"cookie notice: ACCEPT\nshort text {i}", "en", "h", 1) for i in range(3)]
+    rows += [(100 + i, f"cookie notice: ACCEPT\ncookie  Notice: accept\nCookie notice: accept\nshort text {i}", "en", "h", 1) for i in range(3)]
     rows += [(200 + i, "this exact copy is often there and has more than ten words", "en", "h", 1) for i in range(50)]
     return spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
 
@@ -89,7 +89,7 @@ def test_quality_rejects_depleted_documents_only(spark, monkeypatch, broadcast):
     got = {r.doc_id: r for r in quality.quality(boilerplate(spark)).collect()}
     assert len(got) == 73
     assert all(got[i].kept and got[i].n_frequent_lines == 1 and "ookie" not in got[i].clean_text for i in range(20))
-    assert not any(got[100 + i].kept for i in range(3))
+    assert not any(got[100 + i].kept or got[100 + i].base_failed for i in range(3))
     assert all(got[200 + i].kept for i in range(50))  # copies count once
 
 
