@@ -256,8 +256,7 @@ def decontaminate(
         F.array().cast("array<string>").alias("items"),
     )
     rows = rows.withColumn("_found", none)
-    blocks = list(_blocks_or_none(benchmark, item, item_text, window, block_windows))
-    for phrases in blocks:
+    for phrases in _blocks_or_none(benchmark, item, item_text, window, block_windows):
         search = _search(docs.sparkSession, phrases, shard_words)
         rows = rows.withColumn("_found", search(F.col(text), F.col("_found.spans"), F.col("_found.items")))
     gaps = F.transform("spans", lambda p, i: F.when(i % 2 == 1, p).otherwise(-p))
