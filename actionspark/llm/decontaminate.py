@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import on_workers, table, without
+from actionspark.llm.common import LOWER, UPPER, on_workers, table, without
 
 WINDOW = 13
 SHARD_WORDS = 400_000
@@ -290,4 +290,28 @@ def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_decontaminate": op10_decontaminate}
-SQL: dict[str, str] = {}
+
+_WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+SQL = {
+    "op10_decontaminate": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+b AS (
+  SELECT item, least({WINDOW}, len(ws)) AS k, ws
+  FROM (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_WORDS} AS ws FROM benchmark) WHERE len(ws) > 0),
+f AS (
+  SELECT DISTINCT item, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i+k-1], ' '))) AS s FROM b),
+w AS (
+  SELECT r, k, unnest(ss) AS s, unnest(range(len(ss))) + 1 AS i
+  FROM (SELECT r, k, list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i+k-1], ' ')) AS ss
+        FROM d, (SELECT DISTINCT k FROM b) WHERE len(ws) >= k)),
+h AS (SELECT r, i, k, item FROM w JOIN f USING (k, s)),
+n AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + k)) AS p FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n, 0) > 0 AND 20 * coalesce(n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)"""
+}

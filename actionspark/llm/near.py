@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import LOWER, UPPER, WordHashes, gram_hashes, if_small, mixed, on_workers, stored, table, without
+from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes, if_small, mixed, on_workers, stored, table, without
 
 GRAM = 5
 PERCENT = 75
@@ -341,4 +341,21 @@ def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_near_duplicates": op7_near_duplicates}
-SQL: dict[str, str] = {}
+
+SQL = {
+    "op7_near_duplicates": f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS ws FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {GRAM} THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - {GRAM - 2}), lambda i: array_to_string(ws[i:i+{GRAM - 1}], ' '))) END AS g FROM d),
+e AS (SELECT r, len(g) AS n, unnest(g) AS g FROM s),
+l AS (
+  SELECT a.r AS a, b.r AS b FROM e a JOIN e b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r, a.n, b.n
+  HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+edges AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+reach AS (SELECT r AS a, r AS b FROM s UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+c AS (SELECT reach.a AS r, min(doc_id) AS component_id FROM reach JOIN s ON reach.b = s.r GROUP BY reach.a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id FROM s JOIN c USING (r)"""
+}

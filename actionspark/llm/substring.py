@@ -298,4 +298,20 @@ def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_substring_dedup": op3_substring_dedup}
-SQL: dict[str, str] = {}
+
+SQL = {
+    "op3_substring_dedup": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+w AS (
+  SELECT r, unnest(hs) AS h, unnest(range(len(hs))) + 1 AS i
+  FROM (SELECT r, list_transform(range(1, len(ws) - {WINDOW - 2}), lambda i: md5(array_to_string(ws[i:i+{WINDOW - 1}], ' '))) AS hs
+        FROM d WHERE len(ws) >= {WINDOW})),
+rep AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {WINDOW})) AS p FROM w JOIN rep USING (h)),
+word AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) + 1 AS p FROM d),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+}
