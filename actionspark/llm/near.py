@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes, if_small, mixed, on_workers, stored, table, without
@@ -15,7 +15,7 @@ from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes,
 GRAM = 5
 PERCENT = 75
 MOST_MATCHES = 4
-VERIFY_COST = 20.0
+VERIFY_COST = 0.25
 SKETCH_BITS = 18
 CHUNK = 1 << 14
 BROADCAST_KEYS = 1_000_000
@@ -64,7 +64,9 @@ class Sketch:
 
         Sets with a similarity of ``percent`` share at least that share of the larger one's shingles, so their prefixes
         of (size - that + m), rarest first, share m or more. Of m from 1 on, the one whose prefix is estimated to
-        cost least is taken: its postings, and a verification for each candidate they can make with m matches.
+        cost least is taken: its postings, and a verification for each candidate they can make with m matches. That
+        number is far too high, as near copies match in dozens of tokens, not in m, so a verification weighs a quarter
+        of a posting.
         """
         n = len(found)
         needed = -(-n * percent // 100)
@@ -85,13 +87,14 @@ def _read(rows: DataFrame, bits: int) -> DataFrame:
         known = WordHashes()
         sketch = np.zeros((2, 1 << bits), dtype=np.int64)
         for batch in batches:
-            nodes, sizes = [], []
+            nodes, sizes, sets = [], [], [np.empty(0, dtype=np.uint64)]
             for text in batch.column(1):
                 found = shingles(text.as_py(), known)
                 nodes.append(node_of(found))
                 sizes.append(len(found))
-                for row, place in zip(sketch, Sketch.places(found, bits), strict=True):
-                    np.add.at(row, place, 1)
+                sets.append(found)
+            for row, place in zip(sketch, Sketch.places(np.concatenate(sets), bits), strict=True):
+                row += np.bincount(place, minlength=1 << bits)
             n = len(nodes)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())],
@@ -131,7 +134,8 @@ def _sketch(read: DataFrame, bits: int) -> Sketch:
 
 
 def _postings(rows: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
-    """(token, node, n, m) of each node's prefix; a task gives a node once."""
+    """(token, node, size) of each node's prefix; a task gives a node once. ``size`` packs the number of shingles, the
+    token's place in the node's order and the matches that the prefix asks for."""
     sent = rows.sparkSession.sparkContext.broadcast(sketch.counts)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +148,8 @@ def _postings(rows: DataFrame, sketch: Sketch, percent: int) -> DataFrame:
                 if len(found) and node not in met:
                     met.add(node)
                     prefix, m = sketch.prefix(found, percent)
-                    parts.append((prefix.view(np.int64), np.full(len(prefix), node), np.full(len(prefix), len(found) * 8 + m)))
+                    size = (len(found) << 32) + (np.arange(len(prefix)) << 3) + m
+                    parts.append((prefix.view(np.int64), np.full(len(prefix), node), size))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["token", "node", "size"])
 
@@ -183,9 +188,22 @@ def _shared(postings: DataFrame) -> DataFrame:
     return dealt.mapInArrow(keep, "token long, node long, size long")
 
 
-def _close_in_size(a: str, b: str, percent: int):
-    x, y = F.shiftright(a, 3), F.shiftright(b, 3)
-    return (100 * x >= percent * y) & (100 * y >= percent * x)
+def _unpack(size: str) -> tuple[Column, Column, Column]:
+    """Number of shingles, place of the token, demanded matches."""
+    packed = F.col(size)
+    return F.shiftright(packed, 32), F.shiftright(packed, 3).bitwiseAND((1 << 29) - 1), packed.bitwiseAND(7)
+
+
+def _may_match(a: str, b: str, percent: int) -> Column:
+    """Whether a token shared by two nodes counts: the sizes are close enough, and it stands in both prefixes as they
+    are for just these sizes. A similar pair shares t shingles, so it has m matches among the first
+    (size - t + m) of both, m being the smaller demand."""
+    (x, i, k), (y, j, m) = _unpack(a), _unpack(b)
+    t = F.ceil(percent * (x + y) / F.lit(100 + percent))
+    demand = F.least(k, m)
+    return (
+        (100 * x >= percent * y) & (100 * y >= percent * x) & (i < x - t + demand) & (j < y - t + demand)
+    )
 
 
 def _best_stars(shared: DataFrame, percent: int) -> DataFrame:
@@ -198,22 +216,25 @@ def _best_stars(shared: DataFrame, percent: int) -> DataFrame:
     popular = shared.join(times, "token").groupBy("node").agg(F.sum("times").alias("popular"))
     ranked = stored(shared.join(popular, "node"), "ranked")
     centre = ranked.groupBy("token").agg(F.max(F.struct("popular", "node", "size")).alias("c"))
-    met = ranked.join(centre, "token").filter("node <> c.node").filter(_close_in_size("size", "c.size", percent))
+    met = ranked.join(centre, "token").filter("node <> c.node").filter(_may_match("size", "c.size", percent))
     pairs = met.groupBy("node", F.col("c.node").alias("other")).agg(F.count(F.lit(1)).alias("matches"))
     best = pairs.groupBy("node").agg(F.max(F.struct("matches", "other")).alias("b"))
     return best.select(F.col("b.other").alias("a"), F.col("node").alias("b"))
 
 
-def _across(shared: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings with their node's component, of tokens that nodes of different components have."""
+    placed = shared.join(labels, "node", "left").withColumn("label", F.coalesce(F.col("label"), F.col("node")))
+    both = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
+    return stored(placed.join(both.select("token"), "token", "left_semi"), "placed")
+
+
+def _across(placed: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes in different components that share as many prefix tokens as the smaller demand of the two."""
-    label = F.coalesce(F.col("label"), F.col("node"))
-    placed = shared.join(labels, "node", "left").withColumn("label", label)
-    mixed_ = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-    placed = stored(placed.join(mixed_.select("token"), "token", "left_semi"), "across")
     a = placed.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "label")))
     b = placed.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")))
-    met = a.join(b, "token").filter("label_a <> label_b AND node_a < node_b").filter(_close_in_size("size_a", "size_b", percent))
-    demand = F.least(F.col("size_a").bitwiseAND(7), F.col("size_b").bitwiseAND(7))
+    met = a.join(b, "token").filter("label_a <> label_b AND node_a < node_b").filter(_may_match("size_a", "size_b", percent))
+    demand = F.least(_unpack("size_a")[2], _unpack("size_b")[2])
     pairs = met.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("matches"), F.first(demand).alias("demand"))
     return pairs.filter("matches >= demand").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
@@ -275,8 +296,8 @@ def near_duplicates(
     Documents with equal shingle sets are one node. Each node's prefix, the rarest shingles first by a sketch of
     fixed size over all documents, is as long as is estimated to cost least, and a longer prefix asks for more
     shared tokens. First every node is verified against the one centre it shares most with, and what is linked is
-    one component. Then all pairs of nodes of different components with enough shared prefix tokens are
-    verified. Pairs within a component need no test, so a group of copies costs its size, not its square, and no link
+    one component. Then all pairs of nodes of different components with enough shared prefix tokens, at places in the
+    prefixes that the two sizes allow, are verified. Pairs within a component need no test, so a group of copies costs its size, not its square, and no link
     between components is lost.
 
     Edge cases: a NULL or empty text has no shingles and is linked with nothing, its component_id is its own key, component is NULL; a
@@ -292,11 +313,11 @@ def near_duplicates(
     nodes = read.filter("row IS NOT NULL").select("row", "node", "n")
     shared = stored(_shared(_postings(texts.select("text"), _sketch(read, sketch_bits), percent)), "shared")
 
-    first = stored(_best_stars(shared, percent), "stars")
-    links = stored(_verified(first, _texts_of(first, nodes, texts), percent), "links")
-    labels = components(links)
-    second = stored(_across(shared, labels, percent), "second")
-    more = stored(_verified(second, _texts_of(second, nodes, texts), percent), "more_links")
+    pairs = stored(_best_stars(shared, percent), "stars")
+    links = stored(_verified(pairs, _texts_of(pairs, nodes, texts), percent), "links")
+    placed = _placed(shared, components(links))
+    pairs = stored(_across(placed, percent), "across")
+    more = stored(_verified(pairs, _texts_of(pairs, nodes, texts), percent), "links")
     labels = components(links.unionAll(more))
 
     keyed = rows.select(F.col(key).alias("_key"), "_row").distinct()
