@@ -7,12 +7,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import if_small, stored, table, without
+from actionspark.llm.common import stored, table, without
+from actionspark.sources.tables import scratch_path
 
 SHARDS = 40
 SEED = 20
 BUCKET_ROWS = 4_000
 BUCKET_BYTES = 8 << 20
+BROADCAST_BUCKETS = 1_000_000
 OUTPUTS = ("shard", "slot")
 
 
@@ -30,7 +32,7 @@ def shard(
     long (``row_bytes``, the mean). Second pass: a task collects a bucket, puts it in the order of its hash and
     shuffles it by Fisher and Yates. Buckets one after the other make the order of all rows; their row counts summed up
     give each row its place, and place p of n goes to shard p * shards / n, so the shards' row counts differ by
-    one at most. The order depends on rows, seed and number of partitions only: buckets are sorted within
+    one at most. Partition after partition the result is in this order. The order depends on rows, seed and number of partitions only: buckets are sorted within
     a fixed partition, which is what the shuffle's random numbers start from, so a task that runs again gives the same.
 
     Edge cases: rows with a NULL key are scattered by their text; NULL and empty texts are rows like others;
@@ -50,13 +52,17 @@ def shard(
     counts = stored(rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), "bucket_counts")
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-    offsets = if_small(stored(counts.select(F.col("_bucket").alias("_b"), offset), "bucket_offsets"))
+    offsets = stored(counts.select(F.col("_bucket").alias("_b"), offset), "bucket_offsets")
+    small = offsets.count() <= BROADCAST_BUCKETS
+    offsets = F.broadcast(offsets) if small else offsets
 
     columns = [c for c in rows.columns if c not in ("_hash", "_bucket")]
     record = F.struct("_hash", *columns)
+    part = F.expr(f"cast((_bucket * {parts}) div {buckets} as int)")
     gathered = (
-        rows.repartition(parts, "_bucket")
-        .groupBy("_bucket")
+        rows.withColumn("_part", part)
+        .repartitionById(parts, F.col("_part"))
+        .groupBy("_part", "_bucket")
         .agg(F.sort_array(F.collect_list(record)).alias("_rows"))
         .sortWithinPartitions("_bucket")
         .select("_bucket", F.shuffle("_rows", F.lit(seed)).alias("_rows"))
@@ -66,6 +72,8 @@ def shard(
     )
     place = (F.col("_offset") + F.col("_at")).alias("_place")
     out = placed.select("_row.*", place).drop("_hash")
+    if not small:  # the join has dealt the buckets anew
+        out = out.repartitionByRange(parts, "_place").sortWithinPartitions("_place")
     exact = F.expr(f"(_place * {shards}) div {max(1, n)}")
     first = F.expr(f"(_shard * {n} + {shards - 1}) div {shards}")
     return (
@@ -76,27 +84,34 @@ def shard(
     )
 
 
+def mean_bytes(docs: DataFrame, text: str = "text") -> int:
+    """Mean length of the texts, for ``row_bytes``."""
+    return int(docs.agg(F.avg(F.octet_length(text))).first()[0] or 0)
+
+
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """One folder per shard, its rows in the order of their slots."""
-    n = sharded.agg(F.max("shard")).first()[0]
-    (
-        sharded.repartitionByRange(max(1, (n or 0) + 1), "shard", "slot")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .parquet(path)
+    """One folder per shard, its rows in the order of their slots, file after file. ``sharded`` is as ``shard`` gives it:
+    in order from partition to partition, so the texts are not shuffled again."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def digests(sharded: DataFrame, text: str = "text") -> DataFrame:
+    """``sharded`` with size and text_crc32 of its own texts, so that a text lost or changed on the way shows."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    return sharded.withColumn("size", (F.octet_length(body) + 16).cast("long")).withColumn(
+        "text_crc32", F.crc32(F.encode(body, "UTF-8"))
     )
 
 
 def op9_shard(spark, sf_dir: str) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        (F.octet_length(text) + 16).cast("long").alias("size"),
-        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-    )
-    out = shard(docs, fallback="text_crc32")
+    """Whole documents are scattered, shuffled and written as shards; what is returned is computed from those files."""
+    docs = table(spark, sf_dir, "documents")
+    sharded = shard(docs, row_bytes=mean_bytes(docs))
+    path = scratch_path(spark, "shards")
+    write_shards(sharded, path)
+    back = digests(spark.read.schema(sharded.schema).parquet(path))
     none = F.lit(None).cast("int")
-    return out.select(
+    return back.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", none.alias("grown_shard")
     )
 

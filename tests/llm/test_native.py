@@ -1,5 +1,7 @@
 """Mixing, quality rules, boilerplate lines, shards."""
 
+import zlib
+
 import duckdb
 import pytest
 from brute import quality_base, quality_kept, words
@@ -156,6 +158,40 @@ def test_shards_are_written_in_order(spark, tmp_path):
     assert back.count() == len(edge_documents()) and back.select("shard").distinct().count() == 5
 
 
+def test_the_query_shards_and_writes_whole_documents(spark, sf, monkeypatch):
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, path: (written.append(path), write(df, path)))
+    rows = sharding.op9_shard(spark, sf).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    files = spark.read.parquet(*written).collect()
+    place = {r.doc_id: (r.shard, r.slot) for r in rows}
+    assert len(rows) == len(files) == len(docs)
+    for r in files:
+        assert (r.shard, r.slot) == place[r.doc_id]
+        assert all(r[c] == docs[r.doc_id][c] for c in ("text", "lang", "source", "n_chars"))
+    for r in rows:
+        text = (docs[r.doc_id].text or "").encode()
+        assert (r["size"], r.text_crc32) == (len(text) + 16, zlib.crc32(text))
+
+
+@pytest.mark.parametrize("broadcast", [sharding.BROADCAST_BUCKETS, 0])
+def test_files_of_a_shard_follow_each_other(spark, tmp_path, monkeypatch, broadcast):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(sharding, "BROADCAST_BUCKETS", broadcast)
+    docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("text").alias("text"))
+    sharding.write_shards(sharding.shard(docs, shards=3), str(tmp_path / "shards"))
+    for s in range(3):
+        files = sorted((tmp_path / "shards" / f"shard={s}").glob("part-*.parquet"))
+        slots = [r.slot for f in files for r in spark.read.parquet(str(f)).collect()]
+        assert slots == list(range(len(slots))) and len(slots) in (166, 167)
+
+
+def test_digests_are_of_the_sharded_text(spark):
+    rows = sharding.digests(spark.createDataFrame([("a", 1), (None, 2)], "text string, size int")).collect()
+    assert [(r["size"], r.text_crc32) for r in rows] == [(17, zlib.crc32(b"a")), (16, 0)]
+
+
 @pytest.mark.parametrize("apply", [mixing.mix, quality.quality, sharding.shard])
 def test_empty_tables(spark, apply):
     assert apply(documents(spark, [])).collect() == []
