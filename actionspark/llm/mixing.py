@@ -66,7 +66,7 @@ def mix(
     up to the remainder, and of the row that crosses it the first ``rest`` words, so the budget is met exactly.
 
     Edge cases: a NULL or empty text has size 0 and takes nothing; a NULL source is one more source, the last; a
-    NULL key is hashed by the word null and the text; equal keys and repeated rows are separate rows, next to
+    NULL key is hashed as the word null; equal keys and repeated rows are separate rows, next to
     each other in the order (identical rows are interchangeable); an empty table gives an empty one. Input columns
     named like an output are replaced, all others are kept.
     """

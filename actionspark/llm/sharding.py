@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import stored, table, without
+from actionspark.llm.common import if_small, stored, table, without
 from actionspark.sources.tables import scratch_path
 
 SHARDS = 40
@@ -28,26 +28,34 @@ def shard(
 ) -> DataFrame:
     """``docs`` in a seeded random order, cut into ``shards`` parts: with ``shard`` and ``slot`` (from 0, gapless).
 
-    First pass: a seeded hash of the key scatters the rows into buckets of a few thousand rows, fewer if rows are
-    long (``row_bytes``, the mean). Second pass: a task collects a bucket, puts it in the order of its hash and
-    shuffles it by Fisher and Yates. Buckets one after the other make the order of all rows; their row counts summed up
-    give each row its place, and place p of n goes to shard p * shards / n, so the shards' row counts differ by
-    one at most. Partition after partition the result is in this order. The order depends on rows, seed and number of partitions only: buckets are sorted within
-    a fixed partition, which is what the shuffle's random numbers start from, so a task that runs again gives the same.
-
-    Edge cases: rows with a NULL key are scattered by their text; NULL and empty texts are rows like others;
+    First pass: a seeded hash of key and all other columns scatters the rows into buckets of a few thousand rows, fewer
+    if the texts are long (their bytes are summed; ``row_bytes`` is the least to assume a row). Rows that are equal in
+    all columns and would fill an eighth of a bucket are counted first and scattered copy by copy, so no key and
+    no group of copies decides the size of a bucket. Second pass: a task collects a bucket, puts it in the order of its
+    hash and shuffles it by Fisher and Yates. Buckets one after the other make the order of all rows; their row counts
+    summed up give each row its place, and place p of n goes to shard p * shards / n, so the shards' row counts differ by
+    one at most. Partition after partition the result is in this order. The order depends on rows, seed and number of
+    partitions only: buckets are sorted within a fixed partition, which is what the shuffle's random numbers start
+    from, so a task that runs again gives the same.
+
+    Edge cases: rows with a NULL key are scattered by their other columns; NULL and empty texts are rows like others;
     repeated rows take a slot each; with fewer rows than shards some shards are empty; an empty table gives an empty
     one. Input columns named shard or slot are replaced.
     """
     spark = docs.sparkSession
     rows = without(docs, *OUTPUTS)
     name = F.coalesce(F.col(key).cast("string"), F.col(fallback)) if fallback in rows.columns else F.col(key).cast("string")
-    hashed = F.xxhash64(F.lit(seed), name)
-    n = rows.count()
-    per_bucket = min(BUCKET_ROWS, max(1, BUCKET_BYTES // max(1, row_bytes)))
-    buckets = max(1, math.ceil(n / per_bucket))
+    columns = rows.columns
+    hashed = F.xxhash64(F.lit(seed), name, *columns)
+    rows = rows.withColumn("_hash", hashed)
+    texts = [c for c, kind in rows.select(*columns).dtypes if kind in ("string", "binary")]
+    weight = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in texts), F.lit(1).cast("long"))
+    copies = stored(rows.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.sum(weight).alias("_bytes")), "copies")
+    n, total = copies.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
+    buckets = max(1, math.ceil(n / BUCKET_ROWS), math.ceil(max(total, n * row_bytes) / BUCKET_BYTES))
+    rows = _copies_apart(rows, copies, columns, math.ceil(n / buckets))
     parts = min(buckets, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(buckets / 64)))
-    rows = rows.withColumn("_hash", hashed).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
+    rows = rows.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
 
     counts = stored(rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")), "bucket_counts")
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -56,7 +64,6 @@ def shard(
     small = offsets.count() <= BROADCAST_BUCKETS
     offsets = F.broadcast(offsets) if small else offsets
 
-    columns = [c for c in rows.columns if c not in ("_hash", "_bucket")]
     record = F.struct("_hash", *columns)
     part = F.expr(f"cast((_bucket * {parts}) div {buckets} as int)")
     gathered = (
@@ -84,9 +91,21 @@ def shard(
     )
 
 
-def mean_bytes(docs: DataFrame, text: str = "text") -> int:
-    """Mean length of the texts, for ``row_bytes``."""
-    return int(docs.agg(F.avg(F.octet_length(text))).first()[0] or 0)
+def _copies_apart(rows: DataFrame, copies: DataFrame, columns: list[str], per_bucket: int) -> DataFrame:
+    """``rows`` where equal rows, if they would fill an eighth of a bucket, have hashes of their own.
+
+    Equal rows cannot be told apart, so they become one row and a count, and as many rows again: the same on every run.
+    """
+    hot = copies.filter((F.col("_n") > 1) & ((F.col("_n") * 8 > per_bucket) | (F.col("_bytes") * 8 > BUCKET_BYTES)))
+    hot = stored(hot.select(F.col("_hash").alias("_h")), "hot_copies")
+    if hot.isEmpty():
+        return rows
+    hot = if_small(hot)
+    same = F.col("_hash") == F.col("_h")
+    counted = rows.join(hot, same, "left_semi").groupBy("_hash", *columns).agg(F.count(F.lit(1)).alias("_n"))
+    single = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_n")))
+    single = single.withColumn("_hash", F.xxhash64("_hash", "_copy")).select(*columns, "_hash")
+    return rows.join(hot, same, "left_anti").select(*columns, "_hash").unionByName(single)
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
@@ -106,7 +125,7 @@ def digests(sharded: DataFrame, text: str = "text") -> DataFrame:
 def op9_shard(spark, sf_dir: str) -> DataFrame:
     """Whole documents are scattered, shuffled and written as shards; what is returned is computed from those files."""
     docs = table(spark, sf_dir, "documents")
-    sharded = shard(docs, row_bytes=mean_bytes(docs))
+    sharded = shard(docs)
     path = scratch_path(spark, "shards")
     write_shards(sharded, path)
     back = digests(spark.read.schema(sharded.schema).parquet(path))

@@ -36,8 +36,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows in shuffled shards: shard and slot follow the columns of documents."""
-    mean = docs.agg(F.avg(F.octet_length("text"))).first()[0]
-    return shard(docs, row_bytes=int(mean or 0))
+    return shard(docs)
 
 
 STAGES = [

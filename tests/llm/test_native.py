@@ -187,6 +187,40 @@ def test_files_of_a_shard_follow_each_other(spark, tmp_path, monkeypatch, broadc
         assert slots == list(range(len(slots))) and len(slots) in (166, 167)
 
 
+def largest_bucket(spark, monkeypatch, docs):
+    """Rows of the largest bucket, and the sharded rows."""
+    sizes, keep = [], sharding.stored
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 20)
+
+    def seen(df, name):
+        out = keep(df, name)
+        if name == "bucket_counts":
+            sizes.append(out.agg(F.max("_n")).first()[0])
+        return out
+
+    monkeypatch.setattr(sharding, "stored", seen)
+    return sharding.shard(docs, shards=4).collect(), sizes[0]
+
+
+@pytest.mark.parametrize("key", ["7", "NULL"])
+@pytest.mark.parametrize("text", ["concat('text ', id)", "'the same text'"])
+def test_a_hot_key_or_a_group_of_copies_fills_no_bucket(spark, monkeypatch, key, text):
+    docs = spark.range(600).selectExpr(f"if(id < 300, {key}, id) AS doc_id", f"if(id < 300, {text}, 'x') AS text")
+    rows, largest = largest_bucket(spark, monkeypatch, docs)
+    assert largest < 60
+    assert sorted(repr((r.doc_id, r.text)) for r in rows) == sorted(repr((r.doc_id, r.text)) for r in docs.collect())
+    assert len({(r.shard, r.slot) for r in rows}) == 600
+    again = sharding.shard(docs.repartition(5), shards=4).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
+def test_buckets_are_sized_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_BYTES", 2000)
+    docs = spark.range(200).selectExpr("id AS doc_id", "if(id < 20, repeat('x', 1000), 'x') AS text")
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 4000)
+    assert sharding.shard(docs, shards=4).select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_digests_are_of_the_sharded_text(spark):
     rows = sharding.digests(spark.createDataFrame([("a", 1), (None, 2)], "text string, size int")).collect()
     assert [(r["size"], r.text_crc32) for r in rows] == [(17, zlib.crc32(b"a")), (16, 0)]
