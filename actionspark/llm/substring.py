@@ -230,8 +230,8 @@ def drop_repeats(
     A word goes if a window of ``window`` words that covers it occurs anywhere else, in the same row too. Candidates:
     every window has an anchor, the phrase in it with the smallest hash; about one word in fourteen is an anchor, and only
     those that occur twice or more can belong to a recurring window. The segments around them are dealt by anchor
-    into shards; there the recurring passages are confirmed on the words themselves, compiled into an automaton, and all
-    segments streamed through it. Anchors with over ``hot`` occurrences take another, equally exact way: their
+    into shards; there recurring windows are counted by 64-bit hashes, their runs compiled into an automaton, and the same
+    segments streamed through it, which gives the spans counted before. Anchors with over ``hot`` occurrences take another, equally exact way: their
     windows are counted one by one, in two salted steps.
 
     Edge cases: a NULL or empty text and one of fewer words than a window loses nothing; repeated rows are
