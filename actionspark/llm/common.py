@@ -59,6 +59,18 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` bears: for columns an operator needs for itself."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class WordHashes(dict):
     """64-bit hash of each word met, kept up to a fixed number of words."""
 
