@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
+from functools import wraps
+from inspect import signature
 from pathlib import Path
 
 import numpy as np
@@ -59,6 +62,35 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*names)
 
 
+def own_names(outputs: tuple[str, ...], *params: str) -> Callable:
+    """For operators that add columns to those of their first argument: whatever the caller's columns are called, none can
+    meet one that the operator makes for itself.
+
+    Inside, the caller's columns are called in_0, in_1 and so on, and ``params``, which name columns, are translated.
+    Outside they have their names again, in their order, with ``outputs`` behind them; those named like an output are
+    replaced.
+    """
+
+    def decorate(operator: Callable) -> Callable:
+        known = signature(operator)
+
+        @wraps(operator)
+        def renamed(docs: DataFrame, *args, **named) -> DataFrame:
+            names = docs.columns
+            inner = {c.lower(): f"in_{i}" for i, c in enumerate(names)}
+            bound = known.bind(docs.toDF(*(f"in_{i}" for i in range(len(names)))), *args, **named)
+            bound.apply_defaults()
+            for p in params:
+                bound.arguments[p] = inner.get(bound.arguments[p].lower(), bound.arguments[p])
+            replaced = {c.lower() for c in outputs}
+            kept = [F.col(f"in_{i}").alias(c) for i, c in enumerate(names) if c.lower() not in replaced]
+            return operator(*bound.args, **bound.kwargs).select(*kept, *outputs)
+
+        return renamed
+
+    return decorate
+
+
 def free(df: DataFrame, *names: str) -> list[str]:
     """Names like ``names`` that no column of ``df`` bears: for columns an operator needs for itself."""
     taken = {c.lower() for c in df.columns}
@@ -71,6 +103,12 @@ def free(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def row_number_of(key: str, text: str) -> Column:
+    """A number for a row, by key and text, which are told apart by 64 bits: equal rows have one number. NULL is marked,
+    since the hash passes over it and would take (NULL, x) for (x, NULL)."""
+    return F.xxhash64(F.col(key).isNull(), F.col(key), F.col(text).isNull(), F.col(text))
+
+
 class WordHashes(dict):
     """64-bit hash of each word met, kept up to a fixed number of words."""
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import LOWER, UPPER, on_workers, table, without
+from actionspark.llm.common import LOWER, UPPER, on_workers, own_names, table
 
 WINDOW = 13
 SHARD_WORDS = 400_000
@@ -227,6 +227,7 @@ def _blocks(benchmark: DataFrame, item: str, text: str, window: int, most: int)
         yield block
 
 
+@own_names(OUTPUTS, "text")
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -249,7 +250,7 @@ def decontaminate(
     item_id is named null; equal ids are one item; repeated rows get equal results; an empty benchmark hits
     nothing; an empty table gives an empty one. Input columns named like an output are replaced.
     """
-    rows = without(docs, *(c for c in OUTPUTS if c != text))
+    rows = docs
     none = F.struct(
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<long>").alias("spans"),

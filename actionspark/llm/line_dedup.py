@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import SPACE, ascii_lower, table, without
-from actionspark.llm.lines import frequent_lines, line_key, with_frequent
+from actionspark.llm.common import SPACE, ascii_lower, own_names, stored, table
+from actionspark.llm.lines import frequent_lines, with_frequent
 
 RATIO = 0.3
 MIN_PAGES = 2
@@ -16,44 +16,52 @@ TAGS = r"<[^>]*>"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:]*)"
 # The entities that mark-up itself needs, the ampersand last.
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# White space within a line that is not one space: what collapsing changes.
+UNEVEN = r"[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*|\x20[\x20\x09\x0B-\x0D]+"
 OUTPUTS = ("host", "host_pages", "n_lines", "n_dropped", "clean_text")
 
 
 def visible_lines(html: Column) -> Column:
     """The lines a reader sees: block tags break lines, other mark-up goes, white space is collapsed."""
     text = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), BREAKS, "\n")
-    text = F.regexp_replace(text, TAGS, "")
+    plain = F.regexp_replace(text, TAGS, "")
+    text = plain
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
-    lines = F.transform(F.split(text, "\n", -1), lambda x: F.trim(F.regexp_replace(x, SPACE, " ")))
+    text = F.when(F.contains(plain, F.lit("&")), text).otherwise(plain)
+    lines = F.transform(F.split(F.regexp_replace(text, UNEVEN, " "), "\n", -1), F.trim)
     return F.coalesce(F.filter(lines, lambda x: x != ""), F.array().cast("array<string>"))
 
 
+@own_names(OUTPUTS, "url", "html")
 def drop_boilerplate(
-    pages: DataFrame, url: str = "url", html: str = "html", ratio: float = RATIO, min_pages: int = MIN_PAGES
+    pages: DataFrame,
+    url: str = "url",
+    html: str = "html",
+    ratio: float = RATIO,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """``pages`` with host, host_pages, n_lines, n_dropped and clean_text (the lines that stay).
 
     The pages of a host that hold a line, divided by the host's pages, is the line's ratio; lines over ``ratio``
     and on more than ``min_pages`` pages are dropped wherever they stand. Lines are compared with ASCII letters in
-    lower case.
+    lower case. Mark-up is taken apart once: the rows with their lines are stored, and counted and cleaned from there.
 
     Edge cases: a NULL or empty html has no lines and an empty clean_text, but is a page of its host; a url that is NULL
     or has no host belongs to the host ''; repeated rows are pages of their own; an empty table gives an
     empty one. Input columns named like an output are replaced.
     """
-    rows = without(pages, *(c for c in OUTPUTS if c not in (url, html)))
-    site = ascii_host(F.col(url))
-    rows = rows.withColumn("host", site).withColumn("_lines", visible_lines(F.col(html)))
-    seen = rows.select("host", F.lit(None).cast("long").alias("page"), F.transform("_lines", line_key).alias("keys"))
+    rows = pages.withColumn("host", ascii_host(F.col(url))).withColumn("lines", visible_lines(F.col(html)))
+    rows = stored(rows, "lines").withColumn("keys", F.transform("lines", lambda x: F.xxhash64(ascii_lower(x))))
+    seen = rows.select("host", F.lit(None).cast("long").alias("page"), "keys")
     rows = with_frequent(rows, "host", frequent_lines(seen, ratio, min_pages, distinct=False))
-    stay = F.filter("_lines", lambda x: ~F.array_contains("frequent", line_key(x)))
-    rows = rows.withColumn("_stay", stay).withColumnRenamed("n_pages", "host_pages")
+    kept = F.filter("lines", lambda x, i: ~F.array_contains("frequent", F.get("keys", i)))
+    rows = rows.withColumn("stay", F.when(F.size("frequent") > 0, kept).otherwise(F.col("lines")))
     return (
-        rows.withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.size("_stay"))
-        .withColumn("clean_text", F.array_join("_stay", "\n"))
-        .drop("_lines", "_stay", "frequent")
+        rows.withColumnRenamed("n_pages", "host_pages")
+        .withColumn("n_lines", F.size("lines").cast("long"))
+        .withColumn("n_dropped", F.col("n_lines") - F.size("stay"))
+        .withColumn("clean_text", F.array_join("stay", "\n"))
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import SPACE_CHARS, WORD, if_small, stored, table, without, word_count
+from actionspark.llm.common import WORD, free, if_small, own_names, stored, table, without, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -48,6 +48,7 @@ def source_targets(
     )
 
 
+@own_names(OUTPUTS, "key", "source", "text")
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
@@ -62,16 +63,16 @@ def mix(
     Within a source the rows are ordered by a seeded hash of the key. The running sum of sizes in that order
     is taken in two levels: sums of ranges of the hash (a range holds about ``BUCKET_ROWS`` rows, so a hot
     source only has more of them), and the sum within the range. The source's budget, the whole part of
-    its target, is so many whole epochs of all its rows and a remainder: in the last epoch rows are taken whole
-    up to the remainder, and of the row that crosses it the first ``rest`` words, so the budget is met exactly.
+    its target, is so many whole epochs of all its rows and a remainder: in the last epoch rows are taken up to the
+    remainder. Rows are taken whole: the one that crosses the remainder is taken if at least half of it lies below, so
+    what is taken is within half a row of the budget. ``rest`` is what a row adds in the last epoch, its size or 0.
 
     Edge cases: a NULL or empty text has size 0 and takes nothing; a NULL source is one more source, the last; a
     NULL key is hashed as the word null; equal keys and repeated rows are separate rows, next to
     each other in the order (identical rows are interchangeable); an empty table gives an empty one. Input columns
     named like an output are replaced, all others are kept.
     """
-    rows = without(docs, *(c for c in OUTPUTS if c not in (key, source, text)))
-    rows = rows.withColumn("size", word_count(F.col(text)))
+    rows = docs.withColumn("size", word_count(F.col(text)))
     name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
     rows = rows.withColumn("_key", F.md5(F.concat(F.lit(f"{seed}:"), name)))
     sizes = rows.groupBy(source).agg(
@@ -103,7 +104,7 @@ def mix(
     budget = F.floor("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
     left = budget - epochs * F.col("source_size") - F.col("_offset") - F.col("_inside")
-    rest = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
+    rest = F.when((left > 0) & (2 * left >= F.col("size")), F.col("size")).otherwise(F.lit(0).cast("long"))
     return (
         rows.withColumn("epochs", epochs.cast("long"))
         .withColumn("rest", rest)
@@ -112,22 +113,13 @@ def mix(
     )
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word, white space as it is."""
-    pieces = F.regexp_extract_all(text, F.lit(f"[{SPACE_CHARS}]*{WORD}"), F.lit(0))
-    return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
-
-
-def repeated(mixed: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """The mix as rows: each row as often as it is taken, the last copy cut to ``rest`` words where it crosses the
-    budget. ``length`` is set anew for the cut copy. Rows that the mix doesn't take do not appear."""
+def repeated(mixed: DataFrame) -> DataFrame:
+    """The mix as rows: each row as often as it is taken. Rows that the mix doesn't take do not appear."""
     copies = F.col("epochs") + F.when(F.col("rest") > 0, 1).otherwise(0)
-    out = mixed.filter((copies > 0) & (F.col("size") > 0)).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
-    cut = (F.col("_copy") > F.col("epochs")) & (F.col("rest") < F.col("size"))
-    out = out.withColumn(text, F.when(cut, first_words(F.col(text), F.col("rest"))).otherwise(F.col(text)))
-    if length in out.columns:
-        out = out.withColumn(length, F.when(cut, F.length(text).cast("long")).otherwise(F.col(length)))
-    return out.drop("_copy", *OUTPUTS)
+    kept = without(mixed, *OUTPUTS).columns
+    taken = mixed.filter((copies > 0) & (F.col("size") > 0))
+    (copy,) = free(mixed, "copy")
+    return taken.select(*kept, F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(copy)).drop(copy)
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:
@@ -159,8 +151,11 @@ t AS (
 b AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS epochs FROM t)
 SELECT doc_id, size, source_size, target,
-       CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size
+       CAST(epochs * size + CASE WHEN below > 0 AND 2 * below >= size THEN size ELSE 0 END AS BIGINT) AS taken
+FROM (
+  SELECT doc_id, size, source_size, target, epochs,
+         CAST(floor(target) AS BIGINT) - epochs * source_size
          - coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS FIRST, size
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS BIGINT) AS taken
-FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source"""
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)"""
 }

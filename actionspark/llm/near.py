@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes, if_small, mixed, on_workers, stored, table, without
+from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes, if_small, mixed, on_workers, own_names, row_number_of, stored, table
 
 GRAM = 5
 PERCENT = 75
@@ -287,6 +287,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+@own_names(OUTPUTS, "key", "text")
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, sketch_bits: int = SKETCH_BITS
 ) -> DataFrame:
@@ -306,8 +307,7 @@ def near_duplicates(
     output are replaced. Sets are told apart by 64 bits.
     """
     on_workers(docs.sparkSession)
-    rows = without(docs, *(c for c in OUTPUTS if c not in (key, text)))
-    rows = rows.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
+    rows = docs.withColumn("_row", row_number_of(key, text))
     texts = rows.select("_row", F.col(text).alias("text"))
     read = stored(_read(texts, sketch_bits), "read")
     nodes = read.filter("row IS NOT NULL").select("row", "node", "n")

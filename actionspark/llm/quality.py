@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import SPACE_CHARS, WORD, table, without, word_count
-from actionspark.llm.lines import frequent_lines, line_key, with_frequent, worded
+from actionspark.llm.common import SPACE_CHARS, WORD, own_names, stored, table, without, word_count
+from actionspark.llm.lines import line_key, worded
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 GRAM = 5
-LINE_SHARE = 0.1
-LINE_DOCS = 5
+LINE_DOCS = 10
+LISTED = 100_000  # frequent lines that are looked up in every task's memory; more are joined
 MIN_LEFT_PERCENT = 30
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 VERDICT = ("n_frequent_lines", "n_words_left", "kept", "clean_text")
@@ -62,59 +62,76 @@ def base_features(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def quality(
-    docs: DataFrame,
-    host: str = "source",
-    text: str = "text",
-    line_share: float = LINE_SHARE,
-    line_docs: int = LINE_DOCS,
-) -> DataFrame:
+def _site_key(host: Column, line: Column) -> Column:
+    """Host and line as one number; a NULL host is told from all others."""
+    return F.xxhash64(host.isNull(), host, line)
+
+
+def _frequent(rows: DataFrame, host: str, text: str, most: int) -> DataFrame:
+    """(site_key) of the lines that more than ``most`` different texts of their host hold.
+
+    What is shuffled is (host and line, text) as numbers, once per text and line, copies of a text being one; then
+    counts per line are summed up before they meet, so a line on a third of all texts is a row per task.
+    """
+    keys = F.transform(worded(F.coalesce(F.col(text), F.lit(""))), lambda x: _site_key(F.col(host), line_key(x)))
+    found = rows.select(F.xxhash64(F.col(text)).alias("page"), F.explode(F.array_distinct(keys)).alias("site_key"))
+    counts = found.groupBy("site_key").agg(F.count_distinct("page").alias("n"))
+    return stored(counts.filter(F.col("n") > most).select("site_key"), "frequent_lines")
+
+
+def _lines_out(rows: DataFrame, host: str, text: str, frequent: DataFrame) -> DataFrame:
+    """``rows`` with ``out``: for each line of the text whether it is a frequent one; NULL where none is.
+
+    Up to LISTED frequent lines are a hashed set in the plan. If there are more, the texts' lines are joined with them on
+    the key, which the planner splits where a line is hot, and what they hold comes back by host and text.
+    """
+    listed = frequent.limit(LISTED + 1).count()
+    parts = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+    worded_line = lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0
+    if listed <= LISTED:
+        known = [r[0] for r in frequent.collect()]
+        out = F.transform(parts, lambda x: worded_line(x) & _site_key(F.col(host), line_key(x)).isin(known))
+        rows = rows.withColumn("out", out if known else F.lit(None).cast("array<boolean>"))
+    else:
+        rows = rows.withColumn("page", F.xxhash64(F.col(host).isNull(), F.col(host), F.col(text)))
+        keys = F.transform(worded(F.coalesce(F.col(text), F.lit(""))), lambda x: _site_key(F.col(host), line_key(x)))
+        each = rows.select("page", F.explode(F.array_distinct(keys)).alias("site_key")).distinct()
+        held = each.join(frequent, "site_key").groupBy("page").agg(F.collect_list("site_key").alias("held"))
+        rows = rows.join(stored(held, "held_lines"), "page", "left")
+        out = F.transform(
+            parts, lambda x: worded_line(x) & F.array_contains("held", _site_key(F.col(host), line_key(x)))
+        )
+        rows = rows.withColumn("out", F.when(F.col("held").isNotNull(), out))
+    return rows.withColumn("out", F.when(F.array_contains("out", True), F.col("out")))
+
+
+@own_names((*BASE, *VERDICT), "host", "text")
+def quality(docs: DataFrame, host: str = "source", text: str = "text", line_docs: int = LINE_DOCS) -> DataFrame:
     """``docs`` with BASE and n_frequent_lines, n_words_left, kept and clean_text.
 
     A line, with ASCII letters in lower case and white space collapsed, is frequent if more than ``line_docs``
-    documents and more than ``line_share`` of all documents of its host hold it. Documents of a host with
-    equal texts count once, so a document is not lost for having exact copies. Frequent lines are taken out of
-    ``clean_text``. A document is depleted, and not kept, if less than three tenths of its words are left; nor is one
-    kept that fails the base rules.
+    documents of its host hold it, however large the host is. Documents of a host with equal texts count once, so a
+    document is not lost for having exact copies. Frequent lines are taken out of ``clean_text``. A document is
+    depleted, and not kept, if less than three tenths of its words are left; nor is one kept that fails the base rules.
 
     Edge cases: a NULL or empty text has no words and fails; a NULL host is a host of its own; repeated rows get equal
     verdicts; an empty table gives an empty one. Input columns named like an output are replaced.
     """
-    docs = without(docs, *(c for c in VERDICT if c not in (host, text)))
-    body = F.coalesce(F.col(text), F.lit(""))
-    pages = docs.select(
-        F.col(host).alias("host"),
-        F.xxhash64(F.col(text)).alias("page"),
-        F.transform(worded(body), line_key).alias("keys"),
-    )
-    lines = frequent_lines(pages, line_share, line_docs, distinct=True)
-    rows = with_frequent(base_features(docs, text), host, lines).drop("n_pages")
-    some = F.size("frequent") > 0
-    listed = F.when(some, F.split(body, "\n", -1))
-    rows = rows.withColumn(
-        "_parts",
-        F.transform(
-            listed,
-            lambda x: F.struct(
-                x.alias("line"),
-                (F.array_contains("frequent", line_key(x)) & (F.length(F.translate(x, SPACE_CHARS, "")) > 0)).alias("out"),
-            ),
-        ),
-    )
-    out = F.filter("_parts", lambda p: p.getField("out"))
-    lost = F.aggregate(out, F.lit(0).cast("long"), lambda a, p: a + word_count(p.getField("line")))
-    rows = rows.withColumn("n_frequent_lines", F.when(some, F.size(out)).otherwise(F.lit(0)).cast("long"))
-    rows = rows.withColumn("n_words_left", F.col("n_words") - F.coalesce(lost, F.lit(0)))
-    stay = F.transform(F.filter("_parts", lambda p: ~p.getField("out")), lambda p: p.getField("line"))
-    clean = F.when(F.col("n_frequent_lines") > 0, F.array_join(stay, "\n")).otherwise(F.col(text))
+    rows = base_features(docs, text)
+    rows = _lines_out(rows, host, text, _frequent(docs, host, text, line_docs))
+    lines = F.split(F.col(text), "\n", -1)
+    gone = F.filter(lines, lambda x, i: F.get("out", i))
+    stay = F.filter(lines, lambda x, i: ~F.get("out", i))
+    lost = F.aggregate(gone, F.lit(0).cast("long"), lambda a, x: a + word_count(x))
+    some = F.col("out").isNotNull()
+    rows = rows.withColumn("n_frequent_lines", F.when(some, F.size(gone)).otherwise(F.lit(0)).cast("long"))
+    rows = rows.withColumn("n_words_left", F.col("n_words") - F.when(some, lost).otherwise(F.lit(0)))
     depleted = 100 * F.col("n_words_left") < MIN_LEFT_PERCENT * F.col("n_words")
     # Always true, but not known before it runs: a filter on the verdict stays above it, where it reads a column, and is
     # not pushed down to the scan, where it would hold every expression above many times over.
     there = F.monotonically_increasing_id() >= 0
-    return (
-        rows.withColumn("clean_text", clean)
-        .withColumn("kept", ~F.col("base_failed") & ~depleted & there)
-        .drop("_parts", "frequent")
+    return rows.withColumn("clean_text", F.when(some, F.array_join(stay, "\n")).otherwise(F.col(text))).withColumn(
+        "kept", ~F.col("base_failed") & ~depleted & there
     )
 
 
@@ -139,11 +156,7 @@ l AS (
   SELECT r, source, text, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS norm
   FROM (SELECT r, source, text, unnest(string_split(b, chr(10))) AS line FROM d) WHERE regexp_matches(line, '{_W}')),
 dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM l GROUP BY r),
-tot AS (SELECT source, count(DISTINCT coalesce(text, chr(1))) AS n FROM d GROUP BY source),
-cnt AS (SELECT source, norm, count(DISTINCT text) AS n FROM l GROUP BY source, norm),
-freq AS (
-  SELECT cnt.source, norm FROM cnt JOIN tot ON cnt.source IS NOT DISTINCT FROM tot.source
-  WHERE cnt.n > {LINE_DOCS} AND cnt.n > tot.n * {LINE_SHARE}::DOUBLE),
+freq AS (SELECT source, norm FROM l GROUP BY source, norm HAVING count(DISTINCT text) > {LINE_DOCS}),
 lost AS (
   SELECT r, count(*) AS nl, sum(len(regexp_extract_all(line, '{_W}'))) AS n
   FROM l JOIN freq ON l.source IS NOT DISTINCT FROM freq.source AND l.norm = freq.norm GROUP BY r),

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import if_small, stored, table, without
+from actionspark.llm.common import if_small, own_names, stored, table, without
 from actionspark.sources.tables import scratch_path
 
 SHARDS = 40
@@ -18,6 +18,7 @@ BROADCAST_BUCKETS = 1_000_000
 OUTPUTS = ("shard", "slot")
 
 
+@own_names(OUTPUTS, "key", "fallback")
 def shard(
     docs: DataFrame,
     key: str = "doc_id",
@@ -39,11 +40,13 @@ def shard(
     from, so a task that runs again gives the same.
 
     Edge cases: rows with a NULL key are scattered by their other columns; NULL and empty texts are rows like others;
-    repeated rows take a slot each; with fewer rows than shards some shards are empty; an empty table gives an empty
+    repeated rows take a slot each; maps are hashed and ordered by their sorted entries; with fewer rows than shards some shards are empty; an empty table gives an empty
     one. Input columns named shard or slot are replaced.
     """
     spark = docs.sparkSession
-    rows = without(docs, *OUTPUTS)
+    rows, maps = without(docs, *OUTPUTS), [c for c, kind in docs.dtypes if kind.startswith("map<")]
+    for c in maps:  # a map can be neither hashed nor ordered
+        rows = rows.withColumn(c, F.array_sort(F.map_entries(c)))
     name = F.coalesce(F.col(key).cast("string"), F.col(fallback)) if fallback in rows.columns else F.col(key).cast("string")
     columns = rows.columns
     hashed = F.xxhash64(F.lit(seed), name, *columns)
@@ -83,6 +86,8 @@ def shard(
         out = out.repartitionByRange(parts, "_place").sortWithinPartitions("_place")
     exact = F.expr(f"(_place * {shards}) div {max(1, n)}")
     first = F.expr(f"(_shard * {n} + {shards - 1}) div {shards}")
+    for c in maps:
+        out = out.withColumn(c, F.map_from_entries(c))
     return (
         out.withColumn("_shard", exact)
         .withColumn("slot", F.col("_place") - first)

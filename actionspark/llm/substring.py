@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import WORD, WordHashes, gram_hashes, mixed, on_workers, stored, table, without
+from actionspark.llm.common import WORD, WordHashes, gram_hashes, mixed, on_workers, own_names, row_number_of, stored, table
 
 WINDOW = 35
 ANCHOR = 8
@@ -222,6 +222,7 @@ def _hot_spans(windows: DataFrame, window: int) -> DataFrame:
     return many.select("row", "first", last).unionAll(single.select("row", "first", last))
 
 
+@own_names(OUTPUTS, "key", "text")
 def drop_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT
 ) -> DataFrame:
@@ -240,8 +241,7 @@ def drop_repeats(
     named like an output are replaced.
     """
     on_workers(docs.sparkSession)
-    rows = without(docs, *(c for c in OUTPUTS if c not in (key, text)))
-    rows = rows.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
+    rows = docs.withColumn("_row", row_number_of(key, text))
     anchors = stored(_anchors(rows.select("_row", text), window, anchor), "anchors")
     times = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).filter("times >= 2")
     run = F.struct("anchor", "first", "count")

@@ -38,11 +38,10 @@ def norm(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line.translate(FOLD)).strip(" ")
 
 
-def quality_kept(docs, share=0.1, least=5):
+def quality_kept(docs, least=10):
     """docs: (source, text) rows; the verdict of each."""
-    texts, counts = defaultdict(set), defaultdict(set)
+    counts = defaultdict(set)
     for source, text in docs:
-        texts[source].add(text)
         for line in (text or "").split("\n"):
             if WORD.search(line):
                 counts[source, norm(line)].add(text)
@@ -52,7 +51,7 @@ def quality_kept(docs, share=0.1, least=5):
         lost = 0
         for line in (text or "").split("\n"):
             n = len(counts.get((source, norm(line)), ()))
-            if WORD.search(line) and n > least and n > len(texts[source]) * share:
+            if WORD.search(line) and n > least:
                 lost += len(words(line))
         left = base["n_words"] - lost
         out.append(not base["base_failed"] and 100 * left >= 30 * base["n_words"])
