@@ -38,7 +38,8 @@ class EngineConfig:
 
     ``root`` must be on storage every executor can reach. ``fit_partitions`` is the parallelism of the fit (None: the
     session's shuffle partitions), ``fit_rows`` about how many labelled rows it takes at most (None: all), ``max_bins``
-    how many thresholds it tries per number. ``max_depth`` 30 is the deepest tree the library builds.
+    how many thresholds it tries per number. ``max_depth`` 30 is the deepest tree the library builds. Of the tables that a
+    job rewrites, ``keep_versions`` versions stay readable.
     """
 
     root: str
@@ -53,6 +54,7 @@ class EngineConfig:
     fit_rows: int | None = 2_000_000
     max_bins: int = 256
     baseline_rows: int = 1000
+    keep_versions: int = 3
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"

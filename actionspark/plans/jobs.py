@@ -22,6 +22,7 @@ from actionspark.operators.features import features, labels
 from actionspark.operators.logs import health_summary, inference_log, mean_drift, performance_report
 from actionspark.operators.readiness import monitor_status, readiness
 from actionspark.plans.forest import fit_forest, forest_scores, predict
+from actionspark.sources import versions
 from actionspark.sources.schemas import (
     FEATURES,
     INFERENCE_LOG,
@@ -33,6 +34,7 @@ from actionspark.sources.tables import (
     append_log,
     baseline_full,
     baseline_sample,
+    baseline_version,
     materialize,
     overwrite_table,
     read_log,
@@ -44,22 +46,23 @@ from actionspark.streaming.scoring import score_stream
 
 RAW, FEATURE_TABLE, VOCABULARY, VERSIONS = "customers_raw", "features", "vocabulary", "model_versions"
 RECS, LOG = "recommendations", "inference_log"
+BASELINE = "baseline"
 
 
 def build_customers(raw: DataFrame, cfg: EngineConfig) -> None:
     """Store raw customers, from the warehouse view or from the generator."""
-    overwrite_table(conform(raw, RAW_CUSTOMERS), cfg.path(RAW))
+    overwrite_table(conform(raw, RAW_CUSTOMERS), cfg.path(RAW), keep=cfg.keep_versions)
 
 
 def build_features(spark: SparkSession, cfg: EngineConfig, run_ts) -> DataFrame:
-    """Derive and store the features; keys that are NULL or repeated are repaired on the way, since a
-    Parquet table cannot be rewritten while it is read. Returns the key check of what was derived."""
+    """Derive and store the features as the table's next version; keys that are NULL or repeated are repaired on the way.
+    Returns the key check of what was derived."""
     raw = read_table(spark, cfg.path(RAW), RAW_CUSTOMERS)
     derived = features(raw, run_ts)
     checked = keys.key_check(derived, ["customer_id"])
     clean = checked.first()["key_ok"]
     table = derived if clean else keys.dedupe_latest(derived, ["customer_id"], ["updated_at"])
-    overwrite_table(table, cfg.path(FEATURE_TABLE))
+    overwrite_table(table, cfg.path(FEATURE_TABLE), keep=cfg.keep_versions)
     return checked
 
 
@@ -161,7 +164,7 @@ def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date, batch_
     scored = forest_scores(
         model, feats, vocabulary, cfg.categorical_features, cfg.numeric_features, str(version), as_column(run_ts)
     )
-    overwrite_table(scored, cfg.path(RECS))
+    overwrite_table(scored, cfg.path(RECS), keep=cfg.keep_versions)
     recs = read_table(spark, cfg.path(RECS), RECOMMENDATIONS)
     log = inference_log(recs, feats, log_date, run_ts, columns=cfg.features)
     append_log(log, cfg.path(LOG), batch_id=str(run_ts) if batch_id is None else batch_id)
@@ -171,7 +174,8 @@ def score_batch(spark: SparkSession, cfg: EngineConfig, run_ts, log_date, batch_
 def score_arrivals(
     spark: SparkSession, cfg: EngineConfig, source: str, sink: str, checkpoint: str, once: bool = True
 ) -> StreamingQuery:
-    """Score feature files as they land in ``source`` with the champion of the moment the query starts."""
+    """Score feature files as they land in ``source`` with the champion of the moment the query starts. Of a versioned
+    table the rows of its newest version are scored."""
     version = model_aliases(spark, cfg).get("champion")
     if version is None:
         raise LookupError(f"no champion for {cfg.model_name}: train a model first")
@@ -189,11 +193,16 @@ def score_arrivals(
             ["updated_at"],
         )
 
+    if versions.is_versioned(spark, source):
+        source = versions.version(spark, source).folder
     return score_stream(spark, source, sink, checkpoint, score, once=once)
 
 
 def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -> list[str]:
-    """Snapshot the monitored tables, whole or as a fixed-size sample; absent or empty ones are skipped."""
+    """Make baselines of the monitored tables, whole or as a fixed-size sample; absent or empty ones are skipped.
+
+    A whole baseline of a versioned table pins its newest version; the log, which grows by partitions, is copied.
+    """
     made = []
     for name in (FEATURE_TABLE, LOG):
         if not table_exists(spark, cfg.path(name)):
@@ -201,12 +210,24 @@ def build_baselines(spark: SparkSession, cfg: EngineConfig, full: bool = True) -
         df = read_log(spark, cfg.path(name)) if name == LOG else read_table(spark, cfg.path(name))
         if df.isEmpty():
             continue
+        made.append(name)
+        if full and versions.is_versioned(spark, cfg.path(name)):
+            baseline_version(spark, cfg.path(name), BASELINE)
+            continue
         rows = df if full else baseline_sample(df, "customer_id", cfg.baseline_rows)
         baseline_full(rows, cfg.path(f"{name}_baseline"))
-        made.append(name)
+        versions.unpin(spark, cfg.path(name), BASELINE)
     return made
 
 
+def feature_baseline(spark: SparkSession, cfg: EngineConfig) -> DataFrame | None:
+    """The baseline of the features made last: the pinned version, or the stored sample; None before there is one."""
+    if BASELINE in versions.pins(spark, cfg.path(FEATURE_TABLE)):
+        return versions.read_pinned(spark, cfg.path(FEATURE_TABLE), BASELINE)
+    path = cfg.path(f"{FEATURE_TABLE}_baseline")
+    return read_table(spark, path) if table_exists(spark, path) else None
+
+
 def _update_profile(
     df: DataFrame, path: str, ts: str, granularity: str, cols: Sequence[str], slices: Sequence[str] = ()
 ) -> None:
@@ -250,9 +271,8 @@ def monitor(
         "prediction_profile": profiles.prediction_profile(log),
         "consecutive_drift": profiles.drift_consecutive(stored[LOG]),
     }
-    baseline_path = cfg.path(f"{FEATURE_TABLE}_baseline")
-    if table_exists(spark, baseline_path):
-        baseline = read_table(spark, baseline_path)
+    baseline = feature_baseline(spark, cfg)
+    if baseline is not None:
         out["numeric_drift"] = drift.numeric_drift(feats, baseline, cfg.numeric_features)
         out["categorical_drift"] = drift.categorical_drift(feats, baseline, cfg.categorical_features)
     return out

@@ -7,10 +7,11 @@ from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actionspark.sources import versions
 from actionspark.sources.schemas import WAREHOUSE, SchemaMismatch, conform
 
 LOG_PARTITIONS = ("log_date", "model_version", "batch_id")
@@ -27,7 +28,9 @@ def _is_path(table: str) -> bool:
 
 
 def _scan(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(table) if _is_path(table) else spark.table(table)
+    if not _is_path(table):
+        return spark.table(table)
+    return versions.read_version(spark, table) if versions.is_versioned(spark, table) else spark.read.parquet(table)
 
 
 def read_table(spark: SparkSession, table: str, schema: T.StructType | None = None) -> DataFrame:
@@ -41,6 +44,8 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     """Whether a catalog table, or a directory that holds a readable Parquet table, is there."""
     if not _is_path(table):
         return spark.catalog.tableExists(table)
+    if versions.is_versioned(spark, table):
+        return True
     try:
         spark.read.parquet(table).schema
     except AnalysisException as e:
@@ -51,9 +56,18 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def overwrite_table(
-    df: DataFrame, table: str, partition_by: Iterable[str] = (), bucket_by: tuple[int, str] | None = None
+    df: DataFrame,
+    table: str,
+    partition_by: Iterable[str] = (),
+    bucket_by: tuple[int, str] | None = None,
+    keep: int | None = None,
 ) -> None:
-    """Replace rows and schema of a path or a catalog table. The input must not be read from it.
+    """Replace rows and schema of a path or a catalog table, which the input may be read from.
+
+    All files are written aside before anything of the old table is touched, so a write that fails leaves the old rows.
+    With ``keep`` a path becomes a versioned table (see ``versions``) that keeps so many versions, and one that is versioned
+    stays so; a reader then sees the old or the new rows at any moment. Without, the two folders, or the
+    two catalog names, are exchanged at the end.
 
     ``bucket_by`` (number, key) stores a catalog table hashed and sorted by its key; tables bucketed
     alike are then joined on it without a shuffle, such as recommendations with features every day.
@@ -62,17 +76,67 @@ def overwrite_table(
         raise ValueError("buckets are recorded in the catalog: give a table name, not a path")
     if bucket_by:
         df = df.repartition(*bucket_by)  # a task per bucket, or every task writes a file for each of them
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    partition_by = list(partition_by)
+    spark, partition_by = df.sparkSession, list(partition_by)
+    if _is_path(table) and (keep or versions.is_versioned(spark, table)):
+        versions.write_version(df, table, partition_by, keep or versions.KEEP)
+        return
+    writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if bucket_by:
         buckets, key = bucket_by
         writer = writer.bucketBy(buckets, key).sortBy(key)
     if _is_path(table):
-        writer.parquet(table)
+        _replace_folder(spark, writer, table.rstrip("/"))
     else:
-        writer.format("parquet").saveAsTable(table)
+        _replace_catalogued(spark, writer.format("parquet"), table)
+
+
+def _replace_folder(spark: SparkSession, writer: DataFrameWriter, path: str) -> None:
+    """Write next to ``path``, then exchange the two folders by renaming. If the process dies between the two renames, the old
+    rows are in the hidden folder ``.<name>.old`` and the next overwrite puts them back first."""
+    parent, _, name = path.rpartition("/")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    new, old, here = (hadoop.Path(p) for p in (f"{parent}/.{name}.{uuid.uuid4().hex}", f"{parent}/.{name}.old", path))
+    files = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(old):
+        if files.exists(here):
+            files.delete(old, True)
+        else:
+            files.rename(old, here)
+    try:
+        writer.parquet(new.toString())
+    except Exception:
+        files.delete(new, True)
+        raise
+    if files.exists(here) and not files.rename(here, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not files.rename(new, here):
+        files.rename(old, here)
+        raise OSError(f"{path} cannot be replaced")
+    files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def _replace_catalogued(spark: SparkSession, writer: DataFrameWriter, table: str) -> None:
+    """Write a table of another name, then exchange the names."""
+    new, old = (f"{table}__{kind}_{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        writer.saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    replaced = spark.catalog.tableExists(table)
+    if replaced:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if replaced:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if replaced:
+        spark.sql(f"DROP TABLE {old}")
 
 
 def append_log(
@@ -123,6 +187,12 @@ def baseline_full(df: DataFrame, table: str) -> DataFrame:
     return _scan(df.sparkSession, table)
 
 
+def baseline_version(spark: SparkSession, table: str, name: str = "baseline") -> DataFrame:
+    """The newest version of a versioned table, pinned as the baseline of later drift checks: no row is copied."""
+    versions.pin(spark, table, name)
+    return versions.read_pinned(spark, table, name)
+
+
 def baseline_sample(df: DataFrame, key: str, rows: int = 1000) -> DataFrame:
     """At most ``rows`` rows in the order of md5(key): a sample that does not change between runs.
 
