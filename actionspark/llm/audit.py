@@ -9,6 +9,7 @@ from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,9 +25,9 @@ MAX_UPPER_PERCENT = 2
 SYMBOLS = "#$%&*|"
 UPPER_BYTES = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-BLOCK_NONZEROS = 2_000_000
+BLOCK_NONZEROS = 4_000_000
 BLOCK_ROWS = 50_000
-BUCKET_WORDS = 200_000  # dictionary entries, blocks counted apart, of a bucket
+PART_WORDS = 200_000  # words, those of each block counted apart, that a task sorts
 
 FACTS = [
     T.StructField("chars", T.LongType()),
@@ -36,11 +37,19 @@ FACTS = [
 ]
 
 
+class Numbers(dict):
+    """Numbers of words in the order they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 class Block:
     """Rows of a sparse matrix over the words of the block itself."""
 
     def __init__(self):
-        self.words: dict[bytes, int] = {}
+        self.words = Numbers()
         self.indices: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.sizes: list[int] = []
@@ -49,9 +58,9 @@ class Block:
         self.nonzeros = 0
 
     def add(self, text: bytes) -> None:
-        words, number = text.split(), self.words
-        at = [number.setdefault(w, len(number)) for w in words]
-        indices, counts = np.unique(np.array(at, dtype="<u4"), return_counts=True)
+        words = text.split()
+        at = np.fromiter(map(self.words.__getitem__, words), dtype="<u4", count=len(words))
+        indices, counts = np.unique(at, return_counts=True)
         self.indices.append(indices)
         self.counts.append(counts.astype("<u4"))
         self.sizes.append(len(indices))
@@ -98,30 +107,45 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block.batch(number)
 
 
-def _globally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Local word numbers become global ones; row sums and numbers of nonzeros are taken from the rows."""
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted words get numbers within the partition; each is spelt out once, where it is first met."""
+    part, last, number = TaskContext.get().partitionId(), None, -1
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            indptr = np.frombuffer(row.column("indptr")[0].as_buffer(), "<i8")
-            local = np.frombuffer(row.column("indices")[0].as_buffer(), "<u4")
-            counts = np.frombuffer(row.column("counts")[0].as_buffer(), "<u4")
-            ids = row.column("ids")[0].values
-            ids = ids.to_numpy(zero_copy_only=False).astype("<u8") if ids is not None else np.empty(0, "<u8")
-            totals = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            sums, nonzeros = totals[indptr[1:]] - totals[indptr[:-1]], np.diff(indptr)
-            span = pa.array([0, len(sums)], pa.int32())
-            columns = [
-                row.column("block"),
-                row.column("rows"),
-                row.column("indptr"),
-                pa.array([ids[local].tobytes()], pa.binary()),
-                row.column("counts"),
-                pa.ListArray.from_arrays(span, pa.array(sums, pa.int64())),
-                pa.ListArray.from_arrays(span, pa.array(nonzeros, pa.int64())),
-            ]
-            names = ["block", "rows", "indptr", "indices", "counts", "sums", "nonzeros"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+        words, n = batch.column("word"), batch.num_rows
+        if not n:
+            continue
+        new = np.ones(n, dtype=bool)
+        new[0] = number < 0 or words[0].as_py() != last
+        new[1:] = pc.not_equal(words.slice(1), words.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        ranks = number + np.cumsum(new)
+        number, last = int(ranks[-1]), words[-1].as_py()
+        spelt = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
+        columns = [batch.column("block"), batch.column("local"), pa.array(np.full(n, part, "int32")), pa.array(ranks), spelt]
+        yield pa.RecordBatch.from_arrays(columns, names=["block", "local", "part", "rank", "word"])
+
+
+def _globally(block: pa.Table, coded: pa.Table) -> pa.Table:
+    """One shard: local word numbers become global ones; row sums and numbers of nonzeros are taken from the rows."""
+
+    def array(name: str, kind: str) -> np.ndarray:
+        return np.frombuffer(block.column(name)[0].as_buffer(), kind)
+
+    indptr, local, counts = array("indptr", "<i8"), array("indices", "<u4"), array("counts", "<u4")
+    ids = np.empty(coded.num_rows, "<u8")
+    ids[coded.column("local").to_numpy()] = coded.column("id").to_numpy()
+    totals = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+    sums, nonzeros = totals[indptr[1:]] - totals[indptr[:-1]], np.diff(indptr)
+    span = pa.array([0, len(sums)], pa.int32())
+    made = {
+        "block": block.column("block"),
+        "rows": block.column("rows"),
+        "indptr": block.column("indptr"),
+        "indices": pa.array([ids[local].tobytes()], pa.binary()),
+        "counts": block.column("counts"),
+        "sums": pa.ListArray.from_arrays(span, pa.array(sums, pa.int64())),
+        "nonzeros": pa.ListArray.from_arrays(span, pa.array(nonzeros, pa.int64())),
+    }
+    return pa.table(made)
 
 
 def term_matrix(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -133,8 +157,8 @@ def term_matrix(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFra
     dictionary has ``word`` and ``id``, from 0 without gaps.
 
     A task numbers the words of its own shard as it meets them. Then the shards' word lists, not the documents, are
-    shuffled: a word's rank within its hash bucket plus the bucket's base, from prefix sums, is its id, and every shard
-    gets the list of ids of its words. A word comes once a shard, however frequent it is.
+    shuffled and sorted by hash: a word's number within its part plus the part's base, from prefix sums, is its id, and
+    every shard meets the ids of its words. A word comes once a shard, however frequent it is.
 
     Edge cases: a NULL or empty text is a row without entries; a very long one is in a shard of its own; repeated rows
     are rows of their own; an empty table gives no shard and an empty dictionary.
@@ -145,30 +169,26 @@ def term_matrix(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFra
     body = F.coalesce(F.col(text), F.lit("")).alias("text")
     given = docs.select(body, *keep)
     rows = T.ArrayType(T.StructType([*(given.schema[c] for c in keep), *FACTS]))
-    binary = [T.StructField(c, T.BinaryType()) for c in ("indptr", "indices", "counts")]
-    head = [T.StructField("block", T.LongType()), T.StructField("rows", rows), *binary]
-    schema = T.StructType([*head, T.StructField("words", T.ArrayType(T.StringType()))])
+    kinds = {"block": T.LongType(), "rows": rows, **dict.fromkeys(("indptr", "indices", "counts"), T.BinaryType())}
+    schema = T.StructType([T.StructField(c, t) for c, t in (kinds | {"words": T.ArrayType(T.StringType())}).items()])
     path = scratch_path(spark, "blocks")
     given.mapInArrow(_blocks, schema).write.option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(schema).parquet(path)
 
     entries = blocks.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
-    listed = blocks.select("block", F.posexplode("words").alias("local", "word"))
-    bucket = F.pmod(F.xxhash64("word"), F.lit(max(1, math.ceil(entries / BUCKET_WORDS)))).cast("int")
-    ranked = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")) - 1
-    coded = listed.withColumn("bucket", bucket).withColumn("rank", ranked.cast("long"))
-    coded = stored(coded, "coded")
-    sizes = coded.groupBy("bucket").agg((F.max("rank") + 1).alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row a bucket
-    bases = stored(sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
-    coded = coded.join(if_small(bases), "bucket").withColumn("id", F.col("base") + F.col("rank"))
-
-    pairs = F.sort_array(F.collect_list(F.struct("local", "id")))
-    ids = coded.groupBy("block").agg(F.transform(pairs, lambda x: x.getField("id")).alias("ids"))
-    known = blocks.drop("words").join(ids, "block", "left")
+    parts = max(1, math.ceil(entries / PART_WORDS))
+    listed = blocks.select("block", F.posexplode("words").alias("local", "word")).withColumn("hash", F.xxhash64("word"))
+    sorted_words = listed.repartition(parts, "hash").sortWithinPartitions("hash", "word").drop("hash")
+    coded = stored(sorted_words.mapInArrow(_numbered, "block long, local int, part int, rank long, word string"), "coded")
+    sizes = coded.groupBy("part").agg((F.max("rank") + 1).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row a part
+    bases = stored(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    coded = coded.join(if_small(bases), "part").withColumn("id", F.col("base") + F.col("rank"))
+
     arrays = [T.StructField(c, T.ArrayType(T.LongType())) for c in ("sums", "nonzeros")]
-    matrix = known.mapInArrow(_globally, T.StructType([*head, *arrays]))
-    return matrix, coded.select("word", "id").distinct()
+    shards, ids = blocks.drop("words").groupBy("block"), coded.select("block", "local", "id").groupBy("block")
+    matrix = shards.cogroup(ids).applyInArrow(_globally, T.StructType([*blocks.drop("words").schema, *arrays]))
+    return matrix, coded.filter(F.col("word").isNotNull()).select("word", "id")
 
 
 def filter_flags(docs: DataFrame, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:

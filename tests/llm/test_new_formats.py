@@ -166,7 +166,8 @@ def test_flags(spark, monkeypatch, nonzeros):
 
 
 def test_matrix_holds_every_word(spark, monkeypatch):
-    monkeypatch.setattr(audit, "BUCKET_WORDS", 100)
+    monkeypatch.setattr(audit, "PART_WORDS", 100)
+    monkeypatch.setattr(audit, "BLOCK_NONZEROS", 900)
     rows = audit_rows()
     matrix, dictionary = audit.term_matrix(documents(spark, rows).select("doc_id", "text").repartition(4))
     spelt = {r.id: r.word for r in dictionary.collect()}
