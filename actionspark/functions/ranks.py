@@ -64,6 +64,7 @@ def cumulative_counts(
 ) -> DataFrame:
     """Adds cum_<c> (rows with value <= this one) and total_<c> for every count column."""
     keys = list(keys)
+    counted = materialize(counted, "value_counts")  # read for the bins, for the markers and for the rows
     binned = sliced(counted, keys, value)
     per_bin = binned.groupBy(*keys, "_bin", "_slice").agg(*[F.sum(c).alias(c) for c in counts])
     group = Window.partitionBy(*keys)

@@ -104,10 +104,10 @@ def numeric_drift(
         return F.when(F.abs(known(c)) < F.lit(float("inf")), known(c))
 
     range_of = [F.struct(F.min(finite(c)).alias("lo"), F.max(finite(c)).alias("hi")).alias(c) for c in cols]
-    ends = baseline.agg(F.struct(*range_of)).scalar()
+    ends = baseline.agg(*range_of).first()  # one row; as literals, since a subquery would stand in every bin of every column
 
     def bin_of(c: str) -> Column:
-        lo, hi, value = ends[c]["lo"], ends[c]["hi"], F.col(c)
+        lo, hi, value = F.lit(ends[c]["lo"]).cast("double"), F.lit(ends[c]["hi"]).cast("double"), F.col(c)
         inner = F.floor((value - lo) / F.nullif((hi - lo) / bins, F.lit(0.0)))
         inside = 1 + F.least(F.coalesce(inner, F.lit(0)), F.lit(bins - 1))
         return F.when(value.isNotNull(), F.when(value < lo, 0).when(value > hi, bins + 1).otherwise(inside)).cast("int")

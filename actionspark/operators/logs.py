@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from actionspark.config import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TRAILING_DAYS
 from actionspark.functions.numeric import as_column, percent
 from actionspark.functions.rules import action_name, shallow_tree_label
+from actionspark.operators.counts import distinct_of_bitmaps
 from actionspark.operators.features import stamp
 from actionspark.operators.keys import distinct_with_null
 
@@ -52,14 +53,18 @@ def inference_log(
     return stamp(recs.join(slim, list(keys), "left"), run_ts, log_date, version)
 
 
-def mean_drift(log: DataFrame, cols: Sequence[str], date_col: str = "log_date") -> DataFrame:
+def mean_drift(log: DataFrame, cols: Sequence[str], date_col: str = "log_date", dates=None) -> DataFrame:
     """(feature, baseline_mean, current_mean, delta): means on the earliest and on the latest date.
 
-    The two dates are scalar subqueries over the date column, so on a log partitioned by date only
-    those two days are read. A mean without values counts as 0; an empty log gives no rows.
+    Without ``dates`` the two dates are scalar subqueries over the date column, so on a log partitioned by date only
+    those two days are read, but every file is opened for its dates. ``dates``, first and last, come from the list of
+    partitions (``ledger.extent_of_dates``) and spare that. A mean without values counts as 0; an empty log gives no rows.
     """
     day = F.col(date_col)
-    first, last = log.agg(F.min(date_col)).scalar(), log.agg(F.max(date_col)).scalar()
+    if dates:
+        first, last = map(F.lit, dates)
+    else:
+        first, last = log.agg(F.min(date_col)).scalar(), log.agg(F.max(date_col)).scalar()
     ends = log.filter((day == first) | (day == last)).select(
         (day == first).alias("_first"), (day == last).alias("_last"), *cols
     )
@@ -85,17 +90,22 @@ def _recent(as_of, days: int) -> Column:
     return F.col("log_date") >= F.date_sub(as_column(as_of).cast("date"), days)
 
 
-def performance_report(log: DataFrame, as_of, days: int = TRAILING_DAYS) -> DataFrame:
+def performance_report(
+    log: DataFrame, as_of, days: int = TRAILING_DAYS, customers: DataFrame | None = None
+) -> DataFrame:
     """(section, key, value): totals, distinct customers, trailing count, actions and versions.
 
+    ``customers``, the stored key bitmaps of the log's days, gives the distinct customers without a shuffle of their keys.
     Two aggregates that read disjoint columns of the log: the key for the totals, the two dimensions for
     the distributions.
     """
     totals = log.agg(
         F.count("*").alias("total_predictions"),
-        distinct_with_null("customer_id").alias("unique_customers"),
+        *([distinct_with_null("customer_id").alias("unique_customers")] if customers is None else []),
         F.count_if(_recent(as_of, days)).alias("recent_predictions"),
     )
+    if customers is not None:
+        totals = totals.withColumn("unique_customers", distinct_of_bitmaps(customers).scalar())
     names = ["total_predictions", "unique_customers", "recent_predictions"]
     head = totals.unpivot([], names, "key", "value").select(
         F.lit("totals").alias("section"), "key", "value"

@@ -204,3 +204,100 @@ def refresh_profile(
     missing = F.col("window_start").isNull()
     kept = F.when(missing, F.lit(None not in stale)).otherwise(kept)
     return mine.filter(kept).select(*fresh.columns).unionByName(fresh)
+
+
+SKETCH_K = 1000
+SKETCHED = ("n", "mean", "m2", "min", "max", "quantiles", "distinct")
+
+
+def day_sketches(df: DataFrame, ts: str, cols: Sequence[str], slices: Sequence[str] = ()) -> DataFrame:
+    """What a profile of any coarser window can be merged from: per day, slice and column the rows, the known values, their
+    mean, sum of squared deviations and extremes, and two sketches as binary columns.
+
+    ``quantiles`` is a KLL sketch (a rank is off by less than a hundredth), ``distinct`` an HLL one. A sketch has a fixed size, so
+    the stored table grows with days, slices and columns only. NaN is not a value of a sketch.
+    """
+    cut = df.select(
+        window_start(ts, "day").alias("window_start"),
+        F.inline(_slices(slices)),
+        *[F.col(c).cast("double").alias(c) for c in cols],
+    )
+
+    def sketch(c: str) -> Column:
+        number = F.nanvl(F.col(c), F.lit(None).cast("double"))
+        return F.struct(
+            F.count(c).alias("n"),
+            F.avg(c).alias("mean"),
+            (F.var_pop(c) * F.count(c)).alias("m2"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            F.kll_sketch_agg_double(number, F.lit(SKETCH_K)).alias("quantiles"),
+            F.hll_sketch_agg(F.col(c).cast("string")).alias("distinct"),
+        ).alias(c)
+
+    keys = ["window_start", *SLICE]
+    wide = cut.groupBy(*keys).agg(F.count("*").alias("n_rows"), *[sketch(c) for c in cols])
+    return wide.unpivot([*keys, "n_rows"], list(cols), "column_name", "m").select(*keys, "column_name", "n_rows", "m.*")
+
+
+def merged_sketches(days: DataFrame, granularity: str | None = None) -> DataFrame:
+    """``day_sketches`` of several days as one row per window (all time without ``granularity``), slice and column, sketches
+    included, so that what was merged can be merged again."""
+    start = F.date_trunc(granularity, F.col("window_start")).cast("date") if granularity else F.lit(None).cast("date")
+    by = [start.alias("window_start"), *SLICE, "column_name"]
+    total, sum_of = F.sum("n"), F.sum(F.col("n") * F.col("mean"))
+    mean = safe_ratio(sum_of, total)
+    within = F.sum("m2") + F.sum(F.col("n") * F.col("mean") * F.col("mean")) - sum_of * mean
+    return days.groupBy(*by).agg(
+        F.sum("n_rows").alias("n_rows"),
+        total.alias("n"),
+        F.when(total > 0, mean).alias("mean"),
+        F.greatest(within, F.lit(0.0)).alias("m2"),
+        F.min("min").alias("min"),
+        F.max("max").alias("max"),
+        F.kll_merge_agg_double("quantiles").alias("quantiles"),
+        F.hll_union_agg("distinct").alias("distinct"),
+    )
+
+
+def sketch_profile(merged: DataFrame, granularity: str) -> DataFrame:
+    """The columns of ``profile`` from merged sketches, without the rows: no second scan of the source."""
+    probs = F.array(*[F.lit(float(p)) for p in QUARTILES.values()])
+    known = F.col("n") > 0
+    quartiles = F.when(known, F.kll_sketch_get_quantile_double("quantiles", probs))
+    shaped = merged.withColumn("_q", quartiles)
+    return shaped.select(
+        F.lit(granularity).alias("granularity"),
+        "window_start",
+        *SLICE,
+        "column_name",
+        "n_rows",
+        (F.col("n_rows") - F.col("n")).alias("n_null"),
+        F.hll_sketch_estimate("distinct").alias("n_distinct"),
+        "mean",
+        F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))).alias("stddev"),
+        "min",
+        *[F.get("_q", F.lit(i)).alias(q) for i, q in enumerate(QUARTILES)],
+        "max",
+    )
+
+
+def ks_of_sketches(current: DataFrame, baseline: DataFrame, points: int = 400) -> DataFrame:
+    """(slice, column_name, n_baseline, n_current, ks) of two merged sketch tables with one window each: the largest gap
+    between the distribution functions that ``points`` quantiles of either sketch draw, at any of those quantiles."""
+    probs = F.array(*[F.lit((i + 0.5) / points) for i in range(points)])
+    on = [*SLICE, "column_name"]
+    sides = [
+        side.filter("n > 0").select(
+            *on, F.col("n").alias(f"n_{name}"), F.col("quantiles").alias(name),
+            F.kll_sketch_get_quantile_double("quantiles", probs).alias(f"at_{name}"),
+        )
+        for name, side in (("baseline", baseline), ("current", current))
+    ]
+    both = sides[0].join(sides[1], on).withColumn("at", F.concat("at_baseline", "at_current"))
+
+    def below(side: str, x: Column) -> Column:
+        return F.size(F.filter(side, lambda v: v <= x)) / points
+
+    gaps = F.transform("at", lambda x: F.abs(below("at_baseline", x) - below("at_current", x)))
+    return both.select(*on, "n_baseline", "n_current", F.array_max(gaps).alias("ks"))

@@ -91,3 +91,65 @@ def exact_split(df: DataFrame, key: str, label: str, test: float = 0.25, seed: i
         .withColumn("split", F.when(below, "test").otherwise("train"))
         .drop("_hash", "_label", "_cut_hash", "_cut_key")
     )
+
+
+RANGES = 64
+
+
+def features_as_of(
+    rows: DataFrame,
+    history: DataFrame,
+    key: str,
+    at: str,
+    since: str,
+    columns: Sequence[str],
+    ranges: int = RANGES,
+) -> DataFrame:
+    """``rows`` with ``columns`` of the history row that held at ``at``: of the same key, the newest with ``since`` <= ``at``.
+
+    Asked are distinct (key, time) pairs, offered one history row per (key, time), so copies of either cost a partial
+    aggregate. Time is cut into ``ranges`` of about equally many of them, and the newest row before is found in two levels:
+    within a key's range, and for its start from the last row of each of its earlier ranges. So a task
+    sorts one range of one key, however many rows a key has. Nothing is joined by inequality.
+
+    Edge cases: a NULL key or time finds nothing; a row older than the key's history finds nothing; a history row at the very
+    time counts; of several at one time the largest in the order of ``columns`` does. Rows are kept, also repeated ones;
+    an empty history gives NULLs.
+    """
+    moment = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    asked = rows.select(F.col(key).alias("k"), moment(at).alias("t")).dropna().distinct()
+    offered = (
+        history.select(F.col(key).alias("k"), moment(since).alias("t"), F.struct(*columns).alias("row"))
+        .dropna(subset=["k", "t"])
+        .groupBy("k", "t")
+        .agg(F.max("row").alias("row"))
+    )
+    asked, offered = materialize(asked, "asked"), materialize(offered, "offered")
+    places = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    both = asked.select("t").unionAll(offered.select("t"))
+    bounds = both.agg(F.percentile_approx("t", places, F.lit(10 * ranges))).first()[0] or []
+    bounds = F.array(*[F.lit(b).cast("long") for b in sorted(set(bounds))]).cast("array<long>")
+    in_range = F.size(F.filter(bounds, lambda b: b < F.col("t"))).alias("r")
+    asked, offered = asked.select("k", "t", in_range), offered.select("k", "t", "row", in_range)
+
+    last = offered.groupBy("k", "r").agg(F.max_by("row", "t").alias("row"))
+    wanted = asked.select("k", "r").distinct().withColumn("row", F.lit(None).cast(offered.schema["row"].dataType))
+    per_range = last.unionByName(wanted).groupBy("k", "r").agg(
+        F.max("row").alias("row"), F.max(F.col("row").isNull()).alias("asked")
+    )
+    earlier = Window.partitionBy("k").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)  # at most a row a range
+    carried = per_range.select("k", "r", F.last("row", ignorenulls=True).over(earlier).alias("row"), "asked")
+    carried = carried.filter("asked").select("k", "r", F.lit(None).cast("long").alias("t"), "row", F.lit(0).alias("kind"))
+
+    placed = offered.select("k", "r", "t", "row", F.lit(1).alias("kind"))
+    asked = asked.select("k", "r", "t", F.lit(None).cast(offered.schema["row"].dataType).alias("row"), F.lit(2).alias("kind"))
+    inside = (
+        Window.partitionBy("k", "r")
+        .orderBy(F.col("t").asc_nulls_first(), "kind")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = carried.unionByName(placed).unionByName(asked).withColumn("row", F.last("row", ignorenulls=True).over(inside))
+    found = found.filter("kind = 2").select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.col("row").alias("_found"))
+    same = (F.col(key) == F.col("_k")) & (moment(at) == F.col("_t"))
+    kept = [c for c in rows.columns if c not in columns]
+    return rows.join(found, same, "left").select(*kept, *[F.col(f"_found.{c}").alias(c) for c in columns])

@@ -20,12 +20,15 @@ from actionspark.operators import logs as log_ops
 from actionspark.operators import training
 from actionspark.operators.features import features, labels, on_date, present, stamp, trailing
 from actionspark.plans.forest import fit_forest, forest_scores, predict
+from actionspark.plans.jobs import refresh_from_files
+from actionspark.sources import ledger, versions
 from actionspark.sources.customer360 import customer_snapshots, load_warehouse, raw_customers
 from actionspark.sources.schemas import INFERENCE_LOG
 from actionspark.sources.tables import (
     append_log,
     baseline_full,
     baseline_sample,
+    baseline_version,
     materialize,
     overwrite_table,
     read_log,
@@ -33,6 +36,8 @@ from actionspark.sources.tables import (
     scratch_path,
     warehouse_table,
 )
+from actionspark.sources.upsert import read_keyed, upsert
+from actionspark.streaming.logging import follow_counts, followed, log_batch, score_into_log
 from actionspark.streaming.scoring import score_stream
 
 SNAPSHOTS = 4
@@ -205,6 +210,25 @@ def dedupe_features(spark, d):
     return keys.dedupe_latest(feats, ["customer_id"], ["updated_at"])
 
 
+@query("features_upserted")
+def features_upserted(spark, d):
+    """Features by key: the oldest snapshot, then a newer one for a part of the customers, then rows that come late, twice and
+    without a key, and the newest snapshot for another part."""
+    feats = _snapshot_features(spark, d, stored=True).drop("best_action")
+    table, key, order = scratch_path(spark, "features_by_key"), ["customer_id"], ["updated_at"]
+
+    def part(snapshot, which):
+        return feats.filter((F.col("snapshot") == snapshot) & which).drop("snapshot")
+
+    everyone, few = F.lit(True), F.col("customer_id") % 40 == 0
+    upsert(part(3, everyone), table, key, order, 32)
+    upsert(part(1, F.col("customer_id") % 3 == 0), table, key, order, 32)
+    late = part(2, everyone)
+    upsert(late.unionByName(late).unionByName(late.withColumn("customer_id", F.lit(None).cast("long"))), table, key, order, 32)
+    upsert(part(0, few), table, key, order, 32)
+    return read_keyed(spark, table)
+
+
 @query("null_rates")
 def null_rates(spark, d):
     return rounded(keys.null_rates(_log(spark, d), NUMERIC_FEATURES))
@@ -353,6 +377,26 @@ def training_set_lookup(spark, d):
     return training.training_set(coded, feats, FEATURE_COLUMNS, "left")
 
 
+def _order_days(spark, d):
+    """What each customer ordered each day: number, highest price in cents."""
+    orders = warehouse_table(spark, d, "orders")
+    return orders.groupBy(F.col("o_custkey").alias("buyer"), F.to_date("o_orderdate").alias("order_day")).agg(
+        F.count("*").alias("n_orders"), F.max(F.round(F.col("o_totalprice") * 100).cast("long")).alias("top_cents")
+    )
+
+
+@query("training_set_as_of")
+def training_set_as_of(spark, d):
+    """Labels of four snapshots, each with its customer's last order day up to the snapshot."""
+    feats = _snapshot_features(spark, d, stored=True)
+    rows = feats.select("customer_id", "snapshot", "updated_at", action_label().alias("action_label"))
+    history = _order_days(spark, d).withColumnRenamed("buyer", "customer_id")
+    found = training.features_as_of(
+        rows, history, "customer_id", "updated_at", "order_day", ["order_day", "n_orders", "top_cents"]
+    )
+    return found.drop("updated_at")
+
+
 @query("hash_split")
 def hash_split(spark, d):
     return training.hash_split(labels(_raw(spark, d)), "customer_id")
@@ -557,6 +601,49 @@ def stream_scores(spark, d):
     return _streamed(spark, feats, lambda rows: _forest_scores(model, rows, known))
 
 
+@query("stream_into_log")
+def stream_into_log(spark, d):
+    """Four files of requests, one a micro-batch, the newest snapshot last; the third repeats half of the second. The champion
+    changes after the second micro-batch; then that one is run again."""
+    feats = _snapshot_features(spark, d, stored=True).drop("best_action")
+    source, log, state = (scratch_path(spark, n) for n in ("requests", "log", "state"))
+    parts = [feats.filter(F.col("snapshot") == k).drop("snapshot") for k in reversed(range(SNAPSHOTS))]
+    again = parts[2].unionByName(parts[1].filter("customer_id % 2 = 0"))
+    files = [part.coalesce(1) for part in (parts[0], parts[1], again, parts[3])]
+    asked = []
+
+    def champion():
+        asked.append(1)
+        return "v1" if len(asked) <= 2 else "v2"
+
+    def scorer_of(version):
+        return lambda rows: log_ops.rule_scores(rows, F.col("updated_at"), version)
+
+    for part in files:
+        part.write.mode("append").parquet(source)
+        score_into_log(spark, source, log, state, champion, scorer_of, delay="400 days").awaitTermination()
+    log_batch(parts[1], _batch_numbers(spark, log)[1], log, f"{state}/decisions", champion, scorer_of)
+    return read_log(spark, log, INFERENCE_LOG).drop("inference_timestamp", "batch_id")
+
+
+def _batch_numbers(spark, log):
+    """The numbers of the micro-batches in a log, oldest first."""
+    names = spark.read.parquet(log).select("batch_id").distinct().collect()
+    return sorted(int(r[0].removeprefix("stream-")) for r in names)
+
+
+@query("stream_profile")
+def stream_profile(spark, d):
+    """Events that arrive in files out of order, days mixed, followed day by day."""
+    events = warehouse_table(spark, d, "events")
+    source, table, state = (scratch_path(spark, n) for n in ("events", "day_profile", "state"))
+    for k in range(3):
+        events.filter(F.col("event_id") % 3 == k).coalesce(1).write.mode("append").parquet(source)
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    follow_counts(arriving, "ts", "value", table, state, "400 days").awaitTermination()
+    return rounded(followed(spark, table))
+
+
 # ---- log, profiles, drift, reports --------------------------------------------------------------
 
 
@@ -606,6 +693,36 @@ def feature_sample(spark, d):
     return baseline_sample(_features(spark, d), "customer_id", 1000)
 
 
+@query("failed_overwrite")
+def failed_overwrite(spark, d):
+    """A table of last snapshot's features, read after two overwrites that failed when most of their rows were written."""
+    path = scratch_path(spark, "features")
+    feats = _snapshot_features(spark, d, stored=True).drop("best_action")
+    overwrite_table(feats.filter(F.col("snapshot") == 1).drop("snapshot"), path, keep=2)
+    last = feats.agg(F.max("customer_id")).first()[0]
+    broken = F.when(F.col("customer_id") == last, F.raise_error(F.lit("write lost"))).otherwise(F.col("customer_id"))
+    for _ in range(2):
+        try:
+            overwrite_table(feats.filter(F.col("snapshot") == 0).withColumn("customer_id", broken).drop("snapshot"), path)
+        except Exception as e:
+            if "write lost" not in str(e):
+                raise
+    return read_table(spark, path)
+
+
+@query("pinned_baseline")
+def pinned_baseline(spark, d):
+    """Drift of the newest features against the version pinned two overwrites ago, of a table that keeps one version."""
+    path = scratch_path(spark, "features")
+    feats = _snapshot_features(spark, d, stored=True).drop("best_action")
+    for k in (SNAPSHOTS - 1, 1, 0):
+        overwrite_table(feats.filter(F.col("snapshot") == k).drop("snapshot"), path, keep=1)
+        if k == SNAPSHOTS - 1:
+            baseline_version(spark, path)
+    baseline = versions.read_pinned(spark, path, "baseline")
+    return rounded(drift.categorical_drift(read_table(spark, path), baseline, CATEGORICAL_FEATURES))
+
+
 @query("action_distribution")
 def action_distribution(spark, d):
     return counts.action_distribution(_log(spark, d))
@@ -656,6 +773,61 @@ def event_profile_refreshed(spark, d):
     return rounded(fresh.drop("content"))
 
 
+def _dated_events(spark, d):
+    return warehouse_table(spark, d, "events").withColumn("event_date", F.to_date("ts"))
+
+
+@query("event_profile_from_files")
+def event_profile_from_files(spark, d):
+    """Profiled from a log by date without its newest fortnight; then the oldest day is dropped, rows come late for some
+    days, the fortnight arrives, and the profile is brought up to date from the files that changed."""
+    events = materialize(_dated_events(spark, d), "events")
+    log, path = scratch_path(spark, "event_log"), scratch_path(spark, "event_profile")
+    first, last = events.agg(F.min("event_date"), F.max("event_date")).first()
+    new = F.col("event_date") > F.date_sub(F.lit(last), 14)
+    late = (F.col("event_id") % 7 == 0) & (F.col("event_date") > F.date_sub(F.lit(last), 17))
+    parts = ["event_date", "batch_id"]
+    refresh = (spark, log, path, "week", ["value"], ["event_type"], events.schema, "event_date", True)
+    append_log(events.filter(~new & ~late), log, parts, batch_id="0")
+    refresh_from_files(*refresh)
+    append_log(events.filter(new | late), log, parts, batch_id="1")
+    ledger.drop_partitions(spark, log, [first], "event_date")
+    return rounded(refresh_from_files(*refresh).drop("content"))
+
+
+@query("event_profile_from_sketches")
+def event_profile_from_sketches(spark, d):
+    """Weeks merged from the stored sketches of their days, and whether their quartiles hold their ranks among all rows."""
+    events = warehouse_table(spark, d, "events")
+    days = materialize(profiles.day_sketches(events, "ts", ["value"], ["event_type"]), "day_sketches")
+    weeks = materialize(profiles.sketch_profile(profiles.merged_sketches(days, "week"), "week"), "weeks")
+    by_type = F.struct(F.lit("event_type").alias("slice_key"), F.coalesce("event_type", F.lit("unknown")).alias("slice_value"))
+    whole = F.struct(F.lit("all").alias("slice_key"), F.lit("all").alias("slice_value"))
+    values = events.select(
+        profiles.window_start("ts", "week").alias("window_start"), "value", F.inline(F.array(whole, by_type))
+    )
+    keys_ = ["window_start", "slice_key", "slice_value"]
+    checked = summary.quartile_check(values, keys_, weeks, 10 * SKETCH_ERROR)
+    figures = weeks.select(*keys_, "n_rows", "n_null", "mean", "stddev", "min", "max")
+    return rounded(figures.join(checked, keys_))
+
+
+@query("ks_from_sketches")
+def ks_from_sketches(spark, d):
+    """Newest week of events against all before it, per type, from stored sketches: the rows of both sides, and whether the
+    distance is within two hundredths of the exact one."""
+    events = warehouse_table(spark, d, "events")
+    days = materialize(profiles.day_sketches(events, "ts", ["value"], ["event_type"]), "day_sketches")
+    cut = F.date_sub(days.agg(F.max("window_start")).scalar(), 6)
+    sides = [profiles.merged_sketches(days.filter(c)) for c in (F.col("window_start") >= cut, F.col("window_start") < cut)]
+    found = profiles.ks_of_sketches(*sides).filter("slice_key = 'all'")
+    day, newest = F.to_date("ts"), F.date_sub(events.agg(F.to_date(F.max("ts"))).scalar(), 6)
+    exact = drift.ks_exact(events.filter(day >= newest), events.filter(day < newest), ["value"])
+    near = F.abs(F.col("ks") - F.col("exact")) <= 2 * 10 * SKETCH_ERROR
+    exact = exact.select(F.col("feature").alias("column_name"), F.col("ks").alias("exact"))
+    return found.join(exact, "column_name").select("column_name", "n_baseline", "n_current", near.alias("near_exact"))
+
+
 @query("inference_profile")
 def inference_profile(spark, d):
     return rounded(profiles.prediction_profile(_log(spark, d)))
@@ -706,6 +878,37 @@ def performance_report(spark, d):
     return log_ops.performance_report(log, log.agg(F.max("log_date")).scalar())
 
 
+def _stored_log(spark, d):
+    """The log as a table by date, and the path of it."""
+    path, log = scratch_path(spark, "log"), _log(spark, d)
+    append_log(log, path, batch_id="0")
+    return read_log(spark, path, INFERENCE_LOG), path
+
+
+@query("performance_report_from_bitmaps")
+def performance_report_from_bitmaps(spark, d):
+    """The report with distinct customers from bitmaps stored by day; one day's are written again."""
+    log, path = _stored_log(spark, d)
+    dates, stored = ledger.extent_of_dates(spark, path), scratch_path(spark, "customer_bitmaps")
+    append_log(counts.key_bitmaps(log, "customer_id", ["log_date"]), stored, ["log_date"])
+    again = log.filter(F.col("log_date") == F.lit(dates[1]))
+    append_log(counts.key_bitmaps(again, "customer_id", ["log_date"]), stored, ["log_date"])
+    return log_ops.performance_report(log, dates[1], customers=spark.read.parquet(stored))
+
+
+@query("mean_drift_from_partitions")
+def mean_drift_from_partitions(spark, d):
+    """Drift between the first and the last date of the stored log, which are taken from its list of partitions."""
+    log, path = _stored_log(spark, d)
+    return rounded(log_ops.mean_drift(log, NUMERIC_FEATURES, dates=ledger.extent_of_dates(spark, path)))
+
+
+@query("health_summary_from_partitions")
+def health_summary_from_partitions(spark, d):
+    log, path = _stored_log(spark, d)
+    return rounded(log_ops.health_summary(log, ledger.extent_of_dates(spark, path)[1]))
+
+
 @query("health_summary")
 def health_summary(spark, d):
     log = _log(spark, d)

@@ -22,7 +22,7 @@ from actionspark.operators.features import features, labels
 from actionspark.operators.logs import health_summary, inference_log, mean_drift, performance_report
 from actionspark.operators.readiness import monitor_status, readiness
 from actionspark.plans.forest import fit_forest, forest_scores, predict
-from actionspark.sources import versions
+from actionspark.sources import ledger, versions
 from actionspark.sources.schemas import (
     FEATURES,
     INFERENCE_LOG,
@@ -228,19 +228,63 @@ def feature_baseline(spark: SparkSession, cfg: EngineConfig) -> DataFrame | None
     return read_table(spark, path) if table_exists(spark, path) else None
 
 
+def refresh_from_files(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    granularity: str,
+    cols: Sequence[str],
+    slices: Sequence[str] = (),
+    schema: StructType | None = None,
+    date_col: str = "log_date",
+    exact: bool = False,
+) -> DataFrame:
+    """Bring the profile at ``path`` up to date with a table that is partitioned by date; returns the stored profile.
+
+    The files a profile was made of are stored with it. Only windows of dates whose files changed since are counted
+    again, and only their partitions are read; windows without any partition left go. Windows are those of the partition
+    date. The rows are committed before the files, so a refresh that is cut short is repeated, not lost.
+    """
+    now = ledger.files_of(spark, table, date_col)
+    files = f"{path}_files_{granularity}"
+    window = profiles.window_start("part", granularity)
+    there_is = table_exists(spark, path)
+    known = there_is and table_exists(spark, files)
+    changed = ledger.changed_dates(read_table(spark, files), now) if known else now.select("part").distinct()
+    stale = [r[0] for r in changed.select(window.alias("w")).distinct().collect()]  # one date a window
+    there = now.select("part", window.alias("w")).distinct()
+    dates = [r["part"] for r in there.filter(ledger.on_dates("w", stale)).collect()]
+    log = read_log(spark, table, schema).filter(ledger.on_dates(date_col, dates))
+    fresh = profiles.profile(log, date_col, granularity, cols, slices, exact)
+    if there_is:
+        stored = read_table(spark, path)
+        others = F.col("granularity") != granularity
+        if known:
+            others = others | ~F.coalesce(ledger.on_dates("window_start", stale), F.lit(False))
+        fresh = stored.filter(others).select(*fresh.columns).unionByName(fresh)
+    overwrite_table(fresh, path, keep=versions.KEEP)
+    overwrite_table(now, files, keep=1)
+    return read_table(spark, path)
+
+
 def _update_profile(
     df: DataFrame, path: str, ts: str, granularity: str, cols: Sequence[str], slices: Sequence[str] = ()
 ) -> None:
     """Profile the windows whose rows changed since they were profiled, however old, and replace just those, so history
-    stays. A log never loses all rows of a window; one that did would keep its last profile."""
+    stays; windows that lost all their rows go."""
     spark = df.sparkSession
     if table_exists(spark, path):
         stored = read_table(spark, path)
         if "content" in stored.columns:
             stale = profiles.stale_windows(stored, df, ts, granularity, cols, slices)
+            known = stored.filter(
+                (F.col("granularity") != granularity) | ~F.coalesce(ledger.on_dates("window_start", stale), F.lit(False))
+            )
             df = df.filter(profiles.in_windows(ts, granularity, stale))
-    fresh = profiles.profile(df, ts, granularity, cols, slices)
-    append_log(fresh, path, partition_by=["granularity", "window_start"])
+            fresh = profiles.profile(df, ts, granularity, cols, slices)
+            overwrite_table(known.select(*fresh.columns).unionByName(fresh), path, keep=versions.KEEP)
+            return
+    overwrite_table(profiles.profile(df, ts, granularity, cols, slices), path, keep=versions.KEEP)
 
 
 def monitor(
@@ -255,8 +299,8 @@ def monitor(
     paths = {name: cfg.path(f"{name}_profile") for name in (FEATURE_TABLE, LOG)}
     for granularity in profiles.GRANULARITIES:
         _update_profile(feats, paths[FEATURE_TABLE], "updated_at", granularity, cfg.numeric_features)
-    _update_profile(
-        log, paths[LOG], "inference_timestamp", "day", cfg.numeric_features, ["model_version"]
+    refresh_from_files(
+        spark, cfg.path(LOG), paths[LOG], "day", cfg.numeric_features, ["model_version"], log_schema
     )
     stored = {name: read_table(spark, path) for name, path in paths.items()}
 

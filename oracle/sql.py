@@ -498,6 +498,7 @@ add(
     "SELECT customer_id, age_bucket, best_action, CAST(action_label AS INTEGER) AS action_label FROM feats",
 )
 add("baseline_snapshot", snaps(1), f"SELECT {FEATURE_LIST}, updated_at FROM feats")
+add("failed_overwrite", snaps(2), f"SELECT {FEATURE_LIST}, updated_at FROM feats WHERE snapshot = 1")
 add(
     "baseline_sample",
     snaps(1),
@@ -687,3 +688,60 @@ UNION ALL SELECT 'inference_log', true, count(DISTINCT log_date), max(log_date),
   (SELECT count(*) FROM (SELECT DISTINCT log_date, recommended_action FROM log))
   + (SELECT count(*) FROM (SELECT DISTINCT log_date, model_version, recommended_action FROM log)) FROM log""",
 )
+# ---- the same figures by another way: stored files, sketches, bitmaps, partitions
+
+add(
+    "event_profile_from_files",
+    "kept AS (SELECT * FROM events WHERE CAST(ts AS DATE) > (SELECT min(CAST(ts AS DATE)) FROM events))",
+    profile_body("kept", "ts", "week", ["value"], "event_type"),
+)
+_SKETCHED_WEEK = _WEEK.replace("round(min(value)", "round(stddev_samp(value), 6) AS stddev, round(min(value)")
+add(
+    "event_profile_from_sketches",
+    "",
+    f"""SELECT CAST(date_trunc('week', ts) AS DATE) AS window_start, 'all' AS slice_key, 'all' AS slice_value, {_SKETCHED_WEEK} 1
+UNION ALL SELECT CAST(date_trunc('week', ts) AS DATE), 'event_type', coalesce(event_type, 'unknown'), {_SKETCHED_WEEK} 1, 3""",
+)
+add(
+    "ks_from_sketches",
+    "cut AS (SELECT max(CAST(ts AS DATE)) - 6 AS day FROM events)",
+    """SELECT 'value' AS column_name, count(*) FILTER (CAST(ts AS DATE) < day) AS n_baseline,
+  count(*) FILTER (CAST(ts AS DATE) >= day) AS n_current, true AS near_exact FROM events, cut WHERE value IS NOT NULL""",
+)
+add(
+    "training_set_as_of",
+    snaps(4)
+    + """,
+hist AS (
+  SELECT o_custkey, CAST(o_orderdate AS DATE) AS order_day, count(*) AS n_orders,
+         max(CAST(round(o_totalprice * 100) AS BIGINT)) AS top_cents
+  FROM orders GROUP BY ALL)""",
+    """SELECT customer_id, snapshot, CAST(action_label AS INTEGER) AS action_label, order_day, n_orders, top_cents
+FROM feats ASOF LEFT JOIN hist ON customer_id = o_custkey AND updated_at >= order_day""",
+)
+add(
+    "features_upserted",
+    snaps(4),
+    f"""SELECT {FEATURE_LIST}, updated_at FROM feats
+WHERE snapshot IN (1, 2) AND (snapshot = 1) = (customer_id % 3 = 0) AND customer_id % 40 <> 0
+   OR snapshot = 0 AND customer_id % 40 = 0""",
+)
+add(
+    "stream_into_log",
+    LOG.replace("'v' || (snapshot % 2 + 1)", "CASE WHEN snapshot >= 2 THEN 'v1' ELSE 'v2' END").replace(f"WHERE {ACTIVE}", ""),
+    "SELECT * EXCLUDE (inference_timestamp) FROM log",
+)
+add(
+    "stream_profile",
+    "",
+    """SELECT CAST(ts AS DATE) AS window_start, count(*) AS n_rows, count(value) AS n,
+  CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, round(min(value), 6) AS min, round(max(value), 6) AS max
+FROM events GROUP BY 1""",
+)
+for _name, _of in (
+    ("pinned_baseline", "drift_categorical"),
+    ("performance_report_from_bitmaps", "performance_report"),
+    ("mean_drift_from_partitions", "mean_drift"),
+    ("health_summary_from_partitions", "health_summary"),
+):
+    ORACLE[_name] = ORACLE[_of]
