@@ -24,12 +24,16 @@ OUTPUTS = ("host", "host_pages", "n_lines", "n_dropped", "clean_text")
 def visible_lines(html: Column) -> Column:
     """The lines a reader sees: block tags break lines, other mark-up goes, white space is collapsed."""
     text = F.regexp_replace(F.regexp_replace(html, HIDDEN, ""), BREAKS, "\n")
-    plain = F.regexp_replace(text, TAGS, "")
-    text = plain
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    text = F.when(F.contains(plain, F.lit("&")), text).otherwise(plain)
-    lines = F.transform(F.split(F.regexp_replace(text, UNEVEN, " "), "\n", -1), F.trim)
+    plain = F.array(F.regexp_replace(text, TAGS, ""))  # so that the next step names it and does not compute it again
+
+    def read(text: Column) -> Column:
+        out = text
+        for entity, character in ENTITIES:
+            out = F.replace(out, F.lit(entity), F.lit(character))
+        return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+
+    text = F.get(F.transform(plain, read), F.lit(0))
+    lines = F.transform(F.split(F.regexp_replace(text, UNEVEN, " "), "\n", -1), lambda x: F.trim(x))
     return F.coalesce(F.filter(lines, lambda x: x != ""), F.array().cast("array<string>"))
 
 

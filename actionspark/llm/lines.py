@@ -5,15 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import SPACE, SPACE_CHARS, ascii_lower, stored
+from actionspark.llm.common import SPACE_CHARS, ascii_lower, stored
 
 BROADCAST_LINES = 1_000_000
 SALTS = 64
+# White space that is not one space: what collapsing changes.
+UNEVEN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
 def normalised(line: Column) -> Column:
-    """ASCII letters in lower case, white space collapsed and trimmed."""
-    return F.trim(F.regexp_replace(ascii_lower(line), SPACE, " "))
+    """ASCII letters in lower case, white space collapsed and trimmed. ``line`` is a name, not an expression: it is read
+    several times."""
+    ascii_only = F.octet_length(line) == F.char_length(line)  # most lines; there the quick function does the same
+    lower = F.when(ascii_only, F.lower(line)).otherwise(ascii_lower(line))
+    return F.trim(F.regexp_replace(lower, UNEVEN, " "))
 
 
 def worded(text: Column) -> Column:

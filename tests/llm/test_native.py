@@ -122,6 +122,7 @@ def edge_pages(spark):
     rows = [(i, f"https://A.example.com/{i}?x#y", f"<nav>Menu</nav><p>Page {i} text &amp; more</p><script>x</script>") for i in range(8)]
     rows += [(8, "https://a.example.com", None), (9, None, "<p>Menu</p>"), (10, "no url", ""), (11, "http://b.org:80/", "<b>bold</b> line<br>Menu")]
     rows += [(None, "http://b.org/x", "Menu"), rows[0], rows[0]]
+    rows += [(12, "http://c.org", " 0 one 0 <p> two \t three<br>\r\n&nbsp;four&nbsp;&lt;b&gt; &amp;lt; </p>1<p>2 </p>")]
     return spark.createDataFrame(rows, PAGES)
 
 
@@ -131,7 +132,8 @@ def test_lines_on_most_pages_of_a_site_are_dropped(spark, monkeypatch, broadcast
     pages = edge_pages(spark).withColumn("host", F.lit("clash"))
     out = line_dedup.drop_boilerplate(pages)
     got = {r.page_id: r for r in out.collect()}
-    assert out.count() == 15
+    assert out.count() == 16
+    assert got[12].clean_text == "0 one 0\ntwo three\nfour <b> &lt;\n1\n2"
     assert got[3].clean_text == "Page 3 text & more" and got[3].n_lines == 2 and got[3].n_dropped == 1
     assert got[8].clean_text == "" and got[8].host_pages == 11
     assert got[9].host == "" and got[9].clean_text == "Menu" and got[11].clean_text == "bold line\nMenu"
