@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import LOWER, UPPER, on_workers, own_names, table
+from actionspark.llm.common import LOWER, UPPER, ascii_lower, on_workers, own_names, stored, table
+from actionspark.sources.tables import scratch_path
 
 WINDOW = 13
 SHARD_WORDS = 400_000
 BLOCK_WINDOWS = 200_000
+GROUP = 4  # blocks searched before what they found is stored
 SAMPLE = 16
 OUTPUTS = ("n_words", "n_hit", "spans", "items", "contaminated")
 
 # After lower-casing A-Z, words are runs of 0-9, a-z and anything beyond ASCII.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KEEP = set(range(0x30, 0x3A)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEEP else 0x20 for b in range(256))
 
@@ -184,10 +189,7 @@ def _shards(texts, known, most: int):
         yield batch
 
 
-def _search(spark, phrases: Phrases, most: int):
-    on_workers(spark)
-    sent = spark.sparkContext.broadcast(phrases)
-
+def _search(sent: Broadcast, most: int):
     @F.pandas_udf("n_words long, spans array<long>, items array<string>")
     def search(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         block = sent.value
@@ -211,20 +213,31 @@ def _search(spark, phrases: Phrases, most: int):
     return search
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int, most: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The items, read one partition at a time, in blocks of up to ``most`` windows (or one item)."""
-    block, size = [], 0
-    for row in benchmark.select(item, text).toLocalIterator():
-        words = words_of(row[1])
-        n = max(1, len(words) - window + 1) if words else 0
-        if block and size + n > most:
-            yield block
-            block, size = [], 0
-        if n:
-            block.append(("null" if row[0] is None else str(row[0]), words))
-            size += n
-    if block:
-        yield block
+def _blocks(benchmark: DataFrame, item: str, text: str, window: int, most: int) -> Iterator[Phrases]:
+    """The items in blocks of about ``most`` windows, one after another; one empty block if there is nothing to search.
+
+    Spark counts the windows, deals the items to blocks by hash and writes a partition per block; one block at a time is
+    read back. An item is in one block, so one of more windows makes its block larger.
+    """
+    words = F.regexp_count(ascii_lower(F.col(text)), F.lit(WORD))
+    items = benchmark.select(
+        F.coalesce(F.col(item).cast("string"), F.lit("null")).alias("item"),
+        F.col(text).alias("text"),
+        F.when(words > 0, F.greatest(words - (window - 1), F.lit(1))).otherwise(F.lit(0)).alias("n"),
+    ).filter("n > 0")
+    windows = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    blocks = math.ceil(windows / most)
+    if not blocks:
+        yield Phrases([], window)
+        return
+    path = scratch_path(benchmark.sparkSession, "benchmark_blocks")
+    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks)).cast("int")
+    items.withColumn("block", block).repartition("block").write.partitionBy("block").parquet(path)
+    dealt = benchmark.sparkSession.read.schema("item string, text string, n int, block int").parquet(path)
+    for number in range(blocks):
+        rows = dealt.filter(F.col("block") == number).collect()
+        if rows:
+            yield Phrases([(r["item"], words_of(r["text"])) for r in rows], window)
 
 
 @own_names(OUTPUTS, "text")
@@ -242,9 +255,9 @@ def decontaminate(
 
     A task takes consecutive documents as a shard, up to ``shard_words`` words, builds an FM-index over its words,
     searches all windows of the benchmark in it and merges the hit words into ``spans`` (first word, word after the
-    last, flat). The benchmark is sent to the tasks in blocks of at most ``block_windows`` windows, each
-    block being one more pass over rows in place, so no more than a block is ever held. ``items`` are the
-    sorted ids (as text) of items with a window in the document; contaminated: a twentieth of the words is hit.
+    last, flat). The benchmark is sent to the tasks in blocks of about ``block_windows`` windows, each block being one more
+    pass over rows in place; after every GROUP blocks what was found is stored and the blocks sent are given up, so
+    driver and tasks never hold more than GROUP of them, however large the benchmark. ``items`` are the sorted ids (as text) of items with a window in the document; contaminated: a twentieth of the words is hit.
 
     Edge cases: a NULL or empty document has no words and no hits; items without words are in no document; a NULL
     item_id is named null; equal ids are one item; repeated rows get equal results; an empty benchmark hits
@@ -257,8 +270,16 @@ def decontaminate(
         F.array().cast("array<string>").alias("items"),
     )
     rows = rows.withColumn("_found", none)
-    for phrases in _blocks_or_none(benchmark, item, item_text, window, block_windows):
-        search = _search(docs.sparkSession, phrases, shard_words)
+    spark, held = docs.sparkSession, []
+    on_workers(spark)
+    for phrases in _blocks(benchmark, item, item_text, window, block_windows):
+        if len(held) == GROUP:
+            rows = stored(rows, "found")
+            for sent in held:
+                sent.destroy()
+            held = []
+        held.append(spark.sparkContext.broadcast(phrases))
+        search = _search(held[-1], shard_words)
         rows = rows.withColumn("_found", search(F.col(text), F.col("_found.spans"), F.col("_found.items")))
     gaps = F.transform("spans", lambda p, i: F.when(i % 2 == 1, p).otherwise(-p))
     rows = rows.withColumns({c: F.col(f"_found.{c}") for c in ("n_words", "spans", "items")}).drop("_found")
@@ -267,16 +288,6 @@ def decontaminate(
     return rows.withColumn("contaminated", hit)
 
 
-def _blocks_or_none(benchmark, item, text, window, most):
-    """The blocks as phrases; one empty block if there is none, since words are counted all the same."""
-    some = False
-    for block in _blocks(benchmark, item, text, window, most):
-        some = True
-        yield Phrases(block, window)
-    if not some:
-        yield Phrases([], window)
-
-
 def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -292,10 +303,7 @@ def op10_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 QUERIES = {"op10_decontaminate": op10_decontaminate}
 
-_WORDS = (
-    f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
-    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-)
+_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}')"
 SQL = {
     "op10_decontaminate": f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
