@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from actionspark.functions.numeric import to_long
@@ -82,3 +82,19 @@ def index_categories(
         index = F.coalesce("_at", F.lit(size - 1)).cast("double")
         slim = slim.withColumn(index_name(c), index).drop("_category", "_at")
     return slim.select(*keep, *map(index_name, cols))
+
+
+def one_hot_sparse(df: DataFrame, vocabulary: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """(key, feature, category, position): the ones of the design matrix's categorical part, a row each.
+
+    ``position`` is the column's place in that part, as in the wide form. The vocabulary is joined, not collected, so a column
+    may have any number of categories and the driver holds none. Base, NULL and unseen categories have no row.
+    """
+    sizes = vocabulary.groupBy("feature", "feature_ordinal").agg((F.count("*") - 1).alias("n"))  # one row per column
+    earlier = Window.partitionBy(F.lit(1)).orderBy("feature_ordinal").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("feature", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
+    known = vocabulary.filter(~F.col("is_base")).join(F.broadcast(firsts), "feature")
+    known = known.select("feature", "category", (F.col("first") + F.col("ordinal") - 1).alias("position"))
+    return to_long(df, [key], cols, "feature", "category", "string").join(known, ["feature", "category"]).select(
+        key, "feature", "category", "position"
+    )

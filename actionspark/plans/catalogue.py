@@ -360,6 +360,13 @@ def one_hot(spark, d):
     return encoding.one_hot(feats, encoded, NUMERIC_FEATURES, keep=["customer_id"])
 
 
+@query("one_hot_sparse")
+def one_hot_sparse(spark, d):
+    feats = materialize(_features(spark, d), "features")
+    vocabulary = materialize(encoding.fit_vocabulary(feats, CATEGORICAL_FEATURES), "vocabulary")
+    return encoding.one_hot_sparse(feats, vocabulary, CATEGORICAL_FEATURES, "customer_id")
+
+
 def _labels_and_active_features(spark, d):
     stored = materialize(_newest(spark, d), "raw")
     return labels(stored), features(stored, F.col("as_of")).filter(_active())

@@ -738,6 +738,18 @@ add(
   CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, round(min(value), 6) AS min, round(max(value), 6) AS max
 FROM events GROUP BY 1""",
 )
+_PAIRS = " UNION ALL ".join(f"SELECT customer_id, '{c}' AS feature, {i} AS place, {c} AS category FROM feats" for i, c in enumerate(CATEGORICAL))
+add(
+    "one_hot_sparse",
+    snaps(1)
+    + f""",
+pairs AS ({_PAIRS}),
+levels AS (
+  SELECT feature, place, category, row_number() OVER (PARTITION BY feature ORDER BY category) AS level
+  FROM (SELECT DISTINCT feature, place, category FROM pairs WHERE category IS NOT NULL)),
+hot AS (SELECT feature, category, row_number() OVER (ORDER BY place, category) - 1 AS position FROM levels WHERE level > 1)""",
+    "SELECT customer_id, feature, category, position FROM pairs JOIN hot USING (feature, category)",
+)
 for _name, _of in (
     ("pinned_baseline", "drift_categorical"),
     ("performance_report_from_bitmaps", "performance_report"),

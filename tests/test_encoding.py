@@ -58,3 +58,13 @@ def test_one_hot_is_the_same_for_any_batch(spark):
         assert rows(single) == [r for r in rows(full) if r[0] == row[0]]
     unseen = encoding.one_hot(frame(spark, [(9, 1.0, "North", "z")]), encoded, ["x"])
     assert rows(unseen) == [(1.0, 0, 0, 0, 0)]
+
+
+def test_sparse_form_holds_the_ones_of_the_wide_one(spark):
+    vocabulary = encoding.fit_vocabulary(frame(spark, TRAIN), CATS)
+    encoded = encoding.load_vocabulary(vocabulary)
+    batch = frame(spark, [*TRAIN, (9, 1.0, "North", "z")])
+    got = rows(encoding.one_hot_sparse(batch, vocabulary, CATS, "customer_id"))
+    wide = encoding.one_hot(batch, encoded, [], keep=["customer_id"]).collect()
+    want = [(r[0], *pair, i) for r in wide for i, pair in enumerate(encoded) if r[i + 1]]
+    assert got == sorted(want)
