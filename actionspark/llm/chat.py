@@ -11,15 +11,17 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionspark.llm.common import on_workers, table, word_count
+from actionspark.llm.common import on_workers, stored, table
+from actionspark.llm.tokens import VOCABULARY, token_counter
 
 BUDGET = 512
 HISTORY = 128
-MARKS = 4
+RANGE_CHARS = 64
 SYSTEM = "system"
 TARGET = "assistant"
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
@@ -43,10 +45,13 @@ def windows(
     text: str = "text",
     budget: int = BUDGET,
     history: int = HISTORY,
+    path: str | None = None,
 ) -> DataFrame:
     """One row per window: conv, window, text, n_turns, n_repeated, n_tokens and loss (spans of code points).
 
-    A turn counts its words and ``MARKS``. A system turn at the head of a conversation opens each of its windows.
+    A turn counts the tokens of its formatted form by the vocabulary at ``path`` (byte_bpe_50k.json unless given). Turns
+    end with a line feed and begin with a mark, and the vocabulary's pattern cannot match across, so ``n_tokens`` is
+    what the library counts for the whole window. A system turn at the head of a conversation opens each of its windows.
     The other turns' running sum, ``before``, is cut into blocks of what the budget leaves beside system turn and
     history (a quarter of it at least): turns that end in the block they begin in make one window, a turn
     that crosses a block's end makes its own. So a window exceeds the budget only by a turn or system turn that
@@ -54,87 +59,115 @@ def windows(
     ``history`` tokens before it. ``n_repeated`` is how many of the window's turns an earlier window had. ``loss`` covers
     the texts of its own assistant turns, so each assistant turn is a target exactly once.
 
-    The running sums go through a conversation row by row and may spill; all that is ever collected is a window, which
-    the budget bounds.
+    Running sums are taken in two levels, over ranges of the turns in order and within a range, so a conversation of
+    any length is many tasks. A turn is sent to its window and to the next windows that may repeat it, and a window,
+    which the budget bounds, is put together from those.
 
     Edge cases: NULL text or role is empty; a NULL conversation is one of its own; turns come in the order of turn (NULL
     first), role, text, so ties and repeated rows are turns in a defined order; an empty table gives no window;
     further columns are not carried along.
     """
-    rows = turns.select(
-        F.col(conv).alias("_conv"),
-        F.col(turn).alias("_turn"),
-        F.coalesce(F.col(role), F.lit("")).alias("_role"),
-        F.coalesce(F.col(text), F.lit("")).alias("_text"),
-    ).withColumn("_tokens", word_count(F.col("_text")) + MARKS)
-    order = Window.partitionBy("_conv").orderBy(F.col("_turn").asc_nulls_first(), "_role", "_text")
-    sofar = order.rowsBetween(Window.unboundedPreceding, -1)
-    head = (F.row_number().over(order) == 1) & (F.col("_role") == SYSTEM)
-    rows = rows.withColumn("_head", head)
-    counted = F.when(F.col("_head"), F.lit(0).cast("long")).otherwise(F.col("_tokens"))
-    first = F.first(F.when(F.col("_head"), F.struct("_role", "_text", "_tokens"))).over(
-        order.rowsBetween(Window.unboundedPreceding, 0)
-    )
-    rows = rows.withColumn("_counted", counted)
-    rows = rows.withColumn("_before", F.coalesce(F.sum("_counted").over(sofar), F.lit(0))).withColumn("_system", first)
-    room = F.lit(budget - history) - F.coalesce(F.col("_system._tokens"), F.lit(0))
-    room = F.greatest(F.lit(max(1, budget // 4)), room)
+    rows, heads = _placed(turns, conv, turn, role, text, path or public_tokenizers.path(VOCABULARY))
+    room = F.greatest(F.lit(max(1, budget // 4)), F.lit(budget - history) - F.col("_head_tokens"))
     block = F.floor(F.col("_before") / room)
-    crosses = F.floor((F.col("_before") + F.col("_tokens") - 1) / room) > block
-    rows = rows.withColumn("_window", (2 * block + crosses.cast("int")).cast("long"))
-    rows = rows.withColumn("_before", F.when(F.col("_head"), F.lit(-1)).otherwise(F.col("_before")).cast("long"))
-    by_sum = Window.partitionBy("_conv").orderBy("_before")
-    joins = F.coalesce(F.lead("_window").over(by_sum), F.lit(0))
-    rows = rows.withColumn("_window", F.when(F.col("_head"), joins).otherwise(F.col("_window")))
-
-    piece = F.struct("_before", "_role", "_text")
-    earlier = F.collect_list(F.when(~F.col("_head"), piece)).over(by_sum.rangeBetween(-history, -1))
-    opens = F.coalesce(F.lag("_window").over(by_sum) != F.col("_window"), F.lit(True))
-    rows = rows.withColumn("_earlier", F.when(opens, earlier))
-    made = rows.groupBy("_conv", "_window").agg(
-        F.array_sort(F.collect_list(piece)).alias("_own"),
-        F.max("_earlier").alias("_earlier"),
-        F.first("_system", ignorenulls=True).alias("_system"),
-        F.max("_head").alias("_has_head"),
-    )
-    system = F.when(
-        F.col("_system").isNotNull() & ~F.col("_has_head"),
-        F.array(F.struct(F.lit(-1).cast("long").alias("_before"), F.col("_system._role"), F.col("_system._text"))),
-    )
-    none = F.array().cast("array<struct<_before:bigint,_role:string,_text:string>>")
-    again = F.concat(F.coalesce(system, none), F.coalesce(F.col("_earlier"), none))
-    made = made.withColumn("n_repeated", F.size(again).cast("long")).withColumn("_all", F.concat(again, F.col("_own")))
-    parts = F.transform(
-        "_all",
-        lambda t, i: F.struct(
-            F.concat(F.lit(OPEN), escaped(t["_role"], r"\\<#:"), F.lit(MIDDLE)).alias("open"),
-            escaped(t["_text"], r"\\<#").alias("body"),
-            ((t["_role"] == TARGET) & (i >= F.col("n_repeated"))).alias("target"),
-            (word_count(t["_text"]) + MARKS).alias("tokens"),
-        ),
+    crosses = (F.col("_before") > 0) & (F.floor((F.col("_before") + F.col("_tokens") - 1) / room) > block)
+    rows = rows.withColumn("_window", F.when(F.col("_rank") == 1, 0).otherwise(2 * block + crosses.cast("int")).cast("long"))
+    last = (2 * F.floor((F.col("_before") + history) / room) + 1).cast("long")
+    following = F.when((F.col("_before") >= 0) & (last > F.col("_window")), F.sequence(F.col("_window") + 1, last))
+    at = F.concat(F.array("_window"), F.coalesce(following, F.array().cast("array<bigint>")))
+    sent = rows.withColumn("_at", F.explode(at))
+
+    piece = F.struct("_rank", "_before", "_open", "_body", "_target", "_tokens")
+    own = F.col("_at") == F.col("_window")
+    made = sent.groupBy("_conv", "_at").agg(
+        F.array_sort(F.collect_list(F.when(own, piece))).alias("_own"),
+        F.array_sort(F.collect_list(F.when(~own, piece))).alias("_earlier"),
     )
-    made = made.withColumn("_parts", parts)
+    made = made.filter(F.size("_own") > 0).join(heads, F.col("_conv").eqNullSafe(F.col("_head_conv")), "left")
+    first = F.col("_own")[0]
+    earlier = F.filter("_earlier", lambda t: t["_before"] >= first["_before"] - history)
+    system = F.when(F.col("_head").isNotNull() & (first["_rank"] > 1), F.array("_head"))
+    again = F.concat(F.coalesce(system, F.slice("_own", 1, 0)), earlier)
+    made = made.withColumn("_again", again).withColumn("n_repeated", F.size("_again").cast("long"))
+    made = made.withColumn("_all", F.concat("_again", "_own"))
     nothing = F.array().cast("array<struct<start:bigint,stop:bigint>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("spans"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("n"), nothing.alias("spans"))
 
-    def step(a, p):
-        begin = a["at"] + F.length(p["open"])
-        end = begin + F.length(p["body"])
+    def step(a, t):
+        begin = a["at"] + F.length(t["_open"])
+        end = begin + F.length(t["_body"])
         span = F.array(F.struct(begin.alias("start"), end.alias("stop")))
-        spans = F.when(p["target"], F.concat(a["spans"], span)).otherwise(a["spans"])
-        return F.struct((end + len(CLOSE)).alias("at"), spans.alias("spans"))
+        target = t["_target"] & (a["n"] >= F.col("n_repeated"))
+        spans = F.when(target, F.concat(a["spans"], span)).otherwise(a["spans"])
+        return F.struct((end + len(CLOSE)).alias("at"), (a["n"] + 1).alias("n"), spans.alias("spans"))
 
     return made.select(
         F.col("_conv").alias(conv),
-        F.col("_window").alias("window"),
-        F.array_join(F.transform("_parts", lambda p: F.concat(p["open"], p["body"], F.lit(CLOSE))), "").alias("text"),
+        F.col("_at").alias("window"),
+        F.array_join(F.transform("_all", lambda t: F.concat(t["_open"], t["_body"], F.lit(CLOSE))), "").alias("text"),
         F.size("_all").cast("long").alias("n_turns"),
         "n_repeated",
-        F.aggregate("_parts", F.lit(0).cast("long"), lambda a, p: a + p["tokens"]).alias("n_tokens"),
-        F.aggregate("_parts", start, step, lambda a: a["spans"]).alias("loss"),
+        F.aggregate("_all", F.lit(0).cast("long"), lambda a, t: a + t["_tokens"]).alias("n_tokens"),
+        F.aggregate("_all", start, step, lambda a: a["spans"]).alias("loss"),
     )
 
 
+def _placed(turns: DataFrame, conv: str, turn: str, role: str, text: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The formatted turns with their place in the conversation, and the conversations' system turns.
+
+    Turns have _rank (from 1), _before (tokens of the turns before, but for a system turn at the head, which has -1) and
+    _head_tokens (those of the system turn). Turns are dealt to ranges in their order, and what the ranges before hold of the
+    same conversation is added. Only a conversation that goes on from one range into the next has such a sum: there are
+    fewer of them than ranges, so they are broadcast.
+    """
+    rows = turns.select(
+        F.col(conv).alias("_conv"),
+        F.col(turn).alias("_turn"),
+        F.coalesce(F.col(role), F.lit("")).alias("_role"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+    )
+    rows = rows.repartitionByRange("_conv", "_turn", "_role", F.substring("_text", 1, RANGE_CHARS))
+    rows = rows.withColumn("_range", F.spark_partition_id())
+    rows = rows.withColumn("_open", F.concat(F.lit(OPEN), escaped(F.col("_role"), r"\\<#:"), F.lit(MIDDLE)))
+    rows = rows.withColumn("_body", escaped(F.col("_text"), r"\\<#"))
+    tokens = token_counter(turns.sparkSession, path)
+    rows = stored(rows.withColumn("_tokens", tokens(F.concat("_open", "_body", F.lit(CLOSE)))), "turns")
+    rows = rows.withColumn("_target", F.col("_role") == TARGET)
+
+    heads = rows.groupBy("_conv").agg(F.min(F.struct("_turn", "_role", "_text", "_open", "_body", "_tokens")).alias("_first"))
+    first = F.col("_first")
+    whole = F.struct(
+        F.lit(1).alias("_rank"),
+        F.lit(-1).cast("long").alias("_before"),
+        *(first[c].alias(c) for c in ("_open", "_body")),
+        F.lit(False).alias("_target"),
+        first["_tokens"].alias("_tokens"),
+    )
+    heads = heads.filter(first["_role"] == SYSTEM).select(F.col("_conv").alias("_head_conv"), whole.alias("_head"))
+    heads = stored(heads, "heads")
+
+    ranges = rows.groupBy("_conv", "_range").agg(F.sum("_tokens").alias("_sum"), F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.partitionBy("_conv").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = ranges.select(
+        F.col("_conv").alias("_c"), F.col("_range").alias("_r"), F.sum("_sum").over(ahead).alias("_ahead"), F.sum("_rows").over(ahead).alias("_ranks")
+    ).filter("_ranks IS NOT NULL")
+    lengths = heads.select("_head_conv", F.col("_head._tokens").alias("_known"))
+    ranges = stored(ranges.join(lengths, F.col("_c").eqNullSafe(F.col("_head_conv")), "left").drop("_head_conv"), "ranges")
+
+    same = F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_range") == F.col("_r"))
+    rows = rows.join(F.broadcast(ranges), same, "left")
+    zero = F.lit(0).cast("long")
+    order = Window.partitionBy("_conv", "_range").orderBy(F.col("_turn").asc_nulls_first(), "_role", "_text")
+    sofar = order.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_rank", F.row_number().over(order) + F.coalesce("_ranks", zero))
+    rows = rows.withColumn("_sum", F.coalesce(F.sum("_tokens").over(sofar), zero) + F.coalesce("_ahead", zero))
+    is_head = (F.col("_rank") == 1) & (F.col("_role") == SYSTEM)
+    here = F.max(F.when(is_head, F.col("_tokens"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_head_tokens", F.coalesce("_known", here, zero))
+    rows = rows.withColumn("_before", F.when(is_head, F.lit(-1).cast("long")).otherwise(F.col("_sum") - F.col("_head_tokens")))
+    return rows, heads
+
+
 def read_window(text: str) -> list[tuple[str, str]]:
     """The turns of a formatted window, as (role, text)."""
     turns, at = [], 0
@@ -153,7 +186,8 @@ DIGEST = "n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string
 def read_back(formatted: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Per conversation, from its windows alone: digests of its turns and of what the loss covers.
 
-    Windows are sorted by conversation and read as a stream; a task holds one window and two running digests.
+    Windows are sorted by conversation and read as a stream; a task holds one window and two running digests. A digest
+    covers a whole conversation in order, so this, unlike the formatting, reads a conversation in one task.
     """
     on_workers(formatted.sparkSession)
     kind = formatted.schema[conv].dataType.simpleString()

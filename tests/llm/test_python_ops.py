@@ -1,5 +1,6 @@
 """Repeated passages, near duplicates, contamination, token counts, language model, chat windows."""
 
+import functools
 import math
 import random
 import zlib
@@ -278,6 +279,16 @@ def test_windows_read_back_to_the_turns(spark):
     assert got[-7].loss_sha256 == sha(r"\### Assistant: </turn> ok")
 
 
+@functools.cache
+def library():
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@functools.cache
+def library_tokens(text):
+    return len(library().encode(text, add_special_tokens=False).ids)
+
+
 def test_windows_keep_the_budget_the_system_turn_and_limited_history(spark):
     made = chat.windows(spark.createDataFrame(chats(), TURNS)).filter("conv_id = 3").orderBy("window").collect()
     assert len(made) > 5
@@ -286,12 +297,60 @@ def test_windows_keep_the_budget_the_system_turn_and_limited_history(spark):
         turns = chat.read_window(w.text)
         assert turns[0] == ("system", "be kind") and len(turns) == w.n_turns
         assert w.n_tokens <= chat.BUDGET
-        history = sum(len(words(t)) + chat.MARKS for _, t in turns[1 : w.n_repeated])
-        assert i == 0 or (w.n_repeated >= 1 and history <= chat.HISTORY + 154)
+        assert library_tokens("".join(f"### {r}: {t} </turn>\n" for r, t in turns[1 : w.n_repeated])) <= chat.HISTORY
         own = [t for r, t in turns[w.n_repeated :] if r == "assistant"]
         assert [chat.unescaped(w.text[s.start : s.stop]) for s in w.loss] == own
         seen += len(own)
     assert seen == sum(r[0] == 3 and r[2] == "assistant" for r in chats())
+    assert any(w.n_repeated > 1 for w in made)
+
+
+def test_windows_count_what_the_library_counts(spark):
+    rows = chats() + [(6, i, "user", t) for i, t in enumerate(["a\n\n", "\n", "  ", "<|endoftext|>", "x\x85\xa0", "'s \t"])]
+    for w in chat.windows(spark.createDataFrame(rows, TURNS)).collect():
+        assert w.n_tokens == library_tokens(w.text), w.text
+
+
+def by_the_rules(rows, budget=chat.BUDGET, history=chat.HISTORY):
+    """The windows of one conversation, made turn by turn: (text, n_turns, n_repeated)."""
+    mark = lambda t, m: "".join("\\" + c if c in m else c for c in t)
+    turns = sorted((t is not None, t or 0, r or "", x or "") for _, t, r, x in rows)
+    made = [f"### {mark(r, '\\<#:')}: {mark(x, '\\<#')} </turn>\n" for *_, r, x in turns]
+    head = [made.pop(0)] if turns[0][2] == "system" else []
+    room = max(budget // 4, budget - history - sum(map(library_tokens, head)))
+    before, at, out = 0, [], {}
+    for x in made:
+        n = library_tokens(x)
+        block = before // room
+        out.setdefault((block, before > 0 and (before + n - 1) // room > block), []).append((before, x))
+        at.append((before, x))
+        before += n
+    if not out:
+        return [("".join(head), 1, 0)]
+    windows = []
+    for i, (_, own) in enumerate(sorted(out.items())):
+        again = [x for b, x in at if own[0][0] - history <= b < own[0][0]]
+        windows.append(("".join([*head, *again, *(x for _, x in own)]), len(head) + len(again) + len(own), len(again) + (len(head) if i else 0)))
+    return windows
+
+
+@pytest.mark.parametrize("ranges", ["1", "13"])
+def test_windows_of_conversations_over_many_ranges(spark, ranges):
+    rnd = random.Random(6)
+    rows = chats() + [(None, None, "user", "again")] * 40
+    rows += [(9, i // 3, rnd.choice(["user", "assistant"]), " ".join(["hot"] * rnd.randint(0, 60))) for i in range(300)] + [(9, -1, "system", "hot")]
+    keys = {"spark.sql.shuffle.partitions": ranges, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = chat.windows(spark.createDataFrame(rows, TURNS)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    for conv in {r[0] for r in rows}:
+        mine = [(w.text, w.n_turns, w.n_repeated) for w in sorted((w for w in got if w.conv_id == conv), key=lambda w: w.window)]
+        assert mine == by_the_rules([r for r in rows if r[0] == conv])
 
 
 def test_no_turns(spark):
