@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ VERIFY_COST = 0.25
 SKETCH_BITS = 18
 CHUNK = 1 << 14
 BROADCAST_KEYS = 1_000_000
+BLOCK = 2_000
 OUTPUTS = ("n_shingles", "component_id", "component")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -223,19 +225,38 @@ def _best_stars(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """The postings with their node's component, of tokens that nodes of different components have."""
+    """The postings with their node's component and their token's number of postings, of tokens that nodes of different
+    components have."""
     placed = shared.join(labels, "node", "left").withColumn("label", F.coalesce(F.col("label"), F.col("node")))
-    both = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y")
-    return stored(placed.join(both.select("token"), "token", "left_semi"), "placed")
+    both = placed.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("times"))
+    return stored(placed.join(both.filter("x < y").select("token", "times"), "token"), "placed")
 
 
-def _across(placed: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes in different components that share as many prefix tokens as the smaller demand of the two."""
-    a = placed.select("token", *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "label")))
-    b = placed.select("token", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")))
-    met = a.join(b, "token").filter("label_a <> label_b AND node_a < node_b").filter(_may_match("size_a", "size_b", percent))
-    demand = F.least(_unpack("size_a")[2], _unpack("size_b")[2])
-    pairs = met.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("matches"), F.first(demand).alias("demand"))
+def _band(size: str, percent: int) -> Column:
+    """Sizes that are similar by ``percent`` are in one band or in two that follow each other."""
+    n = _unpack(size)[0]
+    return n if percent >= 100 else F.floor(F.log(n) / F.lit(math.log(100 / percent) * (1 + 1e-9)))
+
+
+def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs of nodes in different components that share as many prefix tokens as the smaller demand of the two.
+
+    Nodes meet within a token and a band of sizes, the smaller node going to the next band too. The nodes of a token with over
+    ``block`` postings are dealt to blocks of about that many by their hash, and each block is met by all, so such a token
+    is many tasks.
+    """
+    blocks = F.ceil(F.col("times") / block).cast("int")
+    band = _band("size", percent)
+    smaller = placed.withColumn("band", F.explode(F.array(band, band + 1)))
+    smaller = smaller.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    larger = placed.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    keys = ["token", "band", "block"]
+    a = smaller.select(*keys, *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "label")))
+    b = larger.select(*keys, *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")))
+    (x, _, k), (y, _, m) = _unpack("size_a"), _unpack("size_b")
+    ordered = (x < y) | ((x == y) & (F.col("node_a") < F.col("node_b")))
+    met = a.join(b, keys).filter("label_a <> label_b").filter(ordered).filter(_may_match("size_a", "size_b", percent))
+    pairs = met.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("matches"), F.first(F.least(k, m)).alias("demand"))
     return pairs.filter("matches >= demand").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 

@@ -70,7 +70,9 @@ def near_rows():
     return rows
 
 
-def test_near_groups_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [near.BLOCK, 3])
+def test_near_groups_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(near._across, "__defaults__", (block,))
     rows = near_rows()
     docs = documents(spark, rows).withColumn("component", F.lit("clash")).withColumn("node", F.lit(0))
     found = near.near_duplicates(docs)
@@ -107,6 +109,29 @@ def test_prefixes_of_similar_sets_share_what_they_ask_for():
         assert len(np.intersect1d(p, q)) >= min(m, k)
 
 
+@pytest.mark.parametrize("block", [1000, 4])
+def test_pairs_across_equal_all_pairs_of_a_token(spark, block):
+    rnd = random.Random(9)
+    size = [rnd.choice([*range(1, 40), 300, 400, 401, 533, 10**6, 1333333, 1333334]) for _ in range(150)]
+    post = [(t, n, (size[n] << 32) + (rnd.randrange(4) << 3) + 1, n % 7) for t in (1, 2) for n in range(150) if t == 1 or n % 3]
+    placed = spark.createDataFrame(post, "token long, node long, size long, label long")
+    placed = placed.join(placed.groupBy("token").agg(F.count(F.lit(1)).alias("times")), "token")
+    got = [tuple(sorted(p)) for p in near._across(placed, 75, block).collect()]
+
+    def place_allows(n, i, t):
+        return i < n - t + 1
+
+    want = set()
+    for t, a, p, x in post:
+        for u, b, q, y in post:
+            n, m = p >> 32, q >> 32
+            if t == u and a < b and x != y and 100 * min(n, m) >= 75 * max(n, m):
+                least = -(-75 * (n + m) // 175)
+                if place_allows(n, p % (1 << 32) >> 3, least) and place_allows(m, q % (1 << 32) >> 3, least):
+                    want.add((a, b))
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+
+
 def test_components_of_long_chains_and_stars(spark):
     rnd = random.Random(2)
     ids = rnd.sample(range(1, 10**9), 60)
