@@ -73,7 +73,8 @@ def windows(
     crosses = (F.col("_before") > 0) & (F.floor((F.col("_before") + F.col("_tokens") - 1) / room) > block)
     rows = rows.withColumn("_window", F.when(F.col("_rank") == 1, 0).otherwise(2 * block + crosses.cast("int")).cast("long"))
     last = (2 * F.floor((F.col("_before") + history) / room) + 1).cast("long")
-    following = F.when((F.col("_before") >= 0) & (last > F.col("_window")), F.sequence(F.col("_window") + 1, last))
+    again = (F.col("_before") >= 0) & (F.col("_tokens") <= history) & (last > F.col("_window"))  # a longer turn ends too late
+    following = F.when(again, F.sequence(F.col("_window") + 1, last))
     at = F.concat(F.array("_window"), F.coalesce(following, F.array().cast("array<bigint>")))
     sent = rows.withColumn("_at", F.explode(at))
 
@@ -128,18 +129,18 @@ def _placed(turns: DataFrame, conv: str, turn: str, role: str, text: str, path:
     )
     rows = rows.repartitionByRange("_conv", "_turn", "_role", F.substring("_text", 1, RANGE_CHARS))
     rows = rows.withColumn("_range", F.spark_partition_id())
-    rows = rows.withColumn("_open", F.concat(F.lit(OPEN), escaped(F.col("_role"), r"\\<#:"), F.lit(MIDDLE)))
-    rows = rows.withColumn("_body", escaped(F.col("_text"), r"\\<#"))
+    opened, body = _formatted(F.col("_role"), F.col("_text"))
     tokens = token_counter(turns.sparkSession, path)
-    rows = stored(rows.withColumn("_tokens", tokens(F.concat("_open", "_body", F.lit(CLOSE)))), "turns")
-    rows = rows.withColumn("_target", F.col("_role") == TARGET)
+    rows = stored(rows.withColumn("_tokens", tokens(F.concat(opened, body, F.lit(CLOSE)))), "turns")
 
-    heads = rows.groupBy("_conv").agg(F.min(F.struct("_turn", "_role", "_text", "_open", "_body", "_tokens")).alias("_first"))
+    heads = rows.groupBy("_conv").agg(F.min(F.struct("_turn", "_role", "_text", "_tokens")).alias("_first"))
     first = F.col("_first")
+    head_opened, head_body = _formatted(first["_role"], first["_text"])
     whole = F.struct(
         F.lit(1).alias("_rank"),
         F.lit(-1).cast("long").alias("_before"),
-        *(first[c].alias(c) for c in ("_open", "_body")),
+        head_opened.alias("_open"),
+        head_body.alias("_body"),
         F.lit(False).alias("_target"),
         first["_tokens"].alias("_tokens"),
     )
@@ -165,9 +166,15 @@ def _placed(turns: DataFrame, conv: str, turn: str, role: str, text: str, path:
     here = F.max(F.when(is_head, F.col("_tokens"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = rows.withColumn("_head_tokens", F.coalesce("_known", here, zero))
     rows = rows.withColumn("_before", F.when(is_head, F.lit(-1).cast("long")).otherwise(F.col("_sum") - F.col("_head_tokens")))
+    rows = rows.withColumn("_open", opened).withColumn("_body", body).withColumn("_target", F.col("_role") == TARGET)
     return rows, heads
 
 
+def _formatted(role: Column, text: Column) -> tuple[Column, Column]:
+    """What stands before a turn's text, and the text as it is written."""
+    return F.concat(F.lit(OPEN), escaped(role, r"\\<#:"), F.lit(MIDDLE)), escaped(text, r"\\<#")
+
+
 def read_window(text: str) -> list[tuple[str, str]]:
     """The turns of a formatted window, as (role, text)."""
     turns, at = [], 0
