@@ -21,6 +21,7 @@ SKETCH_BITS = 18
 CHUNK = 1 << 14
 BROADCAST_KEYS = 1_000_000
 BLOCK = 2_000
+MEET = 256  # nodes of one component that stand in one row when the nodes of a token meet
 OUTPUTS = ("n_shingles", "component_id", "component")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -190,13 +191,13 @@ def _shared(postings: DataFrame) -> DataFrame:
     return dealt.mapInArrow(keep, "token long, node long, size long")
 
 
-def _unpack(size: str) -> tuple[Column, Column, Column]:
+def _unpack(size: str | Column) -> tuple[Column, Column, Column]:
     """Number of shingles, place of the token, demanded matches."""
-    packed = F.col(size)
+    packed = F.col(size) if isinstance(size, str) else size
     return F.shiftright(packed, 32), F.shiftright(packed, 3).bitwiseAND((1 << 29) - 1), packed.bitwiseAND(7)
 
 
-def _may_match(a: str, b: str, percent: int) -> Column:
+def _may_match(a: str | Column, b: str | Column, percent: int) -> Column:
     """Whether a token shared by two nodes counts: the sizes are close enough, and it stands in both prefixes as they
     are for just these sizes. A similar pair shares t shingles, so it has m matches among the first
     (size - t + m) of both, m being the smaller demand."""
@@ -238,12 +239,20 @@ def _band(size: str, percent: int) -> Column:
     return n if percent >= 100 else F.floor(F.log(n) / F.lit(math.log(100 / percent) * (1 + 1e-9)))
 
 
-def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes in different components that share as many prefix tokens as the smaller demand of the two.
+def _gathered(side: DataFrame, keys: list[str], suffix: str) -> DataFrame:
+    """``side`` by its keys and component, at most about MEET nodes a row, dealt by another hash than the blocks."""
+    parts = F.ceil(F.col("times") / MEET).cast("int")
+    side = side.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), parts))
+    nodes = F.collect_list(F.struct("node", "size")).alias(f"nodes_{suffix}")
+    return side.groupBy(*keys, F.col("label").alias(f"label_{suffix}"), "part").agg(nodes).drop("part")
+
+
+def _meetings(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(token, band, block) with the nodes of two different components that meet there, a row for each two parts.
 
     Nodes meet within a token and a band of sizes, the smaller node going to the next band too. The nodes of a token with over
     ``block`` postings are dealt to blocks of about that many by their hash, and each block is met by all, so such a token
-    is many tasks.
+    is many tasks. The nodes of a component are gathered first, so that a large component meets the others, not itself.
     """
     blocks = F.ceil(F.col("times") / block).cast("int")
     band = _band("size", percent)
@@ -251,13 +260,25 @@ def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     smaller = smaller.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     larger = placed.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     keys = ["token", "band", "block"]
-    a = smaller.select(*keys, *(F.col(c).alias(f"{c}_a") for c in ("node", "size", "label")))
-    b = larger.select(*keys, *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "label")))
-    (x, _, k), (y, _, m) = _unpack("size_a"), _unpack("size_b")
-    ordered = (x < y) | ((x == y) & (F.col("node_a") < F.col("node_b")))
-    met = a.join(b, keys).filter("label_a <> label_b").filter(ordered).filter(_may_match("size_a", "size_b", percent))
-    pairs = met.groupBy("node_a", "node_b").agg(F.count(F.lit(1)).alias("matches"), F.first(F.least(k, m)).alias("demand"))
-    return pairs.filter("matches >= demand").select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    return _gathered(smaller, keys, "a").join(_gathered(larger, keys, "b"), keys).filter("label_a <> label_b")
+
+
+def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs of nodes in different components that share as many prefix tokens as the smaller demand of the two."""
+
+    def met(p: Column, q: Column) -> Column:
+        (x, _, _), (y, _, _) = _unpack(p.getField("size")), _unpack(q.getField("size"))
+        ordered = (x < y) | ((x == y) & (p.getField("node") < q.getField("node")))
+        return ordered & _may_match(p.getField("size"), q.getField("size"), percent)
+
+    def pair(p: Column, q: Column) -> Column:
+        (_, _, k), (_, _, m) = _unpack(p.getField("size")), _unpack(q.getField("size"))
+        return F.struct(p.getField("node").alias("a"), q.getField("node").alias("b"), F.least(k, m).alias("demand"))
+
+    each = F.transform("nodes_a", lambda p: F.transform(F.filter("nodes_b", lambda q: met(p, q)), lambda q: pair(p, q)))
+    found = _meetings(placed, percent, block).select(F.explode(F.flatten(each)).alias("p")).select("p.*")
+    pairs = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("matches"), F.first("demand").alias("demand"))
+    return pairs.filter("matches >= demand").select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:

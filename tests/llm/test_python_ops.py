@@ -132,6 +132,18 @@ def test_pairs_across_equal_all_pairs_of_a_token(spark, block):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
+def test_a_large_component_meets_the_others_not_itself(spark):
+    """One token held by 600 nodes of one component and 3 others: the nodes are met by component, so the join holds rows
+    for pairs of parts of different components, not the 180,000 pairs within the large one; no pair across is lost."""
+    size = (50 << 32) + 1
+    post = [(1, n, size, 0) for n in range(600)] + [(1, 1000 + n, size, 1000 + n) for n in range(3)]
+    placed = spark.createDataFrame(post, "token long, node long, size long, label long")
+    placed = placed.join(placed.groupBy("token").agg(F.count(F.lit(1)).alias("times")), "token")
+    assert near._meetings(placed, 75).count() < 100
+    got = {tuple(sorted(p)) for p in near._across(placed, 75).collect()}
+    assert got == {(min(a, b), max(a, b)) for _, a, _, x in post for _, b, _, y in post if a < b and x != y}
+
+
 def test_components_of_long_chains_and_stars(spark):
     rnd = random.Random(2)
     ids = rnd.sample(range(1, 10**9), 60)
