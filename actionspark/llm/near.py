@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from actionspark.llm.common import LOWER, UPPER, WORD, WordHashes, gram_hashes, if_small, mixed, on_workers, own_names, row_number_of, stored, table
@@ -21,7 +22,8 @@ SKETCH_BITS = 18
 CHUNK = 1 << 14
 BROADCAST_KEYS = 1_000_000
 BLOCK = 2_000
-MEET = 256  # nodes of one component that stand in one row when the nodes of a token meet
+MEET = 256  # nodes that stand in one row when the nodes of a token meet
+FEW = 32  # nodes of one component in a token that are given rows of their own
 OUTPUTS = ("n_shingles", "component_id", "component")
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -240,11 +242,16 @@ def _band(size: str, percent: int) -> Column:
 
 
 def _gathered(side: DataFrame, keys: list[str], suffix: str) -> DataFrame:
-    """``side`` by its keys and component, at most about MEET nodes a row, dealt by another hash than the blocks."""
+    """``side`` by its keys, at most about MEET nodes a row, dealt by another hash than the blocks.
+
+    A component with FEW or more nodes of a token stands in rows of its own, labelled, so that it does not meet itself;
+    the nodes of the others are mixed in rows without a label, so that the rows grow with the nodes, not the components.
+    """
     parts = F.ceil(F.col("times") / MEET).cast("int")
     side = side.withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), parts))
-    nodes = F.collect_list(F.struct("node", "size")).alias(f"nodes_{suffix}")
-    return side.groupBy(*keys, F.col("label").alias(f"label_{suffix}"), "part").agg(nodes).drop("part")
+    label = F.when(F.col("many") >= FEW, F.col("label")).alias(f"label_{suffix}")
+    nodes = F.collect_list(F.struct("node", "size", "label")).alias(f"nodes_{suffix}")
+    return side.groupBy(*keys, label, "part").agg(nodes).drop("part")
 
 
 def _meetings(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
@@ -254,13 +261,15 @@ def _meetings(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     ``block`` postings are dealt to blocks of about that many by their hash, and each block is met by all, so such a token
     is many tasks. The nodes of a component are gathered first, so that a large component meets the others, not itself.
     """
+    placed = placed.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("token", "label")))
     blocks = F.ceil(F.col("times") / block).cast("int")
     band = _band("size", percent)
     smaller = placed.withColumn("band", F.explode(F.array(band, band + 1)))
     smaller = smaller.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     larger = placed.withColumn("band", band).withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     keys = ["token", "band", "block"]
-    return _gathered(smaller, keys, "a").join(_gathered(larger, keys, "b"), keys).filter("label_a <> label_b")
+    apart = "NOT (label_a <=> label_b) OR label_a IS NULL"
+    return _gathered(smaller, keys, "a").join(_gathered(larger, keys, "b"), keys).filter(apart)
 
 
 def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
@@ -269,7 +278,7 @@ def _across(placed: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     def met(p: Column, q: Column) -> Column:
         (x, _, _), (y, _, _) = _unpack(p.getField("size")), _unpack(q.getField("size"))
         ordered = (x < y) | ((x == y) & (p.getField("node") < q.getField("node")))
-        return ordered & _may_match(p.getField("size"), q.getField("size"), percent)
+        return ordered & (p.getField("label") != q.getField("label")) & _may_match(p.getField("size"), q.getField("size"), percent)
 
     def pair(p: Column, q: Column) -> Column:
         (_, _, k), (_, _, m) = _unpack(p.getField("size")), _unpack(q.getField("size"))

@@ -144,6 +144,19 @@ def test_a_large_component_meets_the_others_not_itself(spark):
     assert got == {(min(a, b), max(a, b)) for _, a, _, x in post for _, b, _, y in post if a < b and x != y}
 
 
+def test_many_small_components_meet_in_few_rows(spark):
+    """One token held by 600 nodes: 300 components of one or two nodes and one of 200: the small ones are mixed in rows,
+    so the join holds rows for a few pairs of parts, not the ~45,000 pairs of components; no pair across is lost."""
+    size = (50 << 32) + 1
+    post = [(1, n, size, n // 2 if n < 200 else n) for n in range(400)] + [(1, 1000 + n, size, 1000) for n in range(200)]
+    placed = spark.createDataFrame(post, "token long, node long, size long, label long")
+    placed = placed.join(placed.groupBy("token").agg(F.count(F.lit(1)).alias("times")), "token")
+    assert near._meetings(placed, 75).count() < 100
+    got = [tuple(sorted(p)) for p in near._across(placed, 75).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == {(a, b) for _, a, _, x in post for _, b, _, y in post if a < b and x != y}
+
+
 def test_components_of_long_chains_and_stars(spark):
     rnd = random.Random(2)
     ids = rnd.sample(range(1, 10**9), 60)
