@@ -610,13 +610,14 @@ def stream_scores(spark, d):
 
 @query("stream_into_log")
 def stream_into_log(spark, d):
-    """Four files of requests, one a micro-batch, the newest snapshot last; the third repeats half of the second. The champion
-    changes after the second micro-batch; then that one is run again."""
-    feats = _snapshot_features(spark, d, stored=True).drop("best_action")
+    """Four writes of requests, one a micro-batch, the newest snapshot last; the third repeats half of the second. The champion
+    changes after the second micro-batch; then that one is run again. The features are stored once and each write has as
+    many tasks as they have parts, so no micro-batch is computed or written by one task."""
+    feats = materialize(_snapshot_features(spark, d, stored=True).drop("best_action"), "features")
     source, log, state = (scratch_path(spark, n) for n in ("requests", "log", "state"))
     parts = [feats.filter(F.col("snapshot") == k).drop("snapshot") for k in reversed(range(SNAPSHOTS))]
     again = parts[2].unionByName(parts[1].filter("customer_id % 2 = 0"))
-    files = [part.coalesce(1) for part in (parts[0], parts[1], again, parts[3])]
+    files = [parts[0], parts[1], again, parts[3]]
     asked = []
 
     def champion():
