@@ -38,10 +38,11 @@ def norm(line):
     return re.sub(r"[\x20\x09-\x0D]+", " ", line.translate(FOLD)).strip(" ")
 
 
-def quality_kept(docs, least=10):
+def quality_kept(docs, least=10, share=0.1, few=5):
     """docs: (source, text) rows; the verdict of each."""
-    counts = defaultdict(set)
+    texts, counts = defaultdict(set), defaultdict(set)
     for source, text in docs:
+        texts[source].add(text)
         for line in (text or "").split("\n"):
             if WORD.search(line):
                 counts[source, norm(line)].add(text)
@@ -51,10 +52,10 @@ def quality_kept(docs, least=10):
         lost = 0
         for line in (text or "").split("\n"):
             n = len(counts.get((source, norm(line)), ()))
-            if WORD.search(line) and n > least:
+            if WORD.search(line) and (n > least or (n > few and n > len(texts[source]) * share)):
                 lost += len(words(line))
         left = base["n_words"] - lost
-        out.append(not base["base_failed"] and 100 * left >= 30 * base["n_words"])
+        out.append(not base["base_failed"] and left >= 10 and 100 * left >= 30 * base["n_words"])
     return out
 
 

@@ -109,6 +109,36 @@ def test_quality_rejects_depleted_documents_only(spark, monkeypatch, listed):
     assert all(got[200 + i].kept for i in range(50))  # copies count once
 
 
+def small_hosts():
+    """Hosts of few texts: a line on 6 of 50 is over a tenth, one on 6 of 60 or on 5 of 10 is not enough."""
+    line = "Shared line of these eight words goes out"
+    rows = []
+    for host, texts, held in (("over", 50, 6), ("tenth", 60, 6), ("five", 10, 5), (None, 50, 6), ("hundred", 120, 11)):
+        for i in range(texts):
+            own = " ".join(f"{host}{i}w{j}" for j in range(12))
+            rows.append((len(rows), f"{line if i % 2 else line.upper()}\n{own}" if i < held else own, "en", host, 1))
+    rows += [(1000 + i, rows[20][1], "en", "over", 1) for i in range(40)]  # copies make no host larger
+    rows += [(2000, None, "en", None, None), (2001, None, "en", None, None)]
+    for i, left in enumerate((9, 10)):  # few words left, though over half
+        rows.append((3000 + i, line + "\n" + " ".join(f"left{left}w{j}" for j in range(left)), "en", "over", 1))
+    return rows
+
+
+@pytest.mark.parametrize("listed", [quality.LISTED, 0])
+def test_lines_of_small_hosts_and_few_words_left_count(spark, monkeypatch, listed):
+    monkeypatch.setattr(quality, "LISTED", listed)
+    rows = small_hosts()
+    out = quality.quality(documents(spark, rows))
+    assert no_python(out)
+    got = {r.doc_id: r for r in out.collect()}
+    taken = {h: sum(r.n_frequent_lines for r in got.values() if r.source == h and r.doc_id < 1000) for h in ("over", "tenth", "five", None, "hundred")}
+    assert taken == {"over": 6, "tenth": 0, "five": 0, None: 6, "hundred": 11}
+    assert got[0].kept and "line" not in got[0].clean_text.lower()
+    assert not got[3000].base_failed and not got[3000].kept and got[3001].kept
+    assert [got[r[0]].kept for r in rows] == quality_kept([(r[3], r[1]) for r in rows])
+    same_as_sql(spark, quality, "op2_quality_rules", out.select("doc_id", *quality.BASE, "n_frequent_lines", "n_words_left", "kept"), {"documents": documents(spark, rows)})
+
+
 def test_filter_on_the_verdict_is_not_pushed_into_the_scan(spark):
     kept = quality.quality(documents(spark)).filter("kept").select("doc_id", "text")
     assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 60_000
